@@ -189,3 +189,8 @@ SELECTION_USER_PREFIX = "Analyze these logs:\n\n"
 
 # Display units of the elapsed-time text (seconds, minutes, hours ago).
 TIME_AGO_UNITS = ("초 전", "분 전", "시간 전")
+
+# Alert texts (error rate in percent with one digit; critical lines; errors of a service).
+ALERT_ERROR_RATE = "🚨 높은 에러율: %s%%"
+ALERT_CRITICAL = "🚨 크리티컬 로그 다수: %d개"
+ALERT_SERVICE = "🚨 %s 서비스 에러 다수: %d개"
