@@ -7,12 +7,14 @@ import sys
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweft.config import WindowConfig
 from logweft.functions.tokens import count_tokens, simple_tokens
 from logweft.operators.packing import Budget, pack_rows, run_ends
+from logweft.sources.files import read_log_lines
+from logweft.sources.lines import lines_from_column
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -48,6 +50,22 @@ def token_windows(
     return windows.select("source", "window_index", "content") if mode == "legacy" else windows
 
 
+def process_log_lines(texts: DataFrame, config: WindowConfig | None = None, **options) -> DataFrame:
+    """Windows of in-memory logs (``source, text``, a log per row) in one call."""
+    config = config or WindowConfig()
+    if config.tokenizer == "simple":
+        return text_windows(texts, config, **options)
+    return token_windows(lines_from_column(texts, "source", "text"), config, **options)
+
+
+def process_log_file(
+    spark: SparkSession, paths: str | list[str], config: WindowConfig | None = None, glob: str | None = None,
+    source: Column | None = None, **options,
+) -> DataFrame:
+    """Windows of log files in one call."""
+    return token_windows(read_log_lines(spark, paths, glob, source), config, **options)
+
+
 def _bounds_function(budget: Budget):
     spans = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("tokens", pa.int64())]))
 

@@ -24,6 +24,9 @@ from logweft.functions.tokens import count_tokens
 from logweft.operators import aggregates, alerts, analyze, lines, reports, windows
 from logweft.plans import inputs, oracle
 from logweft.plans.oracle import text as lit
+from logweft.session import new_shared_path
+from logweft.sources import files, results, streams
+from logweft.streaming import monitor, sinks, triggers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -817,3 +820,172 @@ SELECT event_id, CASE WHEN level IN ({", ".join(lit(x) for x in ERROR_LEVELS)})
                       ELSE 'green' END AS severity FROM logs""")
 def level_class(spark, sf_dir):
     return inputs.event_logs(spark, sf_dir).select("event_id", display.level_class(F.col("level")).alias("severity"))
+
+
+# ---- files --------------------------------------------------------------------------------------------
+#
+# These write the event lines (or analyses of the documents) below the shared folder first.
+
+
+@query("read_log_lines", f"WITH {oracle.NUMBERED_EVENT_LINES} SELECT source, i AS line_no, v AS value FROM ev_numbered")
+def read_log_lines(spark, sf_dir):
+    return files.read_log_lines(spark, inputs.land_event_files(spark, sf_dir), source=inputs.landed_source())
+
+
+@query("process_log_file", f"{WITH_EVENT_WINDOWS} SELECT {_WINDOW_COLUMNS} FROM win")
+def process_log_file(spark, sf_dir):
+    found = windows.process_log_file(
+        spark, inputs.land_event_files(spark, sf_dir), SMALL_CONFIG, source=inputs.landed_source(), chunk_lines=256)
+    return _hashed(found, "content")
+
+
+def _folder() -> Column:
+    return F.regexp_extract("source", "source=([^/]+)/", 1)
+
+
+@query("find_logs", f"WITH {oracle.EVENT_LINES} SELECT DISTINCT source, true AS is_text FROM ev_lines")
+def find_logs(spark, sf_dir):
+    """Logs of which at least one file was found."""
+    found = files.find_logs(spark, inputs.land_event_files(spark, sf_dir))
+    return found.groupBy(_folder().alias("source")).agg(F.bool_and(F.col("file").endswith(".txt")).alias("is_text"))
+
+
+@query("file_stats", f"""WITH {oracle.EVENT_LINES}
+SELECT source, sum(strlen(v) + 1)::BIGINT AS size, count(*) AS lines, true AS dated FROM ev_lines GROUP BY source""")
+def file_stats(spark, sf_dir):
+    found = files.file_stats(spark, inputs.land_event_files(spark, sf_dir))
+    return found.groupBy(_folder().alias("source")).agg(
+        F.sum("size").alias("size"), F.sum("lines").alias("lines"),
+        F.bool_and(F.col("last_modified").isNotNull()).alias("dated"))
+
+
+def _land_results(spark, sf_dir) -> str:
+    path = new_shared_path(spark, "analysis-results")
+    results.write_results(
+        analyze.analyze_windows(_doc_windows(spark, sf_dir), _meta(), RUN_TS).drop("success", "error"), path)
+    return path
+
+
+@query("read_results", _TYPED_WINDOWS + f"""
+SELECT source, window_index, token_count AS window_tokens, analysis_type, md5({_case('analysis_type', _CANNED)}) AS analysis,
+       'pipeline' AS kind FROM typed""")
+def read_results(spark, sf_dir):
+    """Records written as JSON, read back and told apart."""
+    found = results.read_result_records(spark, _land_results(spark, sf_dir), multi_line=False)
+    return found.select("source", "meta.window_index", "meta.window_tokens", "analysis_type",
+                        F.md5("analysis").alias("analysis"), "kind")
+
+
+@query("result_rollup", _TYPED_WINDOWS + f"""
+SELECT analysis_type, count(*) AS windows, sum(length({_case('analysis_type', _CANNED)}))::BIGINT AS analysis_length,
+       true AS has_analysis FROM typed GROUP BY analysis_type""")
+def result_rollup(spark, sf_dir):
+    """Roll-up of result files, files of a type taken together."""
+    found = results.read_result_records(spark, _land_results(spark, sf_dir), multi_line=False)
+    by_type = found.withColumn("file", F.col("analysis_type"))
+    return reports.result_rollup(by_type).withColumnRenamed("file", "analysis_type")
+
+
+@query("latest_results")
+def latest_results(spark, sf_dir):
+    """The newest result files (names differ from run to run)."""
+    found = results.read_results(spark, _land_results(spark, sf_dir), multi_line=False)
+    return results.latest_results(found, prefixes=["part-"]).select("file", "size", "type", "success", F.length(
+        display.preview_text(F.col("analysis"), 100)).alias("preview_length"))
+
+
+@query("latest_result")
+def latest_result(spark, sf_dir):
+    return results.latest_result(results.read_results(spark, _land_results(spark, sf_dir), multi_line=False))
+
+
+# ---- streams ------------------------------------------------------------------------------------------
+#
+# Each lands the event lines as segments, runs the stream over them to the end, and returns its table.
+
+
+def _stream(spark, sf_dir, files_per_batch: int | None = None) -> DataFrame:
+    return streams.stream_log_lines(
+        spark, inputs.land_event_files(spark, sf_dir), source=inputs.landed_source(),
+        max_files_per_trigger=files_per_batch)
+
+
+def _run(frame: DataFrame, name: str, output_mode: str = "append", transform=None) -> DataFrame:
+    spark = frame.sparkSession
+    out = new_shared_path(spark, name)
+    started = sinks.start(frame, f"{out}/table", f"{out}/checkpoint", output_mode, transform, available_now=True)
+    started.awaitTermination()
+    return sinks.read_batches(spark, f"{out}/table")
+
+
+@query("running_stats", LOGS + "SELECT level, service, count(*) AS n FROM logs GROUP BY level, service")
+def running_stats(spark, sf_dir):
+    """Running counts over several micro-batches; the last value per key."""
+    table = _run(monitor.running_stats(_stream(spark, sf_dir, 5)), "running-stats", "update")
+    return sinks.latest_per_key(table, ["level", "service"])
+
+
+@query("stream_log_lines", f"WITH {oracle.EVENT_LINES} SELECT source, v AS value FROM ev_lines")
+def stream_log_lines(spark, sf_dir):
+    return _run(_stream(spark, sf_dir, 5), "stream-lines").select("source", "value")
+
+
+@query("stream_batch_alerts", LOGS + _alert_sql("source"))
+def stream_batch_alerts(spark, sf_dir):
+    """Alerts of a poll that finds all rows."""
+    table = _run(_stream(spark, sf_dir), "batch-alerts", transform=monitor.batch_alerts())
+    return table.drop("batch_id").withColumn("rate", _six("rate"))
+
+
+@query("event_time_alerts", f"""WITH {oracle.EVENT_LOGS.replace('logs AS', 'all_logs AS')},
+logs AS (SELECT *, time_bucket(INTERVAL '6 hours', ts) AS interval_start FROM all_logs
+         QUALIFY time_bucket(INTERVAL '6 hours', ts) + INTERVAL '6 hours' <= max(ts) OVER () - INTERVAL '5 minutes')
+""" + _alert_sql("interval_start"))
+def event_time_alerts(spark, sf_dir):
+    """Alerts on closed intervals of log time, all logs together."""
+    cells = monitor.event_time_cells(_stream(spark, sf_dir), "6 hours", "5 minutes", by=[])
+    table = _run(cells, "event-time-alerts", transform=monitor.event_time_alerts(by=[]))
+    return table.drop("batch_id").withColumn("rate", _six("rate"))
+
+
+_LAST_100 = """,
+tail AS (SELECT * FROM logs QUALIFY row_number() OVER (PARTITION BY source ORDER BY event_ts DESC, event_id DESC) <= 100),
+texts AS (SELECT source, count(*) AS analyzed_count, string_agg(raw, chr(10) ORDER BY event_ts, event_id) AS content,
+                 arg_min(ts, event_id) AS first_ts, arg_max(ts, event_id) AS last_ts FROM tail GROUP BY source)"""
+
+
+@query("auto_trigger", f"""
+SELECT r.source, r.reason, r.n, t.analyzed_count, r.dropped_count, t.first_ts, t.last_ts, md5(t.content) AS content
+FROM ({LOGS}{_auto_sql("source")}) r JOIN ({LOGS}{_LAST_100} SELECT * FROM texts) t USING (source) WHERE r.analyze""")
+def auto_trigger(spark, sf_dir):
+    """Selections handed out by the automatic trigger when one poll finds all rows."""
+    table = _run(triggers.auto_trigger(_stream(spark, sf_dir)), "auto-trigger")
+    return table.select("source", "reason", "n", "analyzed_count", "dropped_count", F.col("start").alias("first_ts"),
+                        F.col("end").alias("last_ts"), F.md5("text").alias("content"))
+
+
+@query("recent_buffer", LOGS + f""",
+tail AS (SELECT * FROM logs QUALIFY row_number() OVER (PARTITION BY source ORDER BY event_ts DESC, event_id DESC) <= 50),
+texts AS (SELECT source, count(*) AS analyzed_count, md5(string_agg(raw, chr(10) ORDER BY event_ts, event_id)) AS content
+          FROM tail GROUP BY source),
+g AS (SELECT source, count(*) AS n, {_ERR}::BIGINT AS errors, count_if(level = 'CRITICAL')::BIGINT AS criticals
+      FROM logs GROUP BY source)
+SELECT source, n, errors, criticals, CASE WHEN n >= 20 THEN 'row_count' WHEN errors / n >= 0.1 THEN 'error_rate'
+       WHEN criticals >= 5 THEN 'critical_count' ELSE 'first' END AS reason, least(n, 1000) AS buffered, analyzed_count, content
+FROM g JOIN texts USING (source)""")
+def recent_buffer(spark, sf_dir):
+    """Monitor decision, buffer size and rows to analyse when one poll finds all rows."""
+    table = _run(triggers.monitor_trigger(_stream(spark, sf_dir)), "recent-buffer")
+    return table.select("source", "n", "errors", "criticals", "reason", "buffered", "analyzed_count",
+                        F.md5("text").alias("content"))
+
+
+@query("stream_analyses", f"""
+SELECT source, analyzed_count AS log_count, {DETECT} AS analysis_type, md5({_case(DETECT, _CANNED)}) AS analysis,
+       strftime(first_ts, '%Y-%m-%dT%H:%M:%S') AS first_ts, strftime(last_ts, '%Y-%m-%dT%H:%M:%S') AS last_ts
+FROM ({LOGS}{_LAST_100} SELECT * FROM texts)""")
+def stream_analyses(spark, sf_dir):
+    """What the automatic trigger hands out, summarised and analysed."""
+    table = _run(triggers.auto_trigger(_stream(spark, sf_dir)), "analyses", transform=monitor.analyses())
+    return table.select("source", "log_count", "analysis_type", F.md5("analysis").alias("analysis"),
+                        F.col("log_time_range.start").alias("first_ts"), F.col("log_time_range.end").alias("last_ts"))

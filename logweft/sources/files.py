@@ -94,17 +94,13 @@ def file_stats(
     stats = (
         _listing(spark, paths, glob).withColumn("source", plain)
         .join(counts.withColumn("source", plain), "source", "left")
-        .select("file", "size", F.coalesce("lines", F.lit(0).cast("long")).alias("lines"), "last_modified")
+        .select("source", "file", "size", F.coalesce("lines", F.lit(0).cast("long")).alias("lines"), "last_modified")
     )
     if expected is None:
         return stats
     return expected.join(stats, "file", "left").select(
-        "file",
+        "source", "file",
         F.coalesce("size", F.lit(0).cast("long")).alias("size"),
         F.coalesce("lines", F.lit(0).cast("long")).alias("lines"),
         "last_modified",
     )
-
-
-def base_name(path: Column) -> Column:
-    return F.element_at(F.split(path, "/"), -1)

@@ -14,7 +14,7 @@ META_SCHEMA = (
 SUMMARY_SCHEMA = "struct<total: bigint, by_level: map<string, bigint>, by_service: map<string, bigint>>"
 # Union of the record forms; absent fields read as null.
 RECORD_SCHEMA = (
-    f"meta {META_SCHEMA}, analysis string, analysis_type string, analysis_id bigint, timestamp string, "
+    f"source string, meta {META_SCHEMA}, analysis string, analysis_type string, analysis_id bigint, timestamp string, "
     f"log_count bigint, log_time_range struct<start: string, end: string>, log_summary {SUMMARY_SCHEMA}, "
     "success boolean, error string, _corrupt string"
 )
@@ -39,6 +39,7 @@ def read_result_records(spark: SparkSession, paths: str | list[str], multi_line:
         .otherwise(F.lit("unknown"))
     )
     return records.select(
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_name").alias("file"),
         F.col("_metadata.file_modification_time").alias("last_modified"),
         F.col("_metadata.file_size").alias("size"),
@@ -55,30 +56,32 @@ def read_results(spark: SparkSession, paths: str | list[str], multi_line: bool =
         F.when(F.col("kind") == "pipeline", F.lit(True)).otherwise(F.coalesce("success", F.lit(False))).alias("success"),
     )
     return (
-        records.groupBy("file")
+        records.groupBy("path", "file")
         .agg(
             F.min_by(first, F.coalesce("meta.window_index", F.lit(0))).alias("r"),
             F.max("last_modified").alias("last_modified"),
             F.max("size").alias("size"),
         )
-        .select("file", "size", "last_modified", F.col("r.kind").alias("type"), "r.analysis", "r.meta", "r.log_summary",
+        .select("path", "file", "size", "last_modified", F.col("r.kind").alias("type"), "r.analysis", "r.meta", "r.log_summary",
                 "r.timestamp", "r.log_count", "r.success")
     )
 
 
-def latest_results(results: DataFrame, n: int = RESULT_FILES_SHOWN) -> DataFrame:
+def latest_results(
+    results: DataFrame, n: int = RESULT_FILES_SHOWN, prefixes: list[str] = RESULT_FILE_PREFIXES
+) -> DataFrame:
     """The ``n`` newest result files; statistics snapshots, which hold no analysis, are left out."""
-    names = "^(" + "|".join(RESULT_FILE_PREFIXES) + r").*\.json$"
+    names = "^(" + "|".join(prefixes) + r").*\.json$"
     return (
         results.filter(F.col("file").rlike(names) & F.col("analysis").isNotNull())
-        .orderBy(F.desc("last_modified"), "file").limit(n)
+        .orderBy(F.desc("last_modified"), "path").limit(n)
     )
 
 
 def latest_result(results: DataFrame) -> DataFrame:
     """The newest result file."""
     return results.agg(
-        F.max_by("file", F.struct("last_modified", "file")).alias("file"),
+        F.max_by("file", F.struct("last_modified", "path")).alias("file"),
         F.max("last_modified").alias("last_modified"),
     )
 
