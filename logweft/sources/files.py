@@ -60,17 +60,37 @@ def read_log_lines(
     )
 
 
+def _plain(path: Column) -> Column:
+    """Path of a local file without its scheme, which listings and scans spell differently."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def _empty_files(spark: SparkSession, reader: DataFrame, filled: DataFrame) -> DataFrame:
+    """Files without content, which scans leave out: names from the listing, dates from the file system."""
+    names = spark.createDataFrame([(name,) for name in reader.inputFiles()], "source string")
+    missing = names.withColumn("key", _plain(F.col("source"))).join(filled, F.col("key") == filled["source"], "left_anti")
+    rows = []
+    for (name,) in missing.select(names["source"]).collect():
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(path)
+        rows.append((name, path.getName(), 0, status.getModificationTime()))
+    empty = spark.createDataFrame(rows, "source string, file string, size long, ms long")
+    return empty.select(_plain(F.col("source")).alias("source"), "file", "size", F.timestamp_millis("ms").alias("last_modified"))
+
+
 def _listing(spark: SparkSession, paths, glob: str | None) -> DataFrame:
     """One row per file, also for empty ones; contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(paths).select(
-        F.col("path").alias("source"),
+    found = reader.load(paths)
+    filled = found.select(
+        _plain(F.col("path")).alias("source"),
         F.element_at(F.split("path", "/"), -1).alias("file"),
         F.col("length").alias("size"),
         F.col("modificationTime").alias("last_modified"),
     )
+    return filled.unionByName(_empty_files(spark, found, filled))
 
 
 def find_logs(spark: SparkSession, paths: str | list[str], glob: str = "*.{log,txt}") -> DataFrame:
@@ -89,11 +109,8 @@ def file_stats(
         _text(spark, paths, glob).groupBy(F.col("_metadata.file_path").alias("source"))
         .agg(F.count(F.lit(1)).alias("lines"))
     )
-    # Listings and scans write paths differently (file:/x, file:///x): compare without the scheme.
-    plain = F.regexp_replace("source", "^file:/+", "/")
     stats = (
-        _listing(spark, paths, glob).withColumn("source", plain)
-        .join(counts.withColumn("source", plain), "source", "left")
+        _listing(spark, paths, glob).join(counts.withColumn("source", _plain(F.col("source"))), "source", "left")
         .select("source", "file", "size", F.coalesce("lines", F.lit(0).cast("long")).alias("lines"), "last_modified")
     )
     if expected is None:
