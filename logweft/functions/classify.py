@@ -53,8 +53,14 @@ DEFAULT_TYPES = AnalysisTypes()
 def detect_analysis_type(text: Column, types: AnalysisTypes = DEFAULT_TYPES) -> Column:
     """First type with a keyword anywhere in the lower-cased text, also inside words; else general."""
     lowered = F.lower(text)
-    chain = None
-    for name, words in types.keywords.items():
+    chain, tried = None, []
+    for name, all_words in types.keywords.items():
+        # A word that contains one tried before it can add nothing.
+        words = []
+        for word in all_words:
+            if not any(earlier in word for earlier in tried):
+                words.append(word)
+                tried.append(word)
         if not words:
             continue
         hit = lowered.contains(words[0])

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,17 +14,20 @@ from logweft.functions.classify import DEFAULT_TYPES, AnalysisTypes, analysis_co
 from logweft.functions.prompts import META_FIELDS, canned_analysis, processed_at, request_payload, selection_payload, user_prompt
 from logweft.operators.lines import recent_logs
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 Scorer = Callable[[str], str]
 
 
 def window_meta(meta: dict[str, Column], run_ts: str | Column) -> Column:
-    """Caller's meta plus the window's index, count, tokens and lines."""
+    """Caller's meta plus the window's index, count, tokens and lines.
+
+    Keys of the caller's own go into the map ``extra``, which is there only if there are any.
+    """
     given = {name: meta.get(name, F.lit(None)).cast("string") for name in META_FIELDS}
     given["time_range"] = F.coalesce(given["time_range"], processed_at(run_ts))
+    own = [x for name in meta if name not in META_FIELDS for x in (F.lit(name), meta[name].cast("string"))]
     return F.struct(
         *[given[name].alias(name) for name in META_FIELDS],
+        *([F.create_map(*own).alias("extra")] if own else []),
         F.col("window_index").cast("int").alias("window_index"),
         F.col("total_windows").cast("int").alias("total_windows"),
         F.col("token_count").cast("long").alias("window_tokens"),

@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import sys
-
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweft.config import WindowConfig
 from logweft.fixed_values import LEGACY_NOISE_WORDS, LINE_SPLIT_TOKENS, NOISE_WORDS, SIMPLE_CHARS_PER_TOKEN
 from logweft.functions.parse import WHITE_SPACE, strip
-from logweft.functions.tokens import count_tokens
+from logweft.functions.tokens import bpe_available, count_tokens
 from logweft.sources.lines import renumber_lines
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Rows of the last-n operators meet in two steps; this many groups share a source in the first.
 TAIL_SALTS = 256
 
@@ -53,16 +48,19 @@ def clean_lines(
 def _split_function(limit: int, simple: bool, encoding: str):
     @F.pandas_udf("array<string>")
     def split(values: pd.Series) -> pd.Series:
-        if simple:
-            def cost(word: str) -> int:
-                return max(1, (len(word) + 1) // SIMPLE_CHARS_PER_TOKEN)
-        else:
+        encoder = None
+        if not simple:
             import tiktoken
 
             encoder = tiktoken.get_encoding(encoding)
 
-            def cost(word: str) -> int:
-                return len(encoder.encode(word + " ", disallowed_special=()))
+        def cost(word: str) -> int:
+            if encoder is not None:
+                try:
+                    return len(encoder.encode(word + " "))
+                except ValueError:  # the encoder refuses texts that spell out its control marks
+                    pass
+            return max(1, (len(word) + 1) // SIMPLE_CHARS_PER_TOKEN)
 
         def chunks(line: str) -> list[str]:
             done, open_words, used = [], [], 0
@@ -89,7 +87,7 @@ def split_large_lines(
     vanishes.  Lines are numbered anew.
     """
     config = config or WindowConfig()
-    simple = config.tokenizer == "simple"
+    simple = config.tokenizer == "simple" or not bpe_available(config.encoding)
     measured = lines.withColumn("_tokens", count_tokens(F.col("value"), config))
     large = F.col("_tokens") > max_line_tokens
     short = measured.filter(~large).select("source", "line_no", F.lit(0).alias("_piece"), "value")

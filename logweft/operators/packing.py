@@ -18,20 +18,15 @@ columns take part until the last step, which shuffles the content once.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Executors need no installed copy of this module: its functions travel with the job.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 CHUNKS_PER_BLOCK = 1024
 MIN_CHUNK_ROWS = 65536
 WHOLE_SOURCE_TOKENS = 2_000_000

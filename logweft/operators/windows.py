@@ -2,11 +2,8 @@
 
 from __future__ import annotations
 
-import sys
-
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +13,6 @@ from logweft.operators.packing import Budget, pack_rows, run_ends
 from logweft.sources.files import read_log_lines
 from logweft.sources.lines import lines_from_column
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 WINDOW_COLUMNS = ["source", "window_index", "total_windows", "start_line", "end_line", "token_count", "content"]
 
 

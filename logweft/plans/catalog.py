@@ -580,10 +580,10 @@ def _values(items) -> str:
     return ", ".join(f"({lit(v)})" for v in items)
 
 
-@query("zero_filled_levels", LOGS + f"""
+@query("zero_filled_counts", LOGS + f"""
 SELECT d.level, count(logs.level) AS n FROM (VALUES {_values([*LEVELS, 'TRACE'])}) d(level)
 LEFT JOIN logs ON logs.level = d.level GROUP BY d.level""")
-def zero_filled_levels(spark, sf_dir):
+def zero_filled_counts(spark, sf_dir):
     return aggregates.zero_filled_counts(inputs.event_logs(spark, sf_dir), "level", [*LEVELS, "TRACE"])
 
 
@@ -876,6 +876,15 @@ def read_results(spark, sf_dir):
                         F.md5("analysis").alias("analysis"), "kind")
 
 
+@query("write_results", _TYPED_WINDOWS + f"""
+SELECT source, window_index, analysis_type, md5({_case('analysis_type', _CANNED)}) AS analysis FROM typed""")
+def write_results(spark, sf_dir):
+    """Records written as Parquet by analysis type, and read back."""
+    path = new_shared_path(spark, "analysis-table")
+    results.write_results(analyze.analyze_windows(_doc_windows(spark, sf_dir), _meta(), RUN_TS), path, "parquet")
+    return spark.read.parquet(path).select("source", "meta.window_index", "analysis_type", F.md5("analysis").alias("analysis"))
+
+
 @query("result_rollup", _TYPED_WINDOWS + f"""
 SELECT analysis_type, count(*) AS windows, sum(length({_case('analysis_type', _CANNED)}))::BIGINT AS analysis_length,
        true AS has_analysis FROM typed GROUP BY analysis_type""")
@@ -921,13 +930,13 @@ def _run(frame: DataFrame, name: str, output_mode: str = "append", transform=Non
 @query("running_stats", LOGS + "SELECT level, service, count(*) AS n FROM logs GROUP BY level, service")
 def running_stats(spark, sf_dir):
     """Running counts over several micro-batches; the last value per key."""
-    table = _run(monitor.running_stats(_stream(spark, sf_dir, 5)), "running-stats", "update")
+    table = _run(monitor.running_stats(_stream(spark, sf_dir, 8)), "running-stats", "update")
     return sinks.latest_per_key(table, ["level", "service"])
 
 
 @query("stream_log_lines", f"WITH {oracle.EVENT_LINES} SELECT source, v AS value FROM ev_lines")
 def stream_log_lines(spark, sf_dir):
-    return _run(_stream(spark, sf_dir, 5), "stream-lines").select("source", "value")
+    return _run(_stream(spark, sf_dir, 8), "stream-lines").select("source", "value")
 
 
 @query("stream_batch_alerts", LOGS + _alert_sql("source"))
@@ -989,3 +998,15 @@ def stream_analyses(spark, sf_dir):
     table = _run(triggers.auto_trigger(_stream(spark, sf_dir)), "analyses", transform=monitor.analyses())
     return table.select("source", "log_count", "analysis_type", F.md5("analysis").alias("analysis"),
                         F.col("log_time_range.start").alias("first_ts"), F.col("log_time_range.end").alias("last_ts"))
+
+
+@query("write_reports", f"""
+SELECT source, analyzed_count AS log_count, {DETECT} AS analysis_type, 'auto' AS kind, true AS success
+FROM ({LOGS}{_LAST_100} SELECT * FROM texts)""")
+def write_reports(spark, sf_dir):
+    """Analyses of a stream written as JSON reports per micro-batch, and read back as result files."""
+    out = new_shared_path(spark, "reports")
+    sinks.start(triggers.auto_trigger(_stream(spark, sf_dir)), f"{out}/table", f"{out}/checkpoint",
+                transform=monitor.analyses(), fmt="json", available_now=True).awaitTermination()
+    found = results.read_result_records(spark, f"{out}/table", multi_line=False)
+    return found.select("source", "log_count", "analysis_type", "kind", "success")

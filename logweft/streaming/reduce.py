@@ -7,21 +7,17 @@ batch then sends each task's small share only.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweft.fixed_values import ERROR_LEVELS
 from logweft.functions.parse import parse_log
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Segments are named in the order they were rolled.
 ARRIVAL = ["segment", "offset", "seq"]
 COUNTS = ["n", "errors", "criticals", "warnings"]

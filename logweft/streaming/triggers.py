@@ -6,11 +6,9 @@ decision is taken once per micro-batch and source, it depends on where batches e
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -18,8 +16,6 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from logweft.config import AutoThresholds, MonitorThresholds
 from logweft.streaming.reduce import merge_shares, source_shares
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 AUTO_STATE = "n long, errors long, criticals long, warnings long, services map<string, long>, tail array<string>"
 AUTO_SCHEMA = "source string, reason string, n long, analyzed_count long, dropped_count long, text string"
 MONITOR_STATE = "analyzed_at long, buffer array<string>"
