@@ -87,7 +87,7 @@ def zero_filled_counts(parsed: DataFrame, column: str = "level", values: list[st
 def level_percent(parsed: DataFrame) -> DataFrame:
     """Share of every level in percent."""
     counts = level_counts(parsed)
-    total = parsed.agg(_rows().alias("n")).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.select("level", "n", (F.col("n") * 100.0 / total).alias("percent"))
 
 
@@ -106,13 +106,13 @@ def log_summary(parsed: DataFrame, by: list[str] = ("source",), order_by: str =
     by = list(by)
     cells = parsed.groupBy(*by, "level", "service").agg(
         _rows().alias("n"),
-        F.min(F.struct(order_by, "ts")).alias("first"),
-        F.max(F.struct(order_by, "ts")).alias("last"),
+        F.min_by("ts", order_by).alias("start"), F.min(order_by).alias("first"),
+        F.max_by("ts", order_by).alias("end"), F.max(order_by).alias("last"),
     )
     sets = cells.groupingSets(
         [[*by, "level"], [*by, "service"], by], *by, "level", "service"
     ).agg(
-        F.sum("n").alias("n"), F.min("first").alias("first"), F.max("last").alias("last"),
+        F.sum("n").alias("n"), F.min_by("start", "first").alias("start"), F.max_by("end", "last").alias("end"),
         F.grouping("level").alias("_no_level"), F.grouping("service").alias("_no_service"),
     )
     whole = (F.col("_no_level") == 1) & (F.col("_no_service") == 1)
@@ -120,8 +120,8 @@ def log_summary(parsed: DataFrame, by: list[str] = ("source",), order_by: str =
         F.max(F.when(whole, F.col("n"))).alias("total"),
         _count_map("level", F.col("_no_level") == 0).alias("by_level"),
         _count_map("service", F.col("_no_service") == 0).alias("by_service"),
-        F.min("first")["ts"].alias("start"),
-        F.max("last")["ts"].alias("end"),
+        F.max(F.when(whole, F.col("start"))).alias("start"),
+        F.max(F.when(whole, F.col("end"))).alias("end"),
     )
 
 

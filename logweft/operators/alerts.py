@@ -36,20 +36,27 @@ def level_totals(parsed: DataFrame, by: list[str] = ()) -> DataFrame:
 
 def alerts_from_cells(cells: DataFrame, by: list[str], thresholds: MonitorThresholds = MonitorThresholds()) -> DataFrame:
     """Alerts from counts per group and service (columns ``service, n, errors, criticals``)."""
+    # Groups and their services in one pass over the cells.
+    sets = cells.groupingSets([[*by, "service"], by], *by, "service").agg(
+        F.sum("n").alias("n"), F.sum("errors").alias("errors"), F.sum("criticals").alias("criticals"),
+        F.grouping("service").alias("_group"))
+    group = F.col("_group") == 1
     rate = F.col("errors") / F.col("n")
-    totals = cells.groupBy(*by).agg(
-        F.sum("n").alias("n"), F.sum("errors").alias("errors"), F.sum("criticals").alias("criticals"))
-    none = F.lit(None).cast("string")
-    group_alerts = totals.filter(F.col("n") > 0).select(*by, F.explode(F.array(
-        F.struct((rate >= thresholds.error_rate).alias("on"), F.lit("error_rate").alias("kind"),
-                 none.alias("service"), F.col("errors").alias("count"), rate.alias("rate")),
-        F.struct((F.col("criticals") >= thresholds.critical_count).alias("on"), F.lit("critical_count").alias("kind"),
-                 none.alias("service"), F.col("criticals").alias("count"), F.lit(None).cast("double").alias("rate")),
-    )).alias("a")).filter("a.on").select(*by, "a.kind", "a.service", "a.count", "a.rate")
-    service_alerts = cells.filter(F.col("errors") >= thresholds.service_errors).select(
-        *by, F.lit("service_errors").alias("kind"), "service", F.col("errors").alias("count"),
-        F.lit(None).cast("double").alias("rate"))
-    return group_alerts.unionByName(service_alerts)
+
+    def alert(kind: str, when: Column, count: str, rate: Column = None) -> Column:
+        return F.struct(
+            when.alias("on"), F.lit(kind).alias("kind"), F.col(count).alias("count"),
+            (F.lit(None).cast("double") if rate is None else rate).alias("rate"))
+
+    return (
+        sets.filter(F.col("n") > 0)
+        .select(*by, "service", F.explode(F.array(
+            alert("error_rate", group & (rate >= thresholds.error_rate), "errors", rate),
+            alert("critical_count", group & (F.col("criticals") >= thresholds.critical_count), "criticals"),
+            alert("service_errors", ~group & (F.col("errors") >= thresholds.service_errors), "errors"),
+        )).alias("a"))
+        .filter("a.on").select(*by, "a.kind", "service", "a.count", "a.rate")
+    )
 
 
 def alerts(parsed: DataFrame, by: list[str] = (), thresholds: MonitorThresholds = MonitorThresholds()) -> DataFrame:
