@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from logweft.config import WindowConfig
 from logweft.functions.parse import parse_log, parse_rejects, with_parse
 from logweft.functions.tokens import count_tokens
 from logweft.operators.lines import clean_lines, head_lines, last_rows, recent_logs, split_large_lines
@@ -76,6 +77,13 @@ def test_tokens(spark):
     assert [r.t for r in lines.orderBy("line_no").collect()] == [max(1, len(t) // 4) for t in texts]
 
 
+def test_byte_pairs_fall_back_where_the_vocabulary_is_missing(spark):
+    config = WindowConfig(tokenizer="bpe", encoding="no such vocabulary")
+    row = frame(spark, ["a" * 40]).select(count_tokens(F.col("value"), config).alias("t")).first()
+    assert row.t == 10
+    assert split_large_lines(frame(spark, ["abcd efgh"]), 1, config).count() == 2
+
+
 CLEAN = ["GET /HEALTHZ 200", "GET /healthz", "readinessProbe ok", "livenessProbe ok", "", " \t ", "　", "kept\r\n", "kept too "]
 
 

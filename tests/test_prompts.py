@@ -67,6 +67,14 @@ def test_prompt_and_payload(spark):
         "window_index": 0, "total_windows": 1, "window_tokens": 42, "window_lines": 10}
 
 
+def test_extra_meta_is_kept(spark):
+    meta = {"service": F.lit("svc"), "team": F.lit("blue"), "shift": F.lit(3)}
+    row = analyze_windows(windows(spark, "x"), meta, "t").first()
+    assert row.meta.service == "svc" and row.meta.extra == {"team": "blue", "shift": "3"}
+    scored = analyze_windows(windows(spark, "x"), meta, "t", scorer=lambda p: "ok").first()
+    assert scored.meta == row.meta
+
+
 def test_unknown_type_reads_general(spark):
     assert one(spark, system_prompt(F.lit("nonsense"))) == SYSTEM_PROMPTS["general"]
 
