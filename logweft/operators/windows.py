@@ -25,11 +25,13 @@ def token_windows(
     config: WindowConfig | None = None,
     mode: str = "full",
     chunk_lines: int | None = None,
+    content: bool = True,
     **tuning,
 ) -> DataFrame:
     """Windows over ``lines(source, line_no, value[, tokens])``, ``line_no`` counting from 0 without gaps.
 
-    ``mode='legacy'`` returns only the ordered contents.
+    ``mode='legacy'`` returns only the ordered contents.  ``content=False`` leaves the contents out, and
+    the lines out of the shuffle.
     """
     config = config or WindowConfig()
     tokens = F.col("tokens") if "tokens" in lines.columns else count_tokens(F.col("value"), config)
@@ -37,11 +39,13 @@ def token_windows(
         F.col("source").cast("string").alias("source"),
         F.col("line_no").cast("long").alias("pos"),
         tokens.cast("long").alias("tokens"),
-        "value",
+        F.col("value") if content else F.lit(None).cast("string").alias("value"),
         F.col("line_no").cast("long").alias("first"),
         F.col("line_no").cast("long").alias("last"),
     )
     windows = pack_rows(rows, _budget(config), chunk_lines, **tuning)
+    if not content:
+        windows = windows.drop("content")
     return windows.select("source", "window_index", "content") if mode == "legacy" else windows
 
 
@@ -94,11 +98,13 @@ def text_windows(
     source: str | Column = "source",
     text: str | Column = "text",
     keep_line=None,
+    content: bool = True,
 ) -> DataFrame:
     """Windows over texts that hold a whole log each, one row per source.
 
     Nothing is shuffled: the lines of a source are an array in its row, only their token counts visit
-    Python.  ``keep_line`` is a predicate on a line (see ``line_is_kept``) applied before windowing.
+    Python.  ``keep_line`` is a predicate on a line (see ``line_is_kept``) applied before windowing;
+    ``content=False`` leaves the contents out.
     """
     config = config or WindowConfig()
     if config.tokenizer != "simple":
@@ -111,17 +117,24 @@ def text_windows(
     arrays = texts.filter(text.isNotNull()).select(source.cast("string").alias("source"), lines.alias("lines"))
     bounded = arrays.withColumn("bounds", _bounds_function(_budget(config))(
         F.transform("lines", lambda line: simple_tokens(line))))
+    spans = {"start_line": "first", "end_line": "last", "token_count": "tokens"}
+    names = [*spans, "content"] if content else list(spans)
+
+    def window(bound: Column) -> Column:
+        fields = [bound[field].alias(name) for name, field in spans.items()]
+        if content:
+            length = bound["last"] - bound["first"] + 1
+            part = F.slice("lines", (bound["first"] + 1).cast("int"), length.cast("int"))
+            fields.append(F.array_join(part, "\n").alias("content"))
+        return F.struct(*fields)
+
     # Contents are cut inside the array, before it is exploded, so that no row carries all lines along.
-    windows = F.transform("bounds", lambda b: F.struct(
-        b["first"].alias("start_line"), b["last"].alias("end_line"), b["tokens"].alias("token_count"),
-        F.array_join(F.slice("lines", (b["first"] + 1).cast("int"), (b["last"] - b["first"] + 1).cast("int")),
-                     "\n").alias("content")))
     # The outer explode keeps the optimizer from deriving a filter that would evaluate the bounds twice.
     return (
-        bounded.select("source", F.size("bounds").alias("total_windows"), windows.alias("windows"))
+        bounded.select("source", F.size("bounds").alias("total_windows"), F.transform("bounds", window).alias("windows"))
         .select("source", "total_windows", F.posexplode_outer("windows").alias("window_index", "w"))
         .filter(F.col("window_index").isNotNull())
-        .select("source", "window_index", "total_windows", "w.start_line", "w.end_line", "w.token_count", "w.content")
+        .select("source", "window_index", "total_windows", *[F.col(f"w.{name}") for name in names])
     )
 
 

@@ -58,8 +58,9 @@ def _hashed(frame: DataFrame, *columns: str) -> DataFrame:
     return frame
 
 
-def _doc_windows(spark: SparkSession, sf_dir: str, config: WindowConfig = DOC_CONFIG) -> DataFrame:
-    return windows.text_windows(inputs.table(spark, sf_dir, "documents"), config, source="doc_id", text="text")
+def _doc_windows(spark: SparkSession, sf_dir: str, config: WindowConfig = DOC_CONFIG, content: bool = True) -> DataFrame:
+    documents = inputs.table(spark, sf_dir, "documents")
+    return windows.text_windows(documents, config, source="doc_id", text="text", content=content)
 
 
 WITH_DOC_WINDOWS = "WITH RECURSIVE " + oracle.DOCUMENT_LINES + "," + oracle.windows("doc_lines", 300, 0.15)
@@ -261,6 +262,13 @@ def _turn_windows(spark, sf_dir) -> DataFrame:
     return windows.token_windows(inputs.conversation_lines(spark, sf_dir), SMALL_CONFIG)
 
 
+@query("conversation_window_stats", WITH_TURN_WINDOWS + oracle.stats("source"))
+def conversation_window_stats(spark, sf_dir):
+    """Statistics alone: neither contents nor lines are shuffled."""
+    found = windows.token_windows(inputs.conversation_lines(spark, sf_dir), SMALL_CONFIG, content=False)
+    return windows.window_stats(found, ["source"]).withColumn("avg_tokens_per_window", _six("avg_tokens_per_window"))
+
+
 @query("conversation_windows", f"{WITH_TURN_WINDOWS} SELECT {_WINDOW_COLUMNS} FROM win")
 def conversation_windows(spark, sf_dir):
     return _hashed(_turn_windows(spark, sf_dir), "content")
@@ -272,7 +280,7 @@ SELECT source, window_index, start_line, end_line,
        AS carried_lines FROM win""")
 def overlap_carry(spark, sf_dir):
     """Lines a window shares with the one before it, at half overlap."""
-    found = _doc_windows(spark, sf_dir, WindowConfig(max_tokens=300, overlap_ratio=0.5))
+    found = _doc_windows(spark, sf_dir, WindowConfig(max_tokens=300, overlap_ratio=0.5), content=False)
     previous = F.lag("end_line").over(Window.partitionBy("source").orderBy("window_index"))
     zero = F.lit(0).cast("long")
     return found.select("source", "window_index", "start_line", "end_line", F.greatest(
@@ -301,13 +309,13 @@ def cleaned_windows(spark, sf_dir):
 
 @query("window_stats", WITH_DOC_WINDOWS + oracle.stats("source"))
 def window_stats(spark, sf_dir):
-    stats = windows.window_stats(_doc_windows(spark, sf_dir), ["source"])
+    stats = windows.window_stats(_doc_windows(spark, sf_dir, content=False), ["source"])
     return stats.withColumn("avg_tokens_per_window", _six("avg_tokens_per_window"))
 
 
 @query("covered_lines", f"WITH {oracle.DOCUMENT_LINES} SELECT source, count(*) AS distinct_lines FROM doc_lines GROUP BY source")
 def covered_lines(spark, sf_dir):
-    return windows.covered_lines(_doc_windows(spark, sf_dir))
+    return windows.covered_lines(_doc_windows(spark, sf_dir, content=False))
 
 
 @query("filter_windows", f"{WITH_DOC_WINDOWS} SELECT {_WINDOW_COLUMNS} FROM win WHERE token_count >= 100")
@@ -434,7 +442,7 @@ SELECT source, 'ordersvc' AS service, 'node-01' AS host, 'error>warning>info' AS
        'processed_at={RUN_TS}Z' AS time_range, window_index, total_windows, token_count AS window_tokens,
        end_line - start_line + 1 AS window_lines FROM win""")
 def window_meta(spark, sf_dir):
-    return _doc_windows(spark, sf_dir).select("source", analyze.window_meta(_meta(), RUN_TS).alias("m")).select("source", "m.*")
+    return _doc_windows(spark, sf_dir, content=False).select("source", analyze.window_meta(_meta(), RUN_TS).alias("m")).select("source", "m.*")
 
 
 @query("request_payload", _TYPED_WINDOWS + f"""
