@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 CHUNKS_PER_BLOCK = 1024
 MIN_CHUNK_ROWS = 65536
+# Of a chunk this share, at most, is seen by the chunk before it as well.
+CHUNK_REACHES = 16
 WHOLE_SOURCE_TOKENS = 2_000_000
 BUFFER_ROWS = 65536
 BUFFER_BYTES = 32 << 20
@@ -91,6 +93,8 @@ def _chunk_map_function(budget: Budget, chunk_rows: int):
         pos = table["pos"].to_numpy()
         order = np.argsort(pos, kind="stable")
         pos, tokens = pos[order], table["tokens"].to_numpy()[order]
+        if pos[0] != chunk * chunk_rows or (np.diff(pos) != 1).any():
+            raise ValueError("positions must count 0, 1, 2, ... within a source; see renumber_lines")
         n, first, bound = len(pos), chunk * chunk_rows, (chunk + 1) * chunk_rows
         stops = np.full(n, n)
         last, _, following = run_ends(tokens, stops, budget)
@@ -237,6 +241,10 @@ class _Groups:
         self.end = np.append(self.start[1:], rows)
         self.chunk = chunk[self.start]
         self.marked = self.pos[self.start] < 0
+        inside = ~new[1:] & (self.pos[:-1] >= 0)
+        whole = ~self.marked & (self.chunk == 0)
+        if (np.diff(self.pos)[inside] != 1).any() or self.pos[self.start[whole]].any():
+            raise ValueError("positions must count 0, 1, 2, ... within a source; see renumber_lines")
         body = self.start + self.marked
         self.filled = body < self.end
         body_pos = self.pos[np.minimum(body, rows - 1)]
@@ -358,7 +366,7 @@ def pack_rows(
     ``pos`` counts 0, 1, 2, ... within a source.  A run reports ``first`` of its first row and ``last``
     of its last row.
     """
-    chunk_rows = chunk_rows or max(MIN_CHUNK_ROWS, 50 * budget.reach)
+    chunk_rows = chunk_rows or max(MIN_CHUNK_ROWS, CHUNK_REACHES * budget.reach)
     if chunk_rows < budget.reach:
         raise ValueError(f"chunk_rows must be at least {budget.reach}")
     home = F.call_function("div", F.col("pos"), F.lit(chunk_rows))

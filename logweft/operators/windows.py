@@ -39,7 +39,7 @@ def token_windows(
         F.col("source").cast("string").alias("source"),
         F.col("line_no").cast("long").alias("pos"),
         tokens.cast("long").alias("tokens"),
-        F.col("value") if content else F.lit(None).cast("string").alias("value"),
+        F.coalesce("value", F.lit("")).alias("value") if content else F.lit(None).cast("string").alias("value"),
         F.col("line_no").cast("long").alias("first"),
         F.col("line_no").cast("long").alias("last"),
     )
@@ -180,7 +180,8 @@ def merge_windows(
     chunk_windows: int | None = None,
     **tuning,
 ) -> DataFrame:
-    """Join consecutive windows while their tokens fit; ``window_index`` counts from 0 without gaps.
+    """Join consecutive windows while their tokens fit; ``window_index`` counts from 0 without gaps
+    (``renumber_lines(found, column="window_index")`` closes those of a filter).
 
     Lines that windows share stay in the content twice.  None or zero means the configured budget.
     """

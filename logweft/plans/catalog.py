@@ -347,6 +347,20 @@ def merge_windows_long_sources(spark, sf_dir):
     return _hashed(windows.merge_windows(_event_windows(spark, sf_dir), 700, chunk_windows=702), "content")
 
 
+@query("merge_filtered_windows", WITH_DOC_WINDOWS + f""",
+kept AS (SELECT * REPLACE ((row_number() OVER (PARTITION BY source ORDER BY window_index) - 1)::INTEGER AS window_index)
+         FROM win WHERE token_count >= 100),
+mg_rows AS (SELECT source, window_index AS i, token_count AS t FROM kept),{oracle.packing("mg", "mg_rows", 900, 0, False)}
+SELECT r.source, r.w::INTEGER AS window_index, (count(*) OVER (PARTITION BY r.source))::INTEGER AS total_windows,
+       min(x.start_line) AS start_line, max(x.end_line) AS end_line, any_value(r.tok) AS token_count,
+       md5(string_agg(x.content, chr(10) ORDER BY x.window_index)) AS content
+FROM mg_runs r JOIN kept x ON x.source = r.source AND x.window_index BETWEEN r.s AND r.e GROUP BY r.source, r.w""")
+def merge_filtered_windows(spark, sf_dir):
+    """Windows of some size only, joined again."""
+    kept = windows.filter_windows(_doc_windows(spark, sf_dir), config=DOC_CONFIG)
+    return _hashed(windows.merge_windows(lines.renumber_lines(kept, column="window_index"), 900), "content")
+
+
 # ---- types, prompts, analysis -------------------------------------------------------------------------
 
 

@@ -47,21 +47,23 @@ def number_lines(rows: DataFrame, source: str, order_by: list[str]) -> DataFrame
     )
 
 
-def renumber_lines(lines: DataFrame, bucket_lines: int = LINE_BUCKET, then_by: list[str] = ()) -> DataFrame:
-    """Close the gaps that a filter left in ``line_no`` (or spread out ties, ordered by ``then_by``).
+def renumber_lines(
+    lines: DataFrame, bucket_lines: int = LINE_BUCKET, then_by: list[str] = (), column: str = "line_no"
+) -> DataFrame:
+    """Close the gaps that a filter left in ``column`` (or spread out ties, ordered by ``then_by``).
 
     Lines are counted within buckets of old numbers; a bucket's offset is the sum of the buckets before it.
     """
-    bucketed = lines.withColumn("_bucket", F.call_function("div", F.col("line_no"), F.lit(bucket_lines)))
+    bucketed = lines.withColumn("_bucket", F.call_function("div", F.col(column), F.lit(bucket_lines)))
     before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("source", "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
         .select("source", "_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
     )
-    inside = Window.partitionBy("source", "_bucket").orderBy("line_no", *then_by)
+    inside = Window.partitionBy("source", "_bucket").orderBy(column, *then_by)
     return (
         bucketed.withColumn("_rank", F.row_number().over(inside))
         .join(offsets, ["source", "_bucket"])
-        .withColumn("line_no", (F.col("_base") + F.col("_rank") - 1).cast("long"))
+        .withColumn(column, (F.col("_base") + F.col("_rank") - 1).cast("long"))
         .drop("_bucket", "_rank", "_base", *then_by)
     )

@@ -94,6 +94,18 @@ def test_a_run_beyond_the_lookahead_fails_loudly(spark):
         token_windows(frame, WindowConfig(5, 0.0), chunk_lines=10).collect()
 
 
+@pytest.mark.parametrize("numbers, chunk", [([0, 1, 3], None), ([1, 2, 3], None), ([0, 1, 1, 2], None), ([*range(40), 50], 12)])
+def test_gaps_in_numbers_fail_loudly(spark, numbers, chunk):
+    frame = spark.createDataFrame([("s", n, "abcd", 1) for n in numbers], "source string, line_no long, value string, tokens long")
+    with pytest.raises(Exception, match="see renumber_lines"):
+        token_windows(frame, WindowConfig(5, 0.0), chunk_lines=chunk).collect()
+
+
+def test_null_lines_are_blank(spark):
+    frame = spark.createDataFrame([("s", 0, "a"), ("s", 1, None), ("s", 2, "b")], "source string, line_no long, value string")
+    assert token_windows(frame).first().content == "a\n\nb"
+
+
 def test_one_source_holding_most_rows(spark):
     rng = random.Random(9)
     sources = {"hot": [rng.randint(1, 30) for _ in range(20000)], **{f"c{i}": [3, 9] for i in range(20)}}
