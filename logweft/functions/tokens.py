@@ -25,22 +25,27 @@ def bpe_available(encoding: str) -> bool:
         return False
 
 
+def bpe_counter(encoding: str):
+    """Function from a text to its byte-pair token count."""
+    import tiktoken
+
+    encoder = tiktoken.get_encoding(encoding)
+
+    def count(text: str) -> int:
+        try:
+            return len(encoder.encode(text))
+        except ValueError:  # the encoder refuses texts that spell out its control marks
+            return max(1, len(text) // SIMPLE_CHARS_PER_TOKEN)
+
+    return count
+
+
 def bpe_tokens(text: Column, encoding: str) -> Column:
     """Byte-pair token count; needs the vocabulary on every executor."""
 
     @F.pandas_udf("long")
     def count(values: pd.Series) -> pd.Series:
-        import tiktoken
-
-        encoder = tiktoken.get_encoding(encoding)
-
-        def tokens(value: str) -> int:
-            try:
-                return len(encoder.encode(value))
-            except ValueError:  # the encoder refuses texts that spell out its control marks
-                return max(1, len(value) // SIMPLE_CHARS_PER_TOKEN)
-
-        return values.map(tokens, na_action="ignore")
+        return values.map(bpe_counter(encoding), na_action="ignore")
 
     return count(text)
 

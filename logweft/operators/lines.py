@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweft.config import WindowConfig
 from logweft.fixed_values import LEGACY_NOISE_WORDS, LINE_SPLIT_TOKENS, NOISE_WORDS, SIMPLE_CHARS_PER_TOKEN
 from logweft.functions.parse import WHITE_SPACE, strip
-from logweft.functions.tokens import bpe_available, count_tokens
+from logweft.functions.tokens import bpe_available, bpe_counter, count_tokens
+from logweft.operators.packing import Budget, pack_lists
 from logweft.sources.lines import renumber_lines
 
 # Rows of the last-n operators meet in two steps; this many groups share a source in the first.
@@ -46,34 +49,21 @@ def clean_lines(
 
 
 def _split_function(limit: int, simple: bool, encoding: str):
-    @F.pandas_udf("array<string>")
-    def split(values: pd.Series) -> pd.Series:
-        encoder = None
+    @F.arrow_udf("array<string>")
+    def split(lines: pa.Array) -> pa.Array:
+        words = [line.split() for line in lines.to_pylist()]
+        flat = [word for line in words for word in line]
+        costs = np.maximum(1, (np.fromiter(map(len, flat), np.int64, len(flat)) + 1) // SIMPLE_CHARS_PER_TOKEN)
         if not simple:
-            import tiktoken
-
-            encoder = tiktoken.get_encoding(encoding)
-
-        def cost(word: str) -> int:
-            if encoder is not None:
-                try:
-                    return len(encoder.encode(word + " "))
-                except ValueError:  # the encoder refuses texts that spell out its control marks
-                    pass
-            return max(1, (len(word) + 1) // SIMPLE_CHARS_PER_TOKEN)
-
-        def chunks(line: str) -> list[str]:
-            done, open_words, used = [], [], 0
-            for word in line.split():
-                price = cost(word)
-                if open_words and used + price > limit:
-                    done.append(" ".join(open_words))
-                    open_words, used = [], 0
-                open_words.append(word)
-                used += price
-            return done + [" ".join(open_words)] if open_words else done
-
-        return values.map(chunks)
+            count = bpe_counter(encoding)
+            costs = np.fromiter((count(word + " ") for word in flat), np.int64, len(flat))
+        sizes = np.array([len(line) for line in words], dtype=np.int64)
+        first, last, _, line = pack_lists(costs, sizes, Budget(limit))
+        # Runs follow each other without gaps, so their starts are the offsets of the pieces' words.
+        pieces = pc.binary_join(
+            pa.ListArray.from_arrays(pa.array(np.append(first, len(flat)), pa.int32()), pa.array(flat, pa.string())), " ")
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(words)))])
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pieces)
 
     return split
 
@@ -83,7 +73,7 @@ def split_large_lines(
 ) -> DataFrame:
     """Cut lines over ``max_line_tokens`` into runs of words that fit; a word over it stands alone.
 
-    Only such lines visit Python; white space collapses in them alone, and one of white space only
+    Words are packed like lines into windows, without overlap.  Only such lines visit Python; white space collapses in them alone, and one of white space only
     vanishes.  Lines are numbered anew.
     """
     config = config or WindowConfig()

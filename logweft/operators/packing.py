@@ -83,6 +83,20 @@ def run_ends(tokens: np.ndarray, stops: np.ndarray, budget: Budget):
     return last, total, following
 
 
+def pack_lists(tokens: np.ndarray, sizes: np.ndarray, budget: Budget):
+    """Runs of whole lists lying side by side: first row, last row, tokens and list of every run."""
+    ends = np.cumsum(sizes)
+    last, total, following = run_ends(tokens, np.repeat(ends, sizes), budget)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    found, at = [np.zeros(0, dtype=np.int64)], (ends - sizes)[sizes > 0]
+    while len(at):
+        found.append(at)
+        ahead = following[at]
+        at = ahead[ahead < ends[owner[at]]]
+    start = np.sort(np.concatenate(found))
+    return start, last[start], total[start], owner[start]
+
+
 # ---------------------------------------------------------------------------------------------------
 # Chunk maps: where does a chain that enters here leave the chunk, and how many runs does it start?
 

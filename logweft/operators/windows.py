@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from logweft.config import WindowConfig
 from logweft.functions.tokens import count_tokens, simple_tokens
-from logweft.operators.packing import Budget, pack_rows, run_ends
+from logweft.operators.packing import Budget, pack_lists, pack_rows
 from logweft.sources.files import read_log_lines
 from logweft.sources.lines import lines_from_column
 
@@ -71,21 +71,11 @@ def _bounds_function(budget: Budget):
     @F.arrow_udf("array<struct<first: bigint, last: bigint, tokens: bigint>>")
     def bounds(tokens: pa.Array) -> pa.Array:
         sizes = np.diff(tokens.offsets.to_numpy())
-        flat = tokens.flatten().to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes)
-        row_start = ends - sizes
-        last, total, following = run_ends(flat, np.repeat(ends, sizes), budget)
-        text = np.repeat(np.arange(len(sizes)), sizes)
-        found, at = [], row_start[sizes > 0]
-        while len(at):
-            found.append(at)
-            ahead = following[at]
-            at = ahead[ahead < ends[text[at]]]
-        start = np.sort(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
-        owner = text[start]
-        offsets = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(sizes)))])
+        before = np.cumsum(sizes) - sizes
+        first, last, total, text = pack_lists(tokens.flatten().to_numpy(zero_copy_only=False), sizes, budget)
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=len(sizes)))])
         structs = pa.StructArray.from_arrays(
-            [pa.array(start - row_start[owner]), pa.array(last[start] - row_start[owner]), pa.array(total[start])],
+            [pa.array(first - before[text]), pa.array(last - before[text]), pa.array(total)],
             fields=list(spans.value_type))
         return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)
 

@@ -1,55 +1,29 @@
-"""Plain line-by-line statements of the window rules, for comparison."""
+"""The window rules, stated naively, for comparison."""
 
 
 def windows(tokens, max_tokens, ratio):
-    """(first line, last line, tokens) of every window."""
-    keep = int(max_tokens * ratio)
-    found, held, used, i = [], [], 0, 0
-    while i < len(tokens):
-        if used + tokens[i] <= max_tokens:
-            held.append(i)
-            used += tokens[i]
-            i += 1
-        elif held:
-            found.append((held[0], held[-1], used))
-            kept, weight = [], 0
-            if ratio > 0:
-                for j in reversed(held):
-                    if weight + tokens[j] > keep:
-                        break
-                    kept.insert(0, j)
-                    weight += tokens[j]
-            if weight + tokens[i] > max_tokens:  # the carry leaves no room: drop it
-                kept, weight = [], 0
-            held, used = kept, weight
-        else:
-            found.append((i, i, tokens[i]))
-            i += 1
-    if held:
-        found.append((held[0], held[-1], used))
-    return found
+    """(first row, last row, tokens) of every window."""
+    n, keep, found, start = len(tokens), int(max_tokens * ratio), [], 0
 
+    def size(a, b):
+        return sum(tokens[a:b])
 
-def merges(tokens, budget):
-    """(first, last, tokens) of every merged run of windows."""
-    found, held, used = [], [], 0
-    for i, t in enumerate(tokens):
-        if held and used + t > budget:
-            found.append((held[0], held[-1], used))
-            held, used = [], 0
-        held.append(i)
-        used += t
-    return found + [(held[0], held[-1], used)] if held else found
+    while start < n:
+        stop = next((b for b in range(start + 1, n + 1) if size(start, b) > max_tokens), n + 1) - 1
+        if stop == start:  # a row over the budget
+            found.append((start, start, tokens[start]))
+            start += 1
+            continue
+        found.append((start, stop - 1, size(start, stop)))
+        if stop == n:
+            break
+        again = next(k for k in range(start, stop + 1) if size(k, stop) <= keep) if ratio > 0 else stop
+        start = again if size(again, stop + 1) <= max_tokens else stop
+    return found
 
 
 def split(line, limit):
-    """Chunks of a line over the limit."""
-    chunks, words, used = [], [], 0
-    for word in line.split():
-        cost = max(1, len(word + " ") // 4)
-        if words and used + cost > limit:
-            chunks.append(" ".join(words))
-            words, used = [], 0
-        words.append(word)
-        used += cost
-    return chunks + [" ".join(words)] if words else chunks
+    """Chunks of a line over the limit: its words, packed by the cost of a word and a blank."""
+    words = line.split()
+    packed = windows([max(1, (len(word) + 1) // 4) for word in words], limit, 0.0)
+    return [" ".join(words[a:b + 1]) for a, b, _ in packed]

@@ -58,7 +58,7 @@ def make_sources(seed, max_tokens, zero=False):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.lists(st.integers(0, 14), min_size=1, max_size=40), min_size=1, max_size=5),
        st.integers(1, 30), st.sampled_from([0.0, 0.1, 0.15, 0.5, 0.9]))
-def test_next_starts_equal_the_fold(groups, max_tokens, ratio):
+def test_next_starts_equal_the_naive_rules(groups, max_tokens, ratio):
     budget = Budget(max_tokens, int(max_tokens * ratio), ratio > 0)
     sizes = np.array([len(g) for g in groups])
     ends = np.cumsum(sizes)
@@ -214,7 +214,7 @@ def test_merge(spark, chunk):
     found = merge_windows(frame, 60, chunk_windows=chunk).collect()
     for source, tokens in sources.items():
         mine = sorted((r for r in found if r.source == source), key=lambda r: r.window_index)
-        expected = folds.merges(tokens, 60)
+        expected = folds.windows(tokens, 60, 0.0)
         assert [(r.start_line, r.end_line, r.token_count) for r in mine] == [(a * 2, b * 2 + 2, t) for a, b, t in expected]
         assert [r.content for r in mine] == ["\n".join(f"{source}.{i}" for i in range(a, b + 1)) for a, b, _ in expected]
         assert all(r.total_windows == len(expected) for r in mine)
