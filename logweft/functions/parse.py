@@ -25,6 +25,12 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITE_SPACE))
 
 
+def valid_text(value: Column) -> Column:
+    """Text without the bytes that are no UTF-8; valid lines pass untouched."""
+    repaired = F.translate(F.make_valid_utf8(value), "\ufffd", "")
+    return F.when(F.is_valid_utf8(value), value).otherwise(repaired)
+
+
 def is_log_line(value: Column) -> Column:
     """Whether the line has the format; its date may still be impossible."""
     return F.coalesce(value.rlike(_UNSTRIPPED), F.lit(False))

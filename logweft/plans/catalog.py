@@ -10,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logweft import jobs
 from logweft.config import WindowConfig
 from logweft.fixed_values import (
     DASHBOARD_TAIL_LINES,
@@ -917,6 +918,19 @@ def result_rollup(spark, sf_dir):
     return reports.result_rollup(by_type).withColumnRenamed("file", "analysis_type")
 
 
+@query("analyze_log_files", f"""{WITH_EVENT_WINDOWS}, typed AS (SELECT *, {DETECT} AS analysis_type FROM win)
+SELECT window_index, total_windows, token_count AS window_tokens, analysis_type,
+       md5({_case('analysis_type', _CANNED)}) AS analysis, 'ordersvc' AS service FROM typed""")
+def analyze_log_files(spark, sf_dir):
+    """Files to analysis records in one call, read back."""
+    out = new_shared_path(spark, "analyzed-files")
+    jobs.analyze_log_files(spark, inputs.land_event_files(spark, sf_dir), out, _meta(), config=SMALL_CONFIG,
+                           source=inputs.landed_source(), run_ts=RUN_TS)
+    found = results.read_result_records(spark, out, multi_line=False)
+    return found.select("meta.window_index", "meta.total_windows", "meta.window_tokens", "analysis_type",
+                        F.md5("analysis").alias("analysis"), "meta.service")
+
+
 @query("latest_results")
 def latest_results(spark, sf_dir):
     """The newest result files (names differ from run to run)."""

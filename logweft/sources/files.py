@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from logweft.functions.parse import valid_text
 from logweft.session import cut_lineage
 
 # A block table of this many rows (40 bytes each) is broadcast; a longer one is joined by shuffle.
@@ -30,7 +31,7 @@ def read_log_lines(
     number is its place in the split plus the lines of the source's splits before.  A first pass counts
     lines per split; the second reads the text and looks the offset up.  Text is not shuffled for it
     while the table of splits is small enough to broadcast, which is checked.
-    Bytes that are no UTF-8 arrive as U+FFFD and are removed.
+    Bytes that are no UTF-8 are removed.
     """
     # Both passes must cut files alike: pin what the split size would otherwise take from the cluster's
     # current size.
@@ -56,7 +57,7 @@ def read_log_lines(
     return placed.join(blocks, ["_file", "_block"]).select(
         "source",
         (F.col("_place") - F.col("_first") + F.col("_base")).alias("line_no"),
-        F.translate("value", "\ufffd", "").alias("value"),
+        valid_text(F.col("value")).alias("value"),
     )
 
 

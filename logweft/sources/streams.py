@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweft.functions.parse import valid_text
+
 
 def rolled_source() -> Column:
     """Name of the log a segment belongs to: ``app.log.20240101_000000.1`` is a segment of ``app.log``."""
@@ -31,5 +33,5 @@ def stream_log_lines(
         (rolled_source() if source is None else source).alias("source"),
         F.col("_metadata.file_path").alias("segment"),
         F.col("_metadata.file_block_start").alias("offset"),
-        F.translate("value", "\ufffd", "").alias("value"),
+        valid_text(F.col("value")).alias("value"),
     )

@@ -56,7 +56,7 @@ def analysis_records(
     scorer: Scorer | None = None,
     **options,
 ) -> DataFrame:
-    """Analysis records of selected rows (``source, text``): summary of the rows and every window's answer.
+    """Analysis records of selected rows (``source, reason, text``): summary of the rows and every window's answer.
 
     One record per window of a selection; ``window_index = 0`` gives the first only.
     """
@@ -64,8 +64,8 @@ def analysis_records(
     summary = log_summary(parse_log(lines_from_column(selections, "source", "text")))
     answers = analyze_windows(text_windows(selections, config), meta, scorer=scorer, **options)
     batch_id = F.lit(batch_id).cast("long") if isinstance(batch_id, int) else batch_id
-    return answers.join(summary, "source", "left").select(
-        batch_id.alias("analysis_id"), "source", "meta.window_index", "meta.total_windows",
+    return answers.join(summary, "source", "left").join(selections.select("source", "reason"), "source", "left").select(
+        batch_id.alias("analysis_id"), "source", "reason", "meta.window_index", "meta.total_windows",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         F.col("total").alias("log_count"),
         F.struct(F.date_format("start", "yyyy-MM-dd'T'HH:mm:ss").alias("start"),

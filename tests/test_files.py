@@ -43,9 +43,9 @@ def test_lines_are_numbered_across_splits(spark, conf, logs, split):
 
 
 def test_line_ends_and_bad_bytes(spark, tmp_path):
-    (tmp_path / "x.log").write_bytes(b"one\r\ntwo\n\nfo\xffur \xec\xa3\xbc\nlast")
+    (tmp_path / "x.log").write_bytes(b"one\r\ntwo\n\nfo\xffur \xec\xa3\xbc\nmark \xef\xbf\xbd\nlast")
     values, _ = lines_of(read_log_lines(spark, str(tmp_path)))
-    assert values["x.log"] == ["one", "two", "", "four 주", "last"]
+    assert values["x.log"] == ["one", "two", "", "four 주", "mark \ufffd", "last"]
 
 
 def test_rolled_segments_are_one_source(spark, conf, tmp_path):

@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+from logweft import jobs
 from logweft.config import AutoThresholds, MonitorThresholds
 from logweft.sources.streams import stream_log_lines
 from logweft.streaming import monitor, sinks, triggers
@@ -151,6 +152,24 @@ def test_analyses_of_a_trigger(producer):
     assert (row.log_time_range.start, row.log_time_range.end) == ("2024-01-01T00:00:30", "2024-01-01T00:02:09")
 
 
+def test_watching_jobs(spark, producer):
+    producer.roll(("a", [line(i, "ERROR", "db", "heap") for i in range(30)]), ("b", [line(i) for i in range(3)]))
+    out, folder = str(producer.path / "watch"), str(producer.path / "in")
+    queries = [*jobs.monitor_logs(spark, folder, out, available_now=True),
+               jobs.auto_analyze_logs(spark, folder, out + "-auto", available_now=True)]
+    for query in queries:
+        query.awaitTermination(120)
+        assert query.exception() is None
+    stats = sinks.latest_per_key(sinks.read_batches(spark, out + "/stats"), ["level", "service"])
+    assert {(r.level, r.service, r.n) for r in stats.collect()} == {("ERROR", "db", 30), ("INFO", "svc", 3)}
+    assert {(r.source, r.kind) for r in sinks.read_batches(spark, out + "/alerts").collect()} == {
+        ("a.log", "error_rate"), ("a.log", "service_errors")}
+    watched = {(r.source, r.reason, r.log_count, r.analysis_type) for r in sinks.read_batches(spark, out + "/analyses").collect()}
+    assert watched == {("a.log", "row_count", 30, "database"), ("b.log", "first", 3, "general")}
+    fired = sinks.read_batches(spark, out + "-auto/analyses").collect()
+    assert [(r.source, r.reason, r.log_count) for r in fired] == [("a.log", "error_rate", 30)]
+
+
 def test_a_repeated_batch_replaces_itself(spark, tmp_path):
     write = sinks.batch_table(str(tmp_path / "t"))
     write(spark.range(5), 0)
