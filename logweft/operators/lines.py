@@ -37,17 +37,28 @@ def line_is_kept(line: Column, filters: list[str] | None = None, mode: str = "de
     return kept
 
 
+def _without_end(line: Column, mode: str) -> Column:
+    return F.rtrim(line, F.lit("\n" if mode == "legacy" else "\n\r"))
+
+
 def clean_lines(
     lines: DataFrame, filters: list[str] | None = None, mode: str = "default", lower_filters: bool = False
 ) -> DataFrame:
     """Lines worth analysing, without line ends; ``line_no`` is kept (see ``renumber_lines``)."""
-    ends = "\n" if mode == "legacy" else "\n\r"
     return (
         lines.filter(line_is_kept(F.col("value"), filters, mode, lower_filters))
-        .withColumn("value", F.rtrim(F.col("value"), F.lit(ends)))
+        .withColumn("value", _without_end(F.col("value"), mode))
     )
 
 
+def clean_array(
+    lines: Column, filters: list[str] | None = None, mode: str = "default", lower_filters: bool = False
+) -> Column:
+    """``clean_lines`` on an array of lines."""
+    kept = F.filter(lines, lambda line: line_is_kept(line, filters, mode, lower_filters))
+    return F.transform(kept, lambda line: _without_end(line, mode))
+
+
 def _split_function(limit: int, simple: bool, encoding: str):
     @F.arrow_udf("array<string>")
     def split(lines: pa.Array) -> pa.Array:

@@ -374,6 +374,7 @@ def pack_rows(
     chunk_rows: int | None = None,
     whole_source_tokens: int = WHOLE_SOURCE_TOKENS,
     buffer_rows: int = BUFFER_ROWS,
+    chunks_per_block: int = CHUNKS_PER_BLOCK,
 ) -> DataFrame:
     """Pack ``rows(source, pos, tokens, value, first, last)`` into runs.
 
@@ -397,7 +398,7 @@ def pack_rows(
         .select("source", "chunk", "pos", "tokens")
     )
     maps = spread.groupBy("source", "chunk").applyInArrow(_chunk_map_function(budget, chunk_rows), _MAP_SCHEMA)
-    block = F.call_function("div", F.col("slot"), F.lit(CHUNKS_PER_BLOCK))
+    block = F.call_function("div", F.col("slot"), F.lit(chunks_per_block))
     blocked = maps.withColumn("block", block)
     roots = (
         blocked.groupBy("source", "block").applyInArrow(_compose_block, _MAP_SCHEMA)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -87,13 +89,13 @@ def text_windows(
     config: WindowConfig | None = None,
     source: str | Column = "source",
     text: str | Column = "text",
-    keep_line=None,
+    clean: Callable[[Column], Column] | None = None,
     content: bool = True,
 ) -> DataFrame:
     """Windows over texts that hold a whole log each, one row per source.
 
     Nothing is shuffled: the lines of a source are an array in its row, only their token counts visit
-    Python.  ``keep_line`` is a predicate on a line (see ``line_is_kept``) applied before windowing;
+    Python.  ``clean`` is applied to the array of lines first (see ``lines.clean_array``);
     ``content=False`` leaves the contents out.
     """
     config = config or WindowConfig()
@@ -102,8 +104,8 @@ def text_windows(
     source = F.col(source) if isinstance(source, str) else source
     text = F.col(text) if isinstance(text, str) else text
     lines = F.split(text, "\n")
-    if keep_line is not None:
-        lines = F.filter(lines, keep_line)
+    if clean is not None:
+        lines = clean(lines)
     arrays = texts.filter(text.isNotNull()).select(source.cast("string").alias("source"), lines.alias("lines"))
     bounded = arrays.withColumn("bounds", _bounds_function(_budget(config))(
         F.transform("lines", lambda line: simple_tokens(line))))

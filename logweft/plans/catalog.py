@@ -308,6 +308,20 @@ def cleaned_windows(spark, sf_dir):
     return _hashed(windows.token_windows(cleaned, SMALL_CONFIG), "content")
 
 
+@query("cleaned_text_windows", f"""WITH RECURSIVE {oracle.DOCUMENT_LINES},
+cleaned AS (SELECT source, row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS i, v FROM doc_lines
+            WHERE {oracle.kept_line()} AND NOT contains(lower(v), 'the ') AND NOT contains(lower(v), ' un ')),
+{oracle.windows("cleaned", 300, 0.15).strip()}
+SELECT {_WINDOW_COLUMNS} FROM win""")
+def cleaned_text_windows(spark, sf_dir):
+    """Cleaning with own words inside the rows, then windows."""
+    words = ["healthz", "readinessProbe", "livenessProbe", "the ", " un "]
+    found = windows.text_windows(
+        inputs.table(spark, sf_dir, "documents"), DOC_CONFIG, source="doc_id", text="text",
+        clean=lambda array: lines.clean_array(array, words))
+    return _hashed(found, "content")
+
+
 @query("window_stats", WITH_DOC_WINDOWS + oracle.stats("source"))
 def window_stats(spark, sf_dir):
     stats = windows.window_stats(_doc_windows(spark, sf_dir, content=False), ["source"])

@@ -94,6 +94,14 @@ def test_a_run_beyond_the_lookahead_fails_loudly(spark):
         token_windows(frame, WindowConfig(5, 0.0), chunk_lines=10).collect()
 
 
+@pytest.mark.parametrize("tokens", [[4] * 3000, None])
+def test_many_blocks_of_chunks(spark, tokens):
+    rng = random.Random(12)
+    sources = {"long": tokens or [rng.choice([1, 2, 7, 33, 45]) for _ in range(3000)], "mid": [9] * 130, "short": [5, 5]}
+    found = token_windows(lines_frame(spark, sources), WindowConfig(30, 0.2), chunk_lines=40, chunks_per_block=4)
+    check(found.collect(), sources, 30, 0.2)
+
+
 @pytest.mark.parametrize("numbers, chunk", [([0, 1, 3], None), ([1, 2, 3], None), ([0, 1, 1, 2], None), ([*range(40), 50], 12)])
 def test_gaps_in_numbers_fail_loudly(spark, numbers, chunk):
     frame = spark.createDataFrame([("s", n, "abcd", 1) for n in numbers], "source string, line_no long, value string, tokens long")
