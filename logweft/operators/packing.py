@@ -236,8 +236,9 @@ def _join_runs(values: pa.Array, start: np.ndarray, last: np.ndarray) -> Iterato
         lengths = last[lo:hi] - start[lo:hi] + 1
         offsets = np.concatenate([[0], np.cumsum(lengths)])
         rows = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start[lo:hi], lengths)
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values.take(pa.array(rows)))
-        yield slice(lo, hi), pc.binary_join(lists, "\n")
+        lines = values.take(pa.array(rows)).cast(pa.string())
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), lines)
+        yield slice(lo, hi), pc.binary_join(lists, "\n").cast(values.type)
         lo = hi
 
 
