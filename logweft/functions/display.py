@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from logweft.fixed_values import ERROR_LEVELS, TIME_AGO_UNITS
+from logweft.functions.times import seconds_between
 
 
 def _fixed(value: Column, digits: int) -> Column:
@@ -24,7 +25,7 @@ def human_size(size: Column) -> Column:
 
 def time_ago(ts: Column, now: Column) -> Column:
     """Time from ``ts`` to ``now`` in seconds, minutes or hours; N/A for null."""
-    seconds = F.timestamp_diff("MICROSECOND", ts, now) / F.lit(1e6)
+    seconds = seconds_between(ts, now)
     in_seconds, in_minutes, in_hours = TIME_AGO_UNITS
     return (
         F.when(ts.isNull(), F.lit("N/A"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from logweft.fixed_values import DASHBOARD_TAIL_LINES, ERROR_LEVELS, LEVELS, SERVICES, TOP_SERVICES
 from logweft.functions.parse import with_parse
+from logweft.functions.times import seconds_between
 from logweft.operators.lines import last_rows
 
 def _rows() -> Column:
@@ -145,6 +146,5 @@ def tail_level_stats(
 def throughput(parsed: DataFrame, start: Column | None = None, end: Column | None = None, ts: str = "ts") -> DataFrame:
     """Lines per second from ``start`` to ``end`` (default: first to last line); 0 when no time passed."""
     bounds = parsed.agg(_rows().alias("n"), F.min(ts).alias("lo"), F.max(ts).alias("hi"))
-    seconds = F.timestamp_diff(
-        "MICROSECOND", F.col("lo") if start is None else start, F.col("hi") if end is None else end) / F.lit(1e6)
+    seconds = seconds_between(F.col("lo") if start is None else start, F.col("hi") if end is None else end)
     return bounds.select("n", F.when(seconds > 0, F.col("n") / seconds).otherwise(F.lit(0.0)).alias("per_second"))

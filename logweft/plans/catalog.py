@@ -712,7 +712,8 @@ def batch_alerts(spark, sf_dir):
 
 
 def _by_hour(spark, sf_dir) -> DataFrame:
-    return inputs.event_logs(spark, sf_dir).withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    hour = F.concat(F.substring(F.col("ts").cast("string"), 1, 13), F.lit(":00:00"))
+    return inputs.event_logs(spark, sf_dir).withColumn("hour", hour.cast("timestamp_ntz"))
 
 
 _HOURLY = f"WITH {oracle.EVENT_LOGS.replace('logs AS', 'all_logs AS')}, logs AS (SELECT *, date_trunc('hour', ts) AS hour FROM all_logs)"

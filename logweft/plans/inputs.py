@@ -55,7 +55,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     service = F.concat(F.lit("svc"), (F.col("user_id") % 12).cast("string"))
     message = F.element_at(F.array(*[F.lit(m) for m in EVENT_MESSAGES]), (F.col("event_id") % 7 + 1).cast("int"))
     line = F.concat(
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(" "), _level(), F.lit(" ["), service, F.lit("] "), message)
+        F.substring(F.col("ts").cast("string"), 1, 19), F.lit(" "), _level(), F.lit(" ["), service, F.lit("] "), message)
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("log"), (F.col("user_id") % 16).cast("string")).alias("source"),
         F.col("ts").alias("event_ts"), "event_id", "event_type", line.alias("value"))

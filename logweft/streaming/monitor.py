@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from logweft.config import MonitorThresholds, WindowConfig
 from logweft.functions.parse import parse_log
+from logweft.functions.times import as_utc, from_utc, iso_text
 from logweft.operators.aggregates import is_error, log_summary
 from logweft.operators.alerts import alerts, alerts_from_cells
 from logweft.operators.analyze import Scorer, analyze_windows
@@ -34,12 +35,13 @@ def event_time_cells(lines: DataFrame, width: str = "1 minute", delay: str = "5
 
     Unlike counts per micro-batch they do not depend on how lines fell into batches.
     """
-    timed = parse_log(lines).withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", delay)
+    # Watermarks need a zoned time.
+    timed = parse_log(lines).withColumn("event_time", as_utc(F.col("ts"))).withWatermark("event_time", delay)
     return (
         timed.groupBy(F.window("event_time", width), *by, "service")
         .agg(F.count(F.lit(1)).alias("n"), F.count_if(is_error()).alias("errors"),
              F.count_if(F.col("level") == "CRITICAL").alias("criticals"))
-        .select(F.col("window.start").cast("timestamp_ntz").alias("interval_start"), *by, "service", "n", "errors", "criticals")
+        .select(from_utc(F.col("window.start")).alias("interval_start"), *by, "service", "n", "errors", "criticals")
     )
 
 
@@ -68,8 +70,7 @@ def analysis_records(
         batch_id.alias("analysis_id"), "source", "reason", "meta.window_index", "meta.total_windows",
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
         F.col("total").alias("log_count"),
-        F.struct(F.date_format("start", "yyyy-MM-dd'T'HH:mm:ss").alias("start"),
-                 F.date_format("end", "yyyy-MM-dd'T'HH:mm:ss").alias("end")).alias("log_time_range"),
+        F.struct(iso_text(F.col("start")).alias("start"), iso_text(F.col("end")).alias("end")).alias("log_time_range"),
         F.struct("total", "by_level", "by_service").alias("log_summary"),
         "analysis_type", "analysis", "success", "error")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logweft.config import AutoThresholds, MonitorThresholds
 from logweft.fixed_values import LEVELS, SERVICES
+from logweft.functions.display import time_ago
 from logweft.operators import aggregates as agg
 from logweft.operators import alerts as al
 from logweft.operators import reports
@@ -73,6 +74,14 @@ def test_summary_times_follow_arrival(spark):
     assert (str(row.start), str(row.end)) == ("2024-01-15 10:30:08", "2024-01-15 10:30:00")
 
 
+def test_throughput_does_not_depend_on_the_zone(spark, conf):
+    conf("spark.sql.session.timeZone", "Europe/Berlin")
+    day = spark.sql("SELECT explode(array(TIMESTAMP_NTZ'2024-03-31 01:00:00', TIMESTAMP_NTZ'2024-03-31 05:00:00')) AS ts")
+    assert agg.throughput(day).first().per_second == 2 / 14400
+    ago = time_ago(F.col("ts"), F.lit("2024-03-31 05:30:00").cast("timestamp_ntz"))
+    assert sorted(r[0] for r in day.select(ago).collect()) == ["30분 전", "4.5시간 전"]
+
+
 def test_tail(spark):
     values = ["2024-01-15 10:30:15 ERROR [s] x"] * 10 + ["no log line"] * 3 + ["2024-01-15 10:30:15 CRITICAL [s] x"] * 2
     lines = spark.createDataFrame([("f", i, v) for i, v in enumerate(values)], "source string, line_no long, value string")

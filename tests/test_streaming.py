@@ -81,6 +81,20 @@ def test_event_time_alerts_do_not_depend_on_batches(spark, tmp_path):
     assert results[0] == results[1] and results[0]
 
 
+def test_event_time_does_not_depend_on_the_zone(spark, conf, tmp_path):
+    # In Berlin the hour from 02:00 to 03:00 of this day does not exist.
+    lines = [f"2024-03-31 {m // 60:02d}:{m % 60:02d}:00 ERROR [svc] m" for m in range(60, 300)]
+    results = []
+    for zone in ("UTC", "Europe/Berlin", "Asia/Kolkata"):
+        conf("spark.sql.session.timeZone", zone)
+        producer = Producer(spark, tmp_path / zone.replace("/", "-"))
+        producer.roll(("a", lines))
+        table = producer.poll(monitor.event_time_cells(producer.lines(), "1 hour", "5 minutes"))
+        results.append(sorted((str(r.interval_start), r.n) for r in table.collect()))
+    assert results[0] == [(f"2024-03-31 {h:02d}:00:00", 60) for h in (1, 2, 3)]
+    assert results[0] == results[1] == results[2]
+
+
 def auto(producer, **limits):
     return producer.poll(triggers.auto_trigger(producer.lines(), AutoThresholds(**limits)), "auto")
 
