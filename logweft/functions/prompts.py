@@ -36,9 +36,10 @@ CANNED_ANSWERS = {
 }
 
 
-def or_unknown(value: Column) -> Column:
-    """A missing meta field reads ``[unknown]``."""
-    return F.coalesce(value.cast("string"), F.lit(UNKNOWN))
+def meta_defaults(meta: dict[str, Column]) -> dict[str, Column]:
+    """The four fields of a prompt's header; a missing one reads ``[unknown]``."""
+    return {
+        name: F.coalesce(meta.get(name, F.lit(None)).cast("string"), F.lit(UNKNOWN)) for name in META_FIELDS}
 
 
 def processed_at(run_ts: str | Column) -> Column:
@@ -48,7 +49,7 @@ def processed_at(run_ts: str | Column) -> Column:
 
 def user_prompt(kind: Column, meta: dict[str, Column], content: Column, types: AnalysisTypes = DEFAULT_TYPES) -> Column:
     """Header with meta, the log content verbatim, and the task block of the type."""
-    field = {name: or_unknown(meta.get(name, F.lit(None))) for name in META_FIELDS}
+    field = meta_defaults(meta)
     return F.concat(
         F.lit("[META]\nservice="), field["service"],
         F.lit("\nhost="), field["host"],

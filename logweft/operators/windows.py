@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logweft.config import WindowConfig
@@ -15,7 +15,7 @@ from logweft.operators.packing import Budget, pack_lists, pack_rows
 from logweft.sources.files import read_log_lines
 from logweft.sources.lines import lines_from_column
 
-WINDOW_COLUMNS = ["source", "window_index", "total_windows", "start_line", "end_line", "token_count", "content"]
+WINDOW_BUCKET = 65536
 
 
 def _budget(config: WindowConfig) -> Budget:
@@ -148,6 +148,25 @@ def window_stats(windows: DataFrame, by: list[str] | None = None) -> DataFrame:
     return stats
 
 
+def overlap_carry(windows: DataFrame, bucket_windows: int = WINDOW_BUCKET) -> DataFrame:
+    """Lines that each window shares with the one before it.
+
+    Windows of a source are compared within buckets that also see the last window of the bucket before, so a
+    source of any size is spread.
+    """
+    bucket = F.call_function("div", F.col("window_index"), F.lit(bucket_windows))
+    closes = F.col("window_index") % F.lit(bucket_windows) == bucket_windows - 1
+    placed = windows.select("source", "window_index", "start_line", "end_line", bucket.alias("_home")).withColumn(
+        "_bucket", F.explode(F.when(closes, F.array("_home", F.col("_home") + 1)).otherwise(F.array("_home"))))
+    before = F.lag("end_line").over(Window.partitionBy("source", "_bucket").orderBy("window_index"))
+    zero = F.lit(0).cast("long")
+    return (
+        placed.withColumn("carried_lines", F.greatest(zero, F.coalesce(before - F.col("start_line") + 1, zero)))
+        .filter(F.col("_bucket") == F.col("_home"))
+        .select("source", "window_index", "start_line", "end_line", "carried_lines")
+    )
+
+
 def covered_lines(windows: DataFrame) -> DataFrame:
     """Distinct lines per source: windows leave no gap, so the last end decides."""
     return windows.groupBy("source").agg(

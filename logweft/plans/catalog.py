@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweft import jobs
@@ -282,10 +282,7 @@ SELECT source, window_index, start_line, end_line,
 def overlap_carry(spark, sf_dir):
     """Lines a window shares with the one before it, at half overlap."""
     found = _doc_windows(spark, sf_dir, WindowConfig(max_tokens=300, overlap_ratio=0.5), content=False)
-    previous = F.lag("end_line").over(Window.partitionBy("source").orderBy("window_index"))
-    zero = F.lit(0).cast("long")
-    return found.select("source", "window_index", "start_line", "end_line", F.greatest(
-        zero, F.coalesce(previous - F.col("start_line") + 1, zero)).alias("carried_lines"))
+    return windows.overlap_carry(found)
 
 
 @query("token_windows_no_overlap", "WITH RECURSIVE " + oracle.DOCUMENT_LINES + ","

@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -81,6 +81,13 @@ def analyses(config: WindowConfig | None = None, meta: dict[str, Column] | None
     return lambda batch, batch_id: analysis_records(batch, batch_id, config, meta, scorer, **options)
 
 
+def periodic_status(spark: SparkSession, report: Callable[[dict], None], seconds: float = 30.0) -> "PeriodicStatus":
+    """Report progress of the session's queries from now on; returns the listener, to remove it again."""
+    listener = PeriodicStatus(report, seconds)
+    spark.streams.addListener(listener)
+    return listener
+
+
 class PeriodicStatus(StreamingQueryListener):
     """Reports progress of the running queries, at most every ``seconds``."""
 

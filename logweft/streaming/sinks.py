@@ -24,6 +24,11 @@ def batch_table(path: str, transform: BatchFunction | None = None, fmt: str = "p
     return write
 
 
+def write_reports(path: str, transform: BatchFunction | None = None):
+    """``batch_table`` as JSON reports, one folder per batch."""
+    return batch_table(path, transform, "json")
+
+
 def start(
     frame: DataFrame, path: str, checkpoint: str, output_mode: str = "append",
     transform: BatchFunction | None = None, fmt: str = "parquet", available_now: bool = False,

@@ -103,3 +103,8 @@ def monitor_trigger(lines: DataFrame, thresholds: MonitorThresholds = MonitorThr
     """Decision, size of the recent-row buffer and rows to analyse, per micro-batch and source with new rows."""
     return source_shares(lines, thresholds.buffer_rows).groupBy("source").applyInPandasWithState(
         _monitor_function(thresholds), MONITOR_SCHEMA, MONITOR_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def recent_buffer(lines: DataFrame, thresholds: MonitorThresholds = MonitorThresholds()) -> DataFrame:
+    """Rows kept per source, and the last of them where they are to be analysed."""
+    return monitor_trigger(lines, thresholds).select("source", "buffered", "analyzed_count", "text")

@@ -194,8 +194,7 @@ def test_a_repeated_batch_replaces_itself(spark, tmp_path):
 
 def test_periodic_status(spark, producer):
     seen = []
-    listener = monitor.PeriodicStatus(seen.append, seconds=0)
-    spark.streams.addListener(listener)
+    listener = monitor.periodic_status(spark, seen.append, seconds=0)
     try:
         producer.roll(("a", some_lines(20)))
         producer.poll(producer.lines())

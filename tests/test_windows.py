@@ -11,6 +11,7 @@ from logweft.operators.windows import (
     covered_lines,
     filter_windows,
     merge_windows,
+    overlap_carry,
     process_log_lines,
     text_windows,
     token_windows,
@@ -202,6 +203,19 @@ def test_statistics(spark):
     assert tuple(none) == (0, 0, 0.0, 0, 0, 0)
 
 
+@pytest.mark.parametrize("bucket", [1, 3, 1000])
+def test_overlap(spark, bucket):
+    sources = make_sources(8, 40)
+    found = token_windows(lines_frame(spark, sources), WindowConfig(40, 0.4), content=False)
+    mine = {(r.source, r.window_index): r.carried_lines for r in overlap_carry(found, bucket).collect()}
+    expected = {}
+    for source, tokens in sources.items():
+        spans = folds.windows(tokens, 40, 0.4)
+        for i, (start, _, _) in enumerate(spans):
+            expected[source, i] = max(0, spans[i - 1][1] - start + 1) if i else 0
+    assert mine == expected
+
+
 def test_filter_and_lookup(spark):
     found = token_windows(lines_frame(spark, {"a": [10, 10, 10], "b": [50]}), WindowConfig(20, 0.5))
     config = WindowConfig(20, 0.5, min_tokens=30)
