@@ -92,20 +92,20 @@ class Bands:
 
     def __init__(self, percent: int, growth: float):
         self.percent, self.growth = percent, growth
-        self.lows = [1]
-        self.at = {}
+        self.lows = [1, 2]
 
-    def _reach(self, size: int) -> None:
-        while self.lows[-1] <= size:
-            self.lows.append(max(self.lows[-1] + 1, int(self.lows[-1] * self.growth)))
+    def _extend(self) -> None:
+        self.lows.append(max(self.lows[-1] + 1, int(self.lows[-1] * self.growth)))
 
     def band(self, size: int) -> int:
-        self._reach(size)
+        while self.lows[-1] <= size:
+            self._extend()
         return int(np.searchsorted(self.lows, size, side="right")) - 1
 
     def buckets(self, band: int) -> tuple[int, int]:
         """Buckets of the band, and how many of a set may be empty without further keys.  0 where only equal sets link."""
-        self._reach(self.lows[-1] if band + 1 < len(self.lows) else int(self.lows[-1] * self.growth) + 2)
+        while len(self.lows) <= band + 1:
+            self._extend()
         differ = 2 * (self.lows[band + 1] - 1) * (100 - self.percent) // (100 + self.percent)
         spare = -(-8 * differ // 100) + 2
         return (differ + 1 + spare, spare) if differ else (0, 0)
