@@ -52,7 +52,7 @@ TAIL, HOT_TAIL = np.uint64(28), np.uint64(40)
 class LmConfig:
     """``block_chars``: text of a block; ``bucket_entries``: keys that meet in one group, about."""
 
-    block_chars: int = 12_000_000
+    block_chars: int = 9_000_000
     bucket_entries: int = 400_000
     hot_share: float = 1e-4
 
@@ -60,6 +60,15 @@ class LmConfig:
 # --- blocks ------------------------------------------------------------------------------------------------
 
 
+def planes(codes: np.ndarray) -> bytes:
+    """All first bytes, then all second ones, and so on, which compresses well."""
+    return np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+
+
 class _Codes(dict):
     def __missing__(self, word):
         code = self[word] = len(self)
@@ -91,7 +100,7 @@ class _Block:
         return pa.RecordBatch.from_arrays([
             pa.array([block], pa.int64()), pa.array([self.doc_ids], fields.field("doc_ids").type),
             pa.array([self.held], pa.list_(pa.bool_())), pa.array([self.sizes], pa.list_(pa.int64())),
-            pa.array([codes.tobytes()], pa.binary()), pa.array([words.tobytes()], pa.binary()),
+            pa.array([planes(codes)], pa.binary()), pa.array([words.tobytes()], pa.binary()),
             pa.array([counts.tobytes()], pa.binary()), pa.array([int(train.sum())], pa.int64()),
             pa.array([len(words)], pa.int64()), pa.array([len(codes)], pa.int64())], schema=fields)
 
@@ -194,7 +203,7 @@ class Pairs:
 
     def __init__(self, sizes, held, codes: bytes, words: bytes, hot: np.ndarray, bits: int):
         hashes = np.append(np.frombuffer(words, np.uint64), START)
-        self.second = np.frombuffer(codes, np.int32).astype(np.int64)
+        self.second = from_planes(codes).astype(np.int64)
         sizes = np.asarray(sizes, np.int64)
         self.starts = np.cumsum(sizes) - sizes
         self.first = np.roll(self.second, 1)
