@@ -14,10 +14,11 @@ has keys for them: no pair is lost.
 
 1. Sets and keys of all texts (one pass).  Equal sets are one from here on.
 2. Cells of at least two different sets, by an aggregation that keeps two numbers per key.
-3. Stars: every member against the cell's smallest, bound first, then verified; components of these links.
-4. Cells of three or more sets in more than one component: an R-tree per cell, cells of more than ``chunk`` sets in
-   pairs of chunks; candidates of different components are verified.  A large group of near copies is one component
-   after step 3, so its pairs are never listed.
+3. Stars: every member against the cell's smallest set, bound first, then verified; components of these links.  Where
+   a cell of three or more sets has several components, every member against its largest set, too.
+4. Cells of four or more sets that still have several components: an R-tree per cell, cells of more than ``chunk``
+   sets in pairs of chunks; candidates of different components are verified.  A large group of near copies is one
+   component after step 3, so its pairs are never listed.
 5. Components of all links.
 
 Shingles and sets are told apart by 64-bit hashes.
@@ -49,7 +50,7 @@ class JaccardConfig:
 
     words: int = 3
     percent: int = 90
-    groups: int = 32
+    groups: int = 256
     growth: float = 1.5
     leaf: int = 16
     chunk: int = 2_000
@@ -284,9 +285,9 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     keyed = named.select("set_id", F.explode("keys").alias("key"))
     cells = landed(
         keyed.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"))
-        .where("least < most").select("key", "least"), "jaccard-cells")
+        .where("least < most"), "jaccard-cells")
     members = landed(
-        keyed.join(small(cells, config.broadcast_rows), "key").select("key", "least", "set_id").distinct(), "jaccard-members")
+        keyed.join(small(cells, config.broadcast_rows), "key").select("key", "least", "most", "set_id").distinct(), "jaccard-members")
 
     # The sets of members, from one text each.
     wanted = landed(classes.join(members.select("set_id").distinct(), "set_id").select("first_id").distinct(), "jaccard-wanted")
@@ -297,13 +298,13 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     links = landed(verified(stars, found, config), "jaccard-stars")
     labels = components(links)
 
-    labelled = members.join(labels.select(F.col("node").alias("set_id"), "label"), "set_id", "left").select(
-        "key", "least", "set_id", F.coalesce("label", "set_id").alias("label"))
-    open_cells = labelled.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("m")).where("size > 2 and l < m")
-    rest = (
-        labelled.where("set_id <> least").join(open_cells.select("key", "size"), "key")
-        .join(found.select("set_id", "point"), "set_id"))
+    still = _open(members, labels, 3)
+    stars = still.where("set_id <> most and set_id <> least and label <> most_label").select(
+        F.col("set_id").alias("a"), F.col("most").alias("b")).distinct()
+    links = landed(links.unionByName(verified(stars, found, config)), "jaccard-stars")
+    labels = components(links)
+
+    rest = _open(members, labels, 4).where("set_id <> least and set_id <> most").join(found.select("set_id", "point"), "set_id")
     more = landed(verified(_chunked_pairs(rest, config).distinct(), found, config), "jaccard-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
@@ -318,6 +319,17 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
+def _open(members: DataFrame, labels: DataFrame, least_size: int) -> DataFrame:
+    """Members, with their labels, of cells that have ``least_size`` sets or more and more than one label."""
+    labelled = members.join(labels.select(F.col("node").alias("set_id"), "label"), "set_id", "left").withColumn(
+        "label", F.coalesce("label", "set_id"))
+    cells = labelled.groupBy("key").agg(
+        F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("m"),
+        F.max(F.when(F.col("set_id") == F.col("most"), F.col("label"))).alias("most_label"),
+    ).where((F.col("size") >= least_size) & (F.col("l") < F.col("m")))
+    return labelled.join(cells.select("key", "size", "most_label"), "key")
+
+
 def _chunked_pairs(rest: DataFrame, config: JaccardConfig) -> DataFrame:
     """Candidate pairs of the open cells, each pair of chunks of a cell in a group of its own."""
     chunks = F.ceil(F.col("size") / config.chunk).cast("int")
