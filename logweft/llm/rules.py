@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logweft.llm.landing import landed
+
 WORD_GAP = r"[ \t-\r]+"
 
 
@@ -48,16 +50,24 @@ class RuleConfig:
     first_accuracy: float = 0.8
     first_share: float = 0.8
 
+    def __post_init__(self):
+        if self.window < 1 or self.window & (self.window - 1):
+            raise ValueError("window must be a power of two")
+
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, WORD_GAP), lambda w: w != "")
 
 
-def _windows(hashes: Column, window: int) -> Column:
-    """Hashes of all windows of so many words."""
-    starts = F.sequence(F.lit(1), F.size(hashes) - (window - 1))
-    found = F.transform(starts, lambda i: F.xxhash64(F.slice(hashes, i, window)))
-    return F.when(F.size(hashes) >= window, found).otherwise(F.array().cast("array<bigint>"))
+def _with_windows(found: DataFrame, window: int) -> DataFrame:
+    """``_windows``: hashes of all windows of so many words, from ``_hashes``, in steps that double their length."""
+    found, size = found.withColumn("_windows", F.col("_hashes")), 1
+    while size < window:
+        now = F.col("_windows")
+        later = F.slice(now, F.lit(size + 1), F.greatest(F.size(now) - size, F.lit(0)))
+        found, size = found.withColumn("_windows", F.zip_with(now, later, lambda a, b: F.xxhash64(a, b))), 2 * size
+    # The last ones, for which words are missing, are cut off.
+    return found.withColumn("_windows", F.slice("_windows", F.lit(1), F.greatest(F.size("_windows") - (window - 1), F.lit(0))))
 
 
 def _repeat_words(ordered: Column, window: int) -> Column:
@@ -78,14 +88,12 @@ def text_statistics(rows: DataFrame, config: RuleConfig = RuleConfig()) -> DataF
              "n_distinct_words", "base_failed"]
     kept = [c for c in rows.columns if c not in added]
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
-    found = (
-        rows.select(*kept, _words(text).alias("_words"), lines.alias("_lines"))
-        .withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-        .withColumn("_windows", _windows(F.col("_hashes"), config.window))
-        # Places are sorted only for the few texts in which a window occurs again.
-        .withColumn("_ordered", F.when(
-            F.size(F.array_distinct("_windows")) < F.size("_windows"),
-            F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))))
+    found = rows.select(*kept, _words(text).alias("_words"), lines.alias("_lines")).withColumn(
+        "_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+    # Places are sorted only for the few texts in which a window occurs again.
+    found = _with_windows(found, config.window).withColumn("_ordered", F.when(
+        F.size(F.array_distinct("_windows")) < F.size("_windows"),
+        F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     long = "long"
     found = found.select(
         *kept,
@@ -167,9 +175,12 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], config: RuleConfig = R
 
 
 def judge(rows: DataFrame, rules: list[Rule] | None = None, config: RuleConfig = RuleConfig()) -> DataFrame:
-    """``text_statistics`` with ``good_probability`` and ``kept``; the rules' votes are counted over all rows first."""
+    """``text_statistics`` without the text, with ``good_probability`` and ``kept``.
+
+    Statistics are computed once and written to the shared folder; the rules' votes are then counted over all rows.
+    """
     rules = default_rules() if rules is None else rules
-    found = text_statistics(rows, config)
+    found = landed(text_statistics(rows, config).drop("text"), "rule-statistics")
     votes = F.array(*[vote(r) for r in rules])
     counted = found.groupBy(votes.alias("votes")).count().collect()
     model = estimate([(tuple(r.votes), r["count"]) for r in counted], config)
