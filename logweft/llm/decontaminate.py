@@ -5,14 +5,15 @@ under each mask, in the benchmark and in the documents, so that a substituted wo
 ignore its place.  Equal seeds are hits.  Around each hit the words of document and benchmark are compared one by
 one over a window, and the hit counts if enough of them agree.
 
-Words are compared in lower case and without signs.  All work is column expressions.  The documents are read once
-and not shuffled: seeds of the benchmark, each with the hashes of its window, are broadcast in blocks of at most
-``block_seeds``, which bounds them; a benchmark of more seeds takes one pass over the documents per block.  Only
-verified hits, already merged within each task, travel.
+Words are compared in lower case and without signs.  All work is column expressions.  The documents are read and
+not shuffled: seeds of the benchmark, each with the hashes of its window, are broadcast in blocks of at most
+``block_seeds``, which bounds them; a benchmark of more seeds takes one pass over the documents per block.  Hits
+travel, and are brought to the texts of their documents again: broadcast up to ``broadcast_documents`` documents,
+else by a join on the id.
 
 Defined cases: null and empty texts match nothing; a benchmark text of fewer words than a mask has is never
 matched, since so few words agree by chance; repeated benchmark texts are reported under every id; documents with a
-null id are reported under that null; repeated rows are reported once; other columns are ignored.
+null id are not reported, and stay; repeated rows are reported once; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweft.llm.landing import landed
+from logweft.llm.landing import landed, small
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,7 @@ class SeedConfig:
     window: int = 16
     percent: int = 80
     block_seeds: int = 200_000
+    broadcast_documents: int = 20_000
 
     def __post_init__(self):
         if len({len(m) for m in self.masks}) != 1 or any(set(m) - set("01") for m in self.masks):
@@ -60,25 +62,26 @@ def seeds(hashes: Column, config: SeedConfig) -> Column:
     return F.concat(*[under(n, m) for n, m in enumerate(config.masks)])
 
 
-def _seeded(rows: DataFrame, key: str, config: SeedConfig) -> DataFrame:
-    """``key, hashes, place, seed``; the place is that of the first word of the stretch.
+def _seeded(rows: DataFrame, key: str, config: SeedConfig, carried: tuple[str, ...] = ()) -> DataFrame:
+    """``key, number, place, seed`` and what is ``carried`` of the row; ``number`` of stretches, ``place`` of the first word.
 
     A text too short for a mask has one row with a null seed, which joins with nothing: a filter on the hashes, or
     one that the optimizer derives from ``posexplode``, would be pushed below them and compute them again per word.
+    Documents do not carry their hashes, which would be copied for each of their words.
     """
-    number = F.size("hashes") - (config.span - 1)
     return (
         rows.select(key, word_hashes(F.col("text")).alias("hashes"))
-        .withColumn("seeds", F.when(number > 0, seeds(F.col("hashes"), config)))
-        .select(key, "hashes", F.posexplode_outer("seeds").alias("at", "seed"))
-        .select(key, "hashes", F.pmod(F.col("at"), number).alias("place"), "seed"))
+        .withColumn("number", F.size("hashes") - (config.span - 1))
+        .withColumn("seeds", F.when(F.col("number") > 0, seeds(F.col("hashes"), config)))
+        .select(key, "number", *carried, F.posexplode_outer("seeds").alias("at", "seed"))
+        .select(key, "number", *carried, F.pmod("at", "number").alias("place"), "seed"))
 
 
 def benchmark_seeds(benchmark: DataFrame, config: SeedConfig) -> DataFrame:
     """``seed, text_key, shift, compared``: per seed the hashes of the window around it, and where the window
     begins relative to the seed.  Equal texts are one."""
     texts = benchmark.select(F.xxhash64(word_hashes(F.col("text"))).alias("text_key"), "text").dropDuplicates(["text_key"])
-    found = _seeded(texts, "text_key", config).where(F.col("seed").isNotNull())
+    found = _seeded(texts, "text_key", config, ("hashes",)).where(F.col("seed").isNotNull())
     size = F.size("hashes")
     middle = F.col("place") - (config.window - config.span) // 2
     begin = F.greatest(F.lit(0), F.least(middle, size - config.window))
@@ -88,31 +91,39 @@ def benchmark_seeds(benchmark: DataFrame, config: SeedConfig) -> DataFrame:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, config: SeedConfig = SeedConfig()) -> DataFrame:
-    """``doc_id, item_id, n_equal, n_compared, first_word, end_word, n_hits``: one row per document and benchmark
+    """``doc_id, item_id, n_equal, n_compared, first_word, end_word, n_windows``: one row per document and benchmark
     text that overlap; the best window's agreeing words, and the words of the document that windows cover."""
     items = benchmark.select("item_id", F.xxhash64(word_hashes(F.col("text"))).alias("text_key"))
     table = landed(benchmark_seeds(benchmark, config), "benchmark-seeds")
     blocks = max(1, -(-table.count() // config.block_seeds))
-    verified = None
+    hits = None
     for block in range(blocks):
         part = table if blocks == 1 else table.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == block)
-        hits = _seeded(docs, "doc_id", config).join(F.broadcast(part), "seed")
-        begin = F.col("place") + F.col("shift")
-        equal = F.size(F.filter(
-            F.transform("compared", lambda h, k: h == F.get(F.col("hashes"), begin + k)), lambda same: same))
-        good = (
-            hits.select("doc_id", "text_key", begin.alias("begin"), F.size("compared").alias("n_compared"), equal.alias("n_equal"))
-            .where(100 * F.col("n_equal") >= config.percent * F.col("n_compared")))
-        verified = good if verified is None else verified.unionByName(good)
+        found = _seeded(docs.where(F.col("doc_id").isNotNull()), "doc_id", config).join(F.broadcast(part), "seed").select(
+            "doc_id", "text_key", (F.col("place") + F.col("shift")).alias("begin"), "compared")
+        hits = found if hits is None else hits.unionByName(found)
+    of_doc = landed(
+        hits.groupBy("doc_id").agg(F.collect_set(F.struct("text_key", "begin", "compared")).alias("hits")), "benchmark-hits")
+
+    # Only documents with hits are hashed again, and compared around them.
+    around = docs.select("doc_id", "text").join(small(of_doc, config.broadcast_documents), "doc_id").select(
+        "doc_id", "hits", word_hashes(F.col("text")).alias("hashes"))
+
+    def judged(hit: Column) -> Column:
+        same = F.transform(hit["compared"], lambda h, k: h == F.get(F.col("hashes"), hit["begin"] + k))
+        return F.struct(hit["text_key"].alias("text_key"), hit["begin"].alias("begin"), F.size(hit["compared"]).alias("n_compared"),
+                        F.size(F.filter(same, lambda x: x)).alias("n_equal"))
+
+    verified = around.select("doc_id", F.explode_outer(F.transform("hits", judged)).alias("hit")).select("doc_id", "hit.*").where(
+        100 * F.col("n_equal") >= config.percent * F.col("n_compared"))
     by_text = verified.groupBy("doc_id", "text_key").agg(
         F.max("n_equal").alias("n_equal"), F.max("n_compared").alias("n_compared"), F.min("begin").alias("first_word"),
-        F.max(F.col("begin") + F.col("n_compared")).alias("end_word"), F.count("*").alias("n_hits"))
+        F.max(F.col("begin") + F.col("n_compared")).alias("end_word"), F.count_distinct("begin").alias("n_windows"))
     return by_text.join(items.distinct(), "text_key").select(
         "doc_id", "item_id", F.col("n_equal").cast("long").alias("n_equal"), F.col("n_compared").cast("long").alias("n_compared"),
-        F.greatest("first_word", F.lit(0)).cast("long").alias("first_word"), F.col("end_word").cast("long").alias("end_word"), "n_hits")
+        F.greatest("first_word", F.lit(0)).cast("long").alias("first_word"), F.col("end_word").cast("long").alias("end_word"), "n_windows")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, config: SeedConfig = SeedConfig()) -> DataFrame:
-    """``docs`` without those that overlap a benchmark text; rows with a null id share one fate."""
-    found = contaminated(docs, benchmark, config).select(F.col("doc_id").alias("_found")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_found")), "left_anti")
+    """``docs`` without those that overlap a benchmark text."""
+    return docs.join(contaminated(docs, benchmark, config).select("doc_id").distinct(), "doc_id", "left_anti")
