@@ -51,8 +51,10 @@ def bpe_tokens(text: Column, encoding: str) -> Column:
 
 
 def count_tokens(text: Column, config: WindowConfig | None = None) -> Column:
-    """Token count under ``config``: BPE where asked for and installed, else the simple estimate."""
+    """Token count under ``config``: byte pairs, which need the vocabulary, or the simple estimate."""
     config = config or WindowConfig()
-    if config.tokenizer == "bpe" and bpe_available(config.encoding):
-        return bpe_tokens(text, config.encoding)
-    return simple_tokens(text)
+    if config.tokenizer != "bpe":
+        return simple_tokens(text)
+    if not bpe_available(config.encoding):
+        raise ValueError(f"no vocabulary for {config.encoding}; install it, or choose tokenizer='simple'")
+    return bpe_tokens(text, config.encoding)

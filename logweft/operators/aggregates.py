@@ -75,14 +75,11 @@ def known_values(spark: SparkSession, name: str, values: list[str]) -> DataFrame
 
 
 def zero_filled_counts(parsed: DataFrame, column: str = "level", values: list[str] | None = None) -> DataFrame:
-    """Counts of the known levels (or services), 0 where none came."""
+    """Counts of all levels (or services), with 0 for known ones that did not come."""
     values = values or (LEVELS if column == "level" else SERVICES)
-    counts = parsed.filter(F.col(column).isin(*values)).groupBy(column).agg(_rows().alias("n"))
-    # Both sides hold at most one row per known value.
-    return (
-        F.broadcast(known_values(parsed.sparkSession, column, values)).join(counts, column, "left")
-        .select(column, F.coalesce("n", F.lit(0).cast("long")).alias("n"))
-    )
+    zeros = known_values(parsed.sparkSession, column, values).withColumn("n", F.lit(0).cast("long"))
+    counts = parsed.filter(F.col(column).isNotNull()).groupBy(column).agg(_rows().alias("n"))
+    return counts.unionByName(zeros).groupBy(column).agg(F.sum("n").alias("n"))
 
 
 def level_percent(parsed: DataFrame) -> DataFrame:

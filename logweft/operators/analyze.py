@@ -101,7 +101,8 @@ def analyze_windows(
 
     Without a scorer the answers are canned and neither prompts nor contents leave the JVM.
     """
-    run_ts = run_ts if run_ts is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    run_ts = run_ts if run_ts is not None else F.date_format(
+        F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     prompts = window_prompts(windows, meta or {}, run_ts, forced, types, model)
     if scorer is None:
         return prompts.select(

@@ -50,13 +50,18 @@ def read_log_lines(
         placed.groupBy("source", "_file", "_block")
         .agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_rows"))
         .withColumn("_base", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .select("_file", "_block", "_first", "_base")
+        .select("_file", "_block", "_first", "_base", "_rows", F.col("source").alias("_source"))
     )
     if blocks.count() <= BROADCAST_BLOCKS:
         blocks = F.broadcast(blocks)
-    return placed.join(blocks, ["_file", "_block"]).select(
-        "source",
-        (F.col("_place") - F.col("_first") + F.col("_base")).alias("line_no"),
+    # A left join, and columns that need both sides: a filter on them can neither drop files from the scan, which
+    # would cut the rest differently, nor make the join an inner one.  What does not fit the first pass fails.
+    place = F.col("_place") - F.col("_first")
+    lost = F.coalesce((place < 0) | (place >= F.col("_rows")), F.lit(True))
+    wrong = F.raise_error(F.concat(F.lit("the files, or settings that cut them, changed between two passes: "), F.col("_file")))
+    return placed.drop("source").join(blocks, ["_file", "_block"], "left").select(
+        F.when(lost, wrong.cast("string")).otherwise(F.col("_source")).alias("source"),
+        F.when(lost, wrong.cast("long")).otherwise(place + F.col("_base")).alias("line_no"),
         valid_text(F.col("value")).alias("value"),
     )
 

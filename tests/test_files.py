@@ -134,3 +134,17 @@ def test_written_results(spark, tmp_path, fmt):
     assert {(r.analysis_type, r.analysis) for r in back.collect()} == {(r.analysis_type, r.analysis) for r in records.collect()}
     if fmt == "json":
         assert read_result_records(spark, out, multi_line=False).filter("kind = 'pipeline'").count() == 3
+
+
+def test_filtered_lines_are_whole(spark, tmp_path, conf):
+    """A filter on the source neither drops lines nor renumbers them, however small the splits are."""
+    conf("spark.sql.files.maxPartitionBytes", "20000")
+    conf("spark.sql.files.openCostInBytes", "1000")
+    for k in range(5):
+        (tmp_path / f"f{k}.log").write_text("".join(f"{k} line {i} {'x' * (i % 37)}\n" for i in range(2000)))
+    lines = read_log_lines(spark, str(tmp_path))
+    source = next(r.source for r in lines.select("source").distinct().collect() if r.source.endswith("f3.log"))
+    one = lines.where(lines.source == source)
+    assert one.count() == 2000
+    assert sorted((r.line_no, r.value.split()[2]) for r in one.collect()) == [(i, str(i)) for i in range(2000)]
+    assert lines.where(lines.source.endswith("f1.log")).groupBy("source").count().first()["count"] == 2000
