@@ -185,7 +185,7 @@ def judge(rows: DataFrame, rules: list[Rule] | None = None, config: RuleConfig =
     counted = found.groupBy(votes.alias("votes")).count().collect()
     model = estimate([(tuple(r.votes), r["count"]) for r in counted], config)
     odds = F.lit(math.log(model.share / (1 - model.share)))
-    for rule, of in zip(rules, model.log_odds, strict=True):
+    for rule, of in zip(rules, model.log_odds if counted else [dict.fromkeys((-1, 0, 1), 0.0)] * len(rules), strict=True):
         cast = vote(rule)
         odds = odds + F.when(cast == 1, of[1]).when(cast == -1, of[-1]).otherwise(of[0])
     good = 1 / (1 + F.exp(-odds))

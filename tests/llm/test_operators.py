@@ -1,0 +1,286 @@
+"""Operators for training data on small fixtures, against plain Python and with awkward rows."""
+
+import collections
+import os
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from logweft.llm import decontaminate, jaccard, lm, packing, pii, quality, rules, secrets, sharding, toxicity
+from logweft.llm.components import components
+from logweft.llm.queries import VOCABULARY
+
+SCHEMA = "doc_id long, text string, source string, score double, slot string"
+AWKWARD = [
+    (None, None, None, 1.0, "a"), (1, "", "s", None, None), (2, None, "s", 2.0, "b"), (3, "word " * 5000, "s", 0.0, "c"),
+    (3, "word " * 5000, "s", 0.0, "c"), (4, " \n\t ", None, 0.0, None), (5, "é ñ 中文 mail a@b.example.com now", "x", 1.0, "d"),
+]
+
+
+@pytest.fixture(scope="module")
+def awkward(spark):
+    return spark.createDataFrame(AWKWARD, SCHEMA).cache()
+
+
+@pytest.fixture(scope="module")
+def texts():
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    base = [" ".join(draw.choices(words, k=draw.randint(1, 120))) for _ in range(60)]
+    out = dict(enumerate(base))
+    for k in range(30):  # near copies, exact copies and short ones
+        copy = base[k].split()
+        if copy and k % 3:
+            copy[draw.randrange(len(copy))] = "changed"
+        out[100 + k] = " ".join(copy)
+    out |= {200: "", 201: "one", 202: "one", 203: "ONE two", 204: "one two"}
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, texts):
+    return spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3).cache()
+
+
+def test_pii_against_plain_patterns():
+    draw = random.Random(1)
+
+    def plain(text):
+        out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+        out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
+                if all(int(p) <= 255 for p in m[0].split("."))]
+        for m in re.finditer(r"[0-9]([ -]?[0-9])+", text):
+            digits = re.sub("[ -]", "", m[0])
+            if 14 <= len(digits) <= 19 and pii.luhn(digits):
+                out.append((m.start(), 2, m.end()))
+        out += [(m.start(), 3, m.end()) for m in re.finditer(r"\+[0-9][ ().0-9-]+[0-9]", text)
+                if 10 <= len(re.sub("[^0-9]", "", m[0])) <= 15]
+        return sorted(out)
+
+    for _ in range(5000):
+        text = "".join(draw.choice("0123451.. -+@ab()é") for _ in range(draw.randint(0, 40)))
+        assert pii.detect(text) == plain(text)
+
+
+@pytest.mark.parametrize("text, kind, found", [
+    ("mail john.doe [at] example [dot] com now", "email", "john.doe [at] example [dot] com"),
+    ("write jane at mail dot example dot org please", "email", "jane at mail dot example dot org"),
+    ("call plus four nine one seven six five five five one two three four now", "phone",
+     "plus four nine one seven six five five five one two three four"),
+    ("jоhn@exаmple.com", "email", "jоhn@exаmple.com"),
+    ("one nine two dot one six eight dot one dot one", "ip", "one nine two dot one six eight dot one dot one"),
+])
+def test_disguises(text, kind, found):
+    assert [(pii.KINDS[k], text[s:e], b) for s, k, e, b in pii.find_spans(text)] == [(kind, found, False)]
+
+
+def test_masking(spark):
+    rows = spark.createDataFrame([(1, "a@b.cc and +1 (555) 555-1234!"), (2, "clean"), (3, None)], "doc_id long, text string")
+    got = pii.find_pii(rows).select("doc_id", pii.masked(F.col("text"), F.col("pii")).alias("t")).collect()
+    assert {r.doc_id: r.t for r in got} == {1: "[EMAIL] and [PHONE]!", 2: "clean", 3: None}
+
+
+@pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary")
+def test_packing_round_trip(docs, texts, awkward):
+    tokenizers = pytest.importorskip("tokenizers")
+    coder = tokenizers.Tokenizer.from_file(VOCABULARY)
+    config = packing.PackConfig(VOCABULARY, block_tokens=5000)
+    pieces = packing.pack_documents(docs, config, with_ids=True).collect()
+    by_doc, by_sequence = collections.defaultdict(list), collections.defaultdict(list)
+    for p in pieces:
+        by_doc[p.doc_id].append(p)
+        by_sequence[p.sequence_id].append(p)
+        assert p.ids_crc32 == zlib.crc32(p.ids) and len(p.ids) == 4 * p.length
+    for doc_id, text in texts.items():
+        parts = sorted(by_doc[doc_id], key=lambda p: p.start)
+        ids = [*coder.encode(text, add_special_tokens=False).ids, 0]
+        assert b"".join(p.ids for p in parts) == b"".join(i.to_bytes(4, "little") for i in ids)
+        assert [p.start for p in parts] == [sum(q.length for q in parts[:k]) for k in range(len(parts))]
+        assert {p.doc_tokens for p in parts} == {len(ids)}
+    for parts in by_sequence.values():
+        parts.sort(key=lambda p: p.offset)
+        assert [p.offset for p in parts] == [sum(q.length for q in parts[:k]) for k in range(len(parts))]
+        total = sum(p.length for p in parts)
+        assert total <= 1024 and total & (total - 1) == 0
+    again = packing.pack_documents(awkward, config)
+    assert again.where("doc_id = 3").agg(F.sum("length")).first()[0] == 2 * again.where("doc_id = 3").first().doc_tokens
+    assert again.where("doc_id in (1, 2)").agg(F.sum("length")).first()[0] == 2
+
+
+def test_shards(spark, awkward):
+    config = sharding.ShardConfig(("a", "b", "c"), 101)
+    table = sharding.fill_table(config)
+    assert sorted(collections.Counter(table).values()) == [33, 34, 34]
+    fewer = sharding.fill_table(sharding.ShardConfig(("a", "b"), 101))
+    assert sum(x == y for x, y in zip(table, fewer)) > 55  # of the 67 that a and b held
+    placed = sharding.assign_shards(awkward, "doc_id", config)
+    assert placed.columns == ["doc_id", "text", "source", "score", "slot", "shard", "shard_name"]
+    assert placed.count() == len(AWKWARD)
+    assert all(r.shard == table[r.slot] and config.shards[r.shard] == r.shard_name for r in placed.collect())
+
+
+def test_rules(docs, texts, awkward):
+    rows = docs.unionByName(awkward.select("doc_id", "text"))
+
+    got = {r.doc_id: r for r in rules.judge(rows).collect()}
+    assert rows.count() == len(texts) + len(AWKWARD)
+    for doc_id, text in texts.items():
+        if doc_id in (1, 2, 3, 4, 5):
+            continue
+        words = re.findall(r"[^ \t-\r]+", text)
+        count = collections.Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
+        covered = {j for i in range(len(words) - 7) if count[tuple(words[i:i + 8])] > 1 for j in range(i, i + 8)}
+        r = got[doc_id]
+        assert (r.n_words, r.word_chars, r.n_repeat_words) == (len(words), sum(map(len, words)), len(covered))
+        assert r.base_failed == (len(words) < 20) and (not r.kept or not r.base_failed)
+    assert rules.judge(docs.where("false")).count() == 0
+
+
+def test_estimated_accuracies():
+    draw = random.Random(3)
+    patterns = collections.Counter()
+    for _ in range(20000):
+        good = 1 if draw.random() < 0.8 else -1
+        patterns[tuple(good * (1 if draw.random() < a else -1) if draw.random() < 0.9 else 0 for a in (0.9, 0.85, 0.8, 0.6))] += 1
+    model = rules.estimate(list(patterns.items()))
+    assert abs(model.share - 0.8) < 0.03
+    odds = [o[1] - o[-1] for o in model.log_odds]
+    assert odds[0] > odds[1] > odds[2] > odds[3] > 0
+
+
+def test_decontamination(spark):
+    draw = random.Random(2)
+    words = [f"b{i}" for i in range(300)]
+    item = [" ".join(draw.choices(words, k=30)) for _ in range(3)]
+    leaked = item[0].split()
+    leaked[7] = leaked[19] = "other"
+    rows = [(1, "x y z " + " ".join(leaked) + " q"), (2, " ".join(draw.choices(words, k=200))), (3, item[1].upper() + "!"), (4, None),
+            (None, item[0]), (5, ""), (3, item[1].upper() + "!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([*enumerate(item), (7, item[1]), (8, None), (9, "short")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == {(1, 0), (3, 1), (3, 7)}
+    blocks = decontaminate.SeedConfig(block_seeds=20, broadcast_documents=0)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, blocks).collect()} == {(1, 0), (3, 1), (3, 7)}
+    assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
+
+
+def _plain_components(texts, words, percent):
+    sets = {}
+    for i, text in texts.items():
+        w = text.encode().lower().split()
+        sets[i] = {tuple(w[k:k + words]) for k in range(len(w) - words + 1)} or ({tuple(w)} if w else set())
+    label = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if a < b and sets[a] and label[a] != label[b]:
+                    both = len(sets[a] & sets[b])
+                    if 100 * both >= percent * len(sets[a] | sets[b]):
+                        label[a] = label[b] = min(label[a], label[b])
+                        changed = True
+    return {i: (len(s), label[i]) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("words, percent", [(3, 90), (5, 80)])
+def test_near_duplicates(docs, texts, words, percent):
+    found = jaccard.near_duplicates(docs, jaccard.JaccardConfig(words=words, percent=percent, chunk=3, broadcast_rows=0))
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == _plain_components(texts, words, percent)
+
+
+def test_near_duplicates_of_awkward_rows(awkward):
+    got = jaccard.near_duplicates(awkward).collect()
+    assert len(got) == len(AWKWARD)
+    assert all(r.component_id == r.doc_id for r in got)
+
+
+def test_rectangles_bound_their_points():
+    import numpy as np
+
+    points = np.random.default_rng(1).integers(0, 6, (200, 8))
+    tree = jaccard.CountTree(points, 4)
+    for q in points[:40]:
+        bound = np.minimum(points, q).sum(axis=1)
+        want = np.flatnonzero(180 * bound >= 80 * (q.sum() + points.sum(axis=1)))
+        assert sorted(tree.reaching(q, 80)) == want.tolist()
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(0, 30)] + [(100, 101), (102, 101)]
+    got = dict(components(spark.createDataFrame(chain, "a long, b long")).collect())
+    assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, 102: 100}
+
+
+def test_language_model(docs, texts, awkward):
+    import math
+
+    config = lm.LmConfig(block_chars=3000, bucket_entries=200, hot_share=0.01)
+    held = (F.col("doc_id") % 3) == 0
+    got = {r.doc_id: r for r in lm.score_texts(docs, held, config).collect()}
+    words = {i: [*t.encode().lower().split(), b""] for i, t in texts.items()}
+    one, two = collections.Counter(), collections.Counter()
+    for i, w in words.items():
+        if i % 3:
+            one.update(w)
+            two.update(zip([None, *w], w))
+    n, v = sum(one.values()), len(one)
+    d1 = lm.discount(*(sum(c == k for c in one.values()) for k in (1, 2)))
+    d2 = lm.discount(*(sum(c == k for c in two.values()) for k in (1, 2)))
+    after, state = collections.Counter(a for a, _ in two), collections.Counter()
+    for (a, _), c in two.items():
+        state[a] += c
+    for i, w in words.items():
+        total, before = 0.0, None
+        for x in w:
+            root = (one[x] - d1) / n if one[x] else d1 * v / n
+            total += math.log10((max(two[before, x] - d2, 0) + d2 * after[before] * root) / state[before] if state[before] else root)
+            before = x
+        base = sum(math.log10((one[x] + 1) / (n + v + 1)) for x in w)
+        assert got[i].score == pytest.approx(total) and got[i].base_score == pytest.approx(base)
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(w), sum(one[x] > 0 for x in w), n)
+    assert lm.score_texts(awkward, F.lit(True)).where("score <> 0").count() == 0
+
+
+def test_quality_and_toxicity_learn(spark, awkward):
+    draw = random.Random(4)
+    rows, marks = [], []
+    for i in range(400):
+        words = draw.choices([f"v{k}" for k in range(200)], k=40)
+        bad, toxic = i % 2, int(i % 5 == 0)
+        if bad:
+            words = [w + "!!" for w in words]
+        if toxic:
+            words[draw.randrange(40)] = draw.choice(["idiot", "worthless"])
+        rows.append((i, " ".join(words)))
+        marks.append((i, 1 - bad, toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([*marks, (None, 1, 1), (900, None, None)], "doc_id long, quality int, toxic int")
+    train = F.col("doc_id") % 4 != 0
+    weights = quality.train_quality(docs, labels, train, quality.QualityConfig(shards=1))
+    scored = quality.score_quality(docs, weights).join(labels, "doc_id").where("doc_id % 4 = 0").collect()
+    assert sum((r.quality_score >= 0.5) == r.quality for r in scored) >= 0.95 * len(scored)
+    assert quality.score_quality(awkward, weights, score="score").count() == len(AWKWARD)
+    assert (quality.train_quality(docs, labels.where("false"), train) == 0).all()
+    config = toxicity.ChainConfig(shards=1, rates=quality.Rates(alpha=1.0, beta=1.0, l1=0.5, l2=0.05, epochs=4))
+    chain = toxicity.train_chain(docs, labels, train, config)
+    hits = toxicity.score_toxicity(docs, chain, config).withColumnRenamed("toxic", "found").join(labels, "doc_id").collect()
+    assert sum(r.found == bool(r.toxic) for r in hits) >= 0.97 * len(hits)
+    assert toxicity.score_toxicity(awkward, chain, config).count() == len(AWKWARD)
+    assert toxicity.score_toxicity(awkward, None, config).where("toxic").count() == 0
+
+
+def test_secrets(spark, awkward):
+    draw = random.Random(6)
+    rows = []
+    for i in range(120):
+        token = "".join(draw.choices("0123456789abcdef", k=40))
+        host = "mail" + str(i) + "examplecompanyname"
+        rows.append((i, f'set token = "{token}" for them' if i % 2 else f"see a@{host}.example.com and more", "src"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = secrets.scan(docs).collect()
+    assert {r.doc_id for r in found if r.is_secret} == set(range(1, 120, 2))
+    assert secrets.scan(awkward).where("is_secret").count() >= 0
