@@ -87,27 +87,3 @@ def write_shards(rows: DataFrame, key: str, path: str, config: ShardConfig = Sha
     salt = F.pmod(F.xxhash64(*[c for c in rows.columns]), F.lit(files_per_shard))
     (placed.withColumn("_file", salt).repartition(len(config.shards) * files_per_shard, "shard_name", "_file")
      .drop("_file").write.partitionBy("shard_name").parquet(path))
-
-
-def oracle(config: ShardConfig = ShardConfig()) -> str:
-    """SQL that fills the table by a recursion over turns and places all documents."""
-    names = ", ".join(f"({i}, '{s}')" for i, s in enumerate(config.shards))
-    n, size = len(config.shards), config.slots
-
-    def number(suffix):
-        return f"('0x' || substr(md5(name || '/{suffix}'), 1, 15))::BIGINT"
-
-    return f"""
-WITH RECURSIVE shards(shard, name) AS (VALUES {names}),
-prefs AS (SELECT list({number("offset")} % {size} ORDER BY shard) AS offs, list({number("step")} % {size - 1} + 1 ORDER BY shard) AS steps,
-                 list(name ORDER BY shard) AS names FROM shards),
-turns(turn, claimed, owners) AS (
-  SELECT 0, []::BIGINT[], list_transform(range({size}), x -> -1) FROM prefs
-  UNION ALL
-  SELECT turn + 1, [slot], list_concat(list_concat(owners[1:slot], [turn % {n}]), owners[slot + 2:])
-  FROM (SELECT turn, owners, list_filter(list_transform(range({size}), j -> (offs[turn % {n} + 1] + j * steps[turn % {n} + 1]) % {size}),
-                                         s -> owners[s + 1] = -1)[1] AS slot
-        FROM turns, prefs WHERE turn < {size})),
-owners AS (SELECT owners FROM turns WHERE turn = {size}),
-placed AS (SELECT doc_id, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT % {size} AS slot FROM documents)
-SELECT doc_id, slot, owners[slot + 1]::INTEGER AS shard, names[owners[slot + 1] + 1] AS shard_name FROM placed, owners, prefs"""
