@@ -24,7 +24,7 @@ def in_order(columns, data):
     return sorted(([row[i] for i in order] for row in data), key=repr)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(driver.catalog.QUERIES))
 def test_query(spark, db, name):
     frame = driver.queries()[name](spark, SF_DIR)
     mine = in_order(frame.columns, [tuple(r) for r in frame.collect()])
@@ -44,4 +44,4 @@ def test_entry(spark):
 
 def test_oracles_belong_to_queries():
     assert set(driver.oracle_sql()) <= set(driver.queries())
-    assert len(driver.oracle_sql()) >= len(driver.queries()) - 2
+    assert len(driver.catalog.ORACLES) >= len(driver.catalog.QUERIES) - 2
