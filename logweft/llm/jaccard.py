@@ -14,8 +14,9 @@ has keys for them: no pair is lost.
 
 1. Sets and keys of all texts (one pass).  Equal sets are one from here on.
 2. Cells of at least two different sets, by an aggregation that keeps two numbers per key.
-3. Stars: every member against the cell's smallest set, bound first, then verified; components of these links.  Where
-   a cell of three or more sets has several components, every member against its largest set, too.
+3. Stars: every set against one leader, the smallest set of most of its cells, bound first, then verified; components
+   of these links.  In cells that still have several components, members against the cell's smallest and largest sets
+   where components differ.
 4. Cells of four or more sets that still have several components: an R-tree per cell, cells of more than ``chunk``
    sets in pairs of chunks; candidates of different components are verified.  A large group of near copies is one
    component after step 3, so its pairs are never listed.
@@ -294,13 +295,16 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     texts = docs.join(small(wanted, config.broadcast_rows), F.col("doc_id") == F.col("first_id"), "left_semi")
     found = landed(points_and_sets(texts, config).dropDuplicates(["set_id"]), "jaccard-sets")
 
-    stars = members.where("set_id <> least").select(F.col("least").alias("a"), F.col("set_id").alias("b")).distinct()
+    led = members.where("set_id <> least").groupBy("set_id", "least").count()
+    stars = led.groupBy("set_id").agg(F.max_by("least", F.struct("count", "least")).alias("a")).select("a", F.col("set_id").alias("b"))
     links = landed(verified(stars, found, config), "jaccard-stars")
     labels = components(links)
 
-    still = _open(members, labels, 3)
-    stars = still.where("set_id <> most and set_id <> least and label <> most_label").select(
-        F.col("set_id").alias("a"), F.col("most").alias("b")).distinct()
+    still = _open(members, labels, 2)
+    to_least = still.where("set_id <> least and label <> least_label").select(F.col("least").alias("a"), F.col("set_id").alias("b"))
+    to_most = still.where("set_id <> most and set_id <> least and label <> most_label").select(
+        F.col("set_id").alias("a"), F.col("most").alias("b"))
+    stars = to_least.unionByName(to_most).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = landed(links.unionByName(verified(stars, found, config)), "jaccard-stars")
     labels = components(links)
 
@@ -325,9 +329,10 @@ def _open(members: DataFrame, labels: DataFrame, least_size: int) -> DataFrame:
         "label", F.coalesce("label", "set_id"))
     cells = labelled.groupBy("key").agg(
         F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("m"),
+        F.max(F.when(F.col("set_id") == F.col("least"), F.col("label"))).alias("least_label"),
         F.max(F.when(F.col("set_id") == F.col("most"), F.col("label"))).alias("most_label"),
     ).where((F.col("size") >= least_size) & (F.col("l") < F.col("m")))
-    return labelled.join(cells.select("key", "size", "most_label"), "key")
+    return labelled.join(cells.select("key", "size", "least_label", "most_label"), "key")
 
 
 def _chunked_pairs(rest: DataFrame, config: JaccardConfig) -> DataFrame:
