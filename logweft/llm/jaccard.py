@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweft.llm.components import components
-from logweft.llm.landing import landed, small
+from logweft.llm.landing import Scratch, landed, small
 from logweft.llm.text import GOLDEN, WordCodes, lower_words, mix
 
 
@@ -279,37 +279,46 @@ def verified(pairs: DataFrame, sets: DataFrame, config: JaccardConfig) -> DataFr
 
 def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row; the component is the smallest id reachable by links."""
-    sets = landed(keyed_sets(docs, config), "jaccard-keys")
-    named = sets.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
-    classes = named.groupBy("set_id").agg(F.min("doc_id").alias("first_id"))
-
-    keyed = named.select("set_id", F.explode("keys").alias("key"))
-    cells = landed(
+    scratch = Scratch(docs.sparkSession, "jaccard")
+    sets = scratch.land(keyed_sets(docs, config), "keys")
+    rows = scratch.land(sets.select("doc_id", "n_shingles", "set_id"), "rows")
+    classes = rows.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull()).groupBy("set_id").agg(
+        F.min("doc_id").alias("first_id"))
+
+    keyed = sets.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull()).select("set_id", F.explode("keys").alias("key"))
+    cells = scratch.land(
         keyed.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"))
-        .where("least < most"), "jaccard-cells")
-    members = landed(
-        keyed.join(small(cells, config.broadcast_rows), "key").select("key", "least", "most", "set_id").distinct(), "jaccard-members")
+        .where("least < most"), "cells")
+    members = scratch.land(
+        keyed.join(small(cells, config.broadcast_rows), "key").select("key", "least", "most", "set_id").distinct(), "members")
+    scratch.drop("keys")
+    scratch.drop("cells")
 
     # The sets of members, from one text each.
-    wanted = landed(classes.join(members.select("set_id").distinct(), "set_id").select("first_id").distinct(), "jaccard-wanted")
+    wanted = scratch.land(classes.join(members.select("set_id").distinct(), "set_id").select("first_id").distinct(), "wanted")
     texts = docs.join(small(wanted, config.broadcast_rows), F.col("doc_id") == F.col("first_id"), "left_semi")
-    found = landed(points_and_sets(texts, config).dropDuplicates(["set_id"]), "jaccard-sets")
+    found = scratch.land(points_and_sets(texts, config).dropDuplicates(["set_id"]), "sets")
 
     led = members.where("set_id <> least").groupBy("set_id", "least").count()
     stars = led.groupBy("set_id").agg(F.max_by("least", F.struct("count", "least")).alias("a")).select("a", F.col("set_id").alias("b"))
-    links = landed(verified(stars, found, config), "jaccard-stars")
+    links = scratch.land(verified(stars, found, config), "first-links")
     labels = components(links)
 
     still = _open(members, labels, 2)
     to_least = still.where("set_id <> least and label <> least_label").select(F.col("least").alias("a"), F.col("set_id").alias("b"))
     to_most = still.where("set_id <> most and set_id <> least and label <> most_label").select(
         F.col("set_id").alias("a"), F.col("most").alias("b"))
-    stars = to_least.unionByName(to_most).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    links = landed(links.unionByName(verified(stars, found, config)), "jaccard-stars")
+    stars = scratch.land(to_least.unionByName(to_most).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
+    links = scratch.land(links.unionByName(verified(stars, found, config)), "second-links")
     labels = components(links)
 
-    rest = _open(members, labels, 4).where("set_id <> least and set_id <> most").join(found.select("set_id", "point"), "set_id")
-    more = landed(verified(_chunked_pairs(rest, config).distinct(), found, config), "jaccard-links")
+    rest = scratch.land(_open(members, labels, 4).where("set_id <> least and set_id <> most").select(
+        "key", "size", "set_id", "label"), "rest")
+    scratch.drop("members")
+    pairs = scratch.land(
+        _chunked_pairs(rest.join(found.select("set_id", "point"), "set_id"), config).distinct(), "pairs")
+    more = scratch.land(verified(pairs, found, config), "third-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
 
@@ -318,9 +327,10 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     # A document whose rows have several texts joins their components, too.
     first = whole.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_set = whole.select("set_id", "label").join(first, "label").select("set_id", "component_id")
-    result = sets.select("doc_id", "n_shingles", "set_id").join(of_set, "set_id", "left")
-    return result.select("doc_id", "n_shingles", F.when(
-        F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+    result = landed(rows.join(of_set, "set_id", "left").select("doc_id", "n_shingles", F.when(
+        F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")), "jaccard-components")
+    scratch.drop()
+    return result
 
 
 def _open(members: DataFrame, labels: DataFrame, least_size: int) -> DataFrame:

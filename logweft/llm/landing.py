@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweft.session import new_shared_path
@@ -11,12 +11,31 @@ _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def landed(frame: DataFrame, name: str) -> DataFrame:
-    """Write ``frame`` below ``spark.checkpoint.dir`` and go on from there.
+    """Write ``frame`` below ``spark.checkpoint.dir`` and go on from there."""
+    return _written(frame, new_shared_path(frame.sparkSession, name))
+
+
+class Scratch:
+    """Landed tables of one computation, each removed once nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, new_shared_path(spark, name)
+
+    def land(self, frame: DataFrame, name: str) -> DataFrame:
+        return _written(frame, f"{self.folder}/{name}")
+
+    def drop(self, name: str = "") -> None:
+        """Remove one table, or all of them."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _written(frame: DataFrame, path: str) -> DataFrame:
+    """``frame`` as written to ``path``.
 
     What was shuffled to write it is not needed again and is removed at once; the setting for that is put back.
     """
     spark = frame.sparkSession
-    path = new_shared_path(spark, name)
     before = spark.conf.get(_CLEAN, None)
     spark.conf.set(_CLEAN, "true")
     try:
