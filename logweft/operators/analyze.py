@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,7 +16,8 @@ from logweft.functions.prompts import META_FIELDS, canned_analysis, processed_at
 from logweft.operators.lines import recent_logs
 from logweft.operators.windows import text_windows
 
-Scorer = Callable[[str], str]
+#: Request body to answer; one that has a parameter ``timeout`` is also given the type's seconds.
+Scorer = Callable[..., str]
 
 
 def window_meta(meta: dict[str, Column], run_ts: str | Column) -> Column:
@@ -57,12 +59,18 @@ def window_prompts(
 
 
 def _score_function(scorer: Scorer):
+    try:
+        timed = "timeout" in inspect.signature(scorer).parameters
+    except ValueError:  # some callables of C have no signature
+        timed = False
+
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             answers, errors = [], []
-            for payload in batch["payload"]:
+            seconds = batch["timeout"] if timed and "timeout" in batch else [None] * len(batch)
+            for payload, timeout in zip(batch["payload"], seconds, strict=True):
                 try:
-                    answers.append(scorer(payload))
+                    answers.append(scorer(payload) if timeout is None else scorer(payload, timeout=int(timeout)))
                     errors.append(None)
                 except Exception as problem:  # one bad request must not lose the others
                     answers.append(None)
@@ -78,6 +86,8 @@ def _score_function(scorer: Scorer):
 def score_payloads(requests: DataFrame, scorer: Scorer, max_parallel: int | None = None) -> DataFrame:
     """Run ``scorer`` (request body -> answer text) on ``payload`` of every row; failures become rows.
 
+    Seconds in a column ``timeout`` reach a scorer that takes them; it stops its call itself.
+
     ``max_parallel`` bounds the number of concurrent calls.  A task may be run again after a loss, so the
     scorer should not mind a repeated request.
     """
@@ -108,7 +118,7 @@ def analyze_windows(
         return prompts.select(
             "source", "meta", canned_analysis(F.col("analysis_type")).alias("analysis"), "analysis_type",
             F.lit(True).alias("success"), F.lit(None).cast("string").alias("error"))
-    scored = score_payloads(prompts.select("source", "meta", "analysis_type", "payload"), scorer, max_parallel)
+    scored = score_payloads(prompts.select("source", "meta", "analysis_type", "payload", F.col("config.timeout").alias("timeout")), scorer, max_parallel)
     return scored.select("source", "meta", "analysis", "analysis_type", "success", "error")
 
 

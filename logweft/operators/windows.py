@@ -133,7 +133,7 @@ def text_windows(
 def window_stats(windows: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Counts over windows, per group of ``by`` or in all; zeros when there are none.
 
-    Lines shared by two windows count in both, except in ``distinct_lines`` (per source: lines covered).
+    Lines shared by two windows count in both; ``covered_lines`` counts them once.
     """
     lines = F.col("end_line") - F.col("start_line") + 1
     zero = F.lit(0).cast("long")
@@ -167,10 +167,23 @@ def overlap_carry(windows: DataFrame, bucket_windows: int = WINDOW_BUCKET) -> Da
     )
 
 
-def covered_lines(windows: DataFrame) -> DataFrame:
-    """Distinct lines per source: windows leave no gap, so the last end decides."""
-    return windows.groupBy("source").agg(
-        (F.max("end_line") - F.min("start_line") + 1).alias("distinct_lines"))
+def covered_lines(windows: DataFrame, bucket_windows: int = WINDOW_BUCKET) -> DataFrame:
+    """Distinct lines per source, also where a filter has left gaps between windows.
+
+    A window adds its lines after the last end before it: within a bucket that of the window before, for a bucket's
+    first window the last end of the buckets before, of which a source has few.
+    """
+    placed = windows.select(
+        "source", "window_index", "start_line", "end_line",
+        F.call_function("div", F.col("window_index"), F.lit(bucket_windows)).alias("_bucket"))
+    earlier = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    ends = placed.groupBy("source", "_bucket").agg(F.max("end_line").alias("_end")).select(
+        F.col("source").alias("_source"), F.col("_bucket").alias("_of"), F.max("_end").over(earlier).alias("_earlier"))
+    before = F.lag("end_line").over(Window.partitionBy("source", "_bucket").orderBy("window_index"))
+    joined = placed.withColumn("_before", before).join(
+        ends, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_bucket") == F.col("_of")))
+    added = F.col("end_line") - F.greatest(F.col("start_line") - 1, F.coalesce("_before", "_earlier", F.col("start_line") - 1))
+    return joined.groupBy("source").agg(F.sum(F.greatest(F.lit(0).cast("long"), added)).alias("distinct_lines"))
 
 
 def filter_windows(windows: DataFrame, min_tokens: int | None = None, config: WindowConfig | None = None) -> DataFrame:

@@ -906,7 +906,7 @@ SELECT source, window_index, token_count AS window_tokens, analysis_type, md5({_
        'pipeline' AS kind FROM typed""")
 def read_results(spark, sf_dir):
     """Records written as JSON, read back and told apart."""
-    found = results.read_result_records(spark, _land_results(spark, sf_dir), multi_line=False)
+    found = results.read_result_records(spark, _land_results(spark, sf_dir))
     return found.select("source", "meta.window_index", "meta.window_tokens", "analysis_type",
                         F.md5("analysis").alias("analysis"), "kind")
 
@@ -925,7 +925,7 @@ SELECT analysis_type, count(*) AS windows, sum(length({_case('analysis_type', _C
        true AS has_analysis FROM typed GROUP BY analysis_type""")
 def result_rollup(spark, sf_dir):
     """Roll-up of result files, files of a type taken together."""
-    found = results.read_result_records(spark, _land_results(spark, sf_dir), multi_line=False)
+    found = results.read_result_records(spark, _land_results(spark, sf_dir))
     by_type = found.withColumn("file", F.col("analysis_type"))
     return reports.result_rollup(by_type).withColumnRenamed("file", "analysis_type")
 
@@ -938,7 +938,7 @@ def analyze_log_files(spark, sf_dir):
     out = new_shared_path(spark, "analyzed-files")
     jobs.analyze_log_files(spark, inputs.land_event_files(spark, sf_dir), out, _meta(), config=SMALL_CONFIG,
                            source=inputs.landed_source(), run_ts=RUN_TS)
-    found = results.read_result_records(spark, out, multi_line=False)
+    found = results.read_result_records(spark, out)
     return found.select("meta.window_index", "meta.total_windows", "meta.window_tokens", "analysis_type",
                         F.md5("analysis").alias("analysis"), "meta.service")
 
@@ -946,14 +946,14 @@ def analyze_log_files(spark, sf_dir):
 @query("latest_results")
 def latest_results(spark, sf_dir):
     """The newest result files (names differ from run to run)."""
-    found = results.read_results(spark, _land_results(spark, sf_dir), multi_line=False)
+    found = results.read_results(spark, _land_results(spark, sf_dir))
     return results.latest_results(found, prefixes=["part-"]).select("file", "size", "type", "success", F.length(
         display.preview_text(F.col("analysis"), 100)).alias("preview_length"))
 
 
 @query("latest_result")
 def latest_result(spark, sf_dir):
-    return results.latest_result(results.read_results(spark, _land_results(spark, sf_dir), multi_line=False))
+    return results.latest_result(results.read_results(spark, _land_results(spark, sf_dir)))
 
 
 # ---- streams ------------------------------------------------------------------------------------------

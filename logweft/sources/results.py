@@ -20,11 +20,27 @@ RECORD_SCHEMA = (
 )
 
 
-def read_result_records(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
+def _line_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``path`` of the files that hold a record per line: some line is a whole object, none opens an array."""
+    lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), F.rtrim("value").alias("value"))
+    whole = F.col("value").startswith("{") & F.col("value").endswith("}") & F.get_json_object("value", "$").isNotNull()
+    return (
+        lines.groupBy("path").agg(F.bool_or(whole).alias("whole"), F.bool_or(F.col("value").startswith("[")).alias("array"))
+        .where("whole and not array").select("path"))
+
+
+def read_result_records(spark: SparkSession, paths: str | list[str], multi_line: bool | None = None) -> DataFrame:
     """Every record of JSON result files with its file; arrays give one row per element.
 
+    A file holds one JSON value (``multi_line=True``) or a record per line (``False``, as ``write_results`` writes);
+    by default each file is read in the form it has.  Lines that are no JSON are records of kind ``unknown``.
+
     ``kind`` is ``pipeline`` for window records, ``auto`` for records about a selection, else ``unknown``.
     """
+    if multi_line is None:
+        by_line, forms = read_result_records(spark, paths, False), _line_files(spark, paths)
+        whole = read_result_records(spark, paths, True)
+        return by_line.join(forms, "path", "left_semi").unionByName(whole.join(forms, "path", "left_anti"))
     records = (
         spark.read.schema(RECORD_SCHEMA)
         .option("multiLine", multi_line)
@@ -48,14 +64,18 @@ def read_result_records(spark: SparkSession, paths: str | list[str], multi_line:
     )
 
 
-def read_results(spark: SparkSession, paths: str | list[str], multi_line: bool = True) -> DataFrame:
-    """One row per result file: its kind, success and analysis (of the first window where it has many)."""
+def read_results(spark: SparkSession, paths: str | list[str], multi_line: bool | None = None) -> DataFrame:
+    """One row per result file: its kind, success and analysis (of the first window where it has many).
+
+    A file without a record, such as one holding ``[]``, is ``unknown`` and has no success.  Files of no bytes, which
+    Spark's readers pass over, are not listed.
+    """
     records = read_result_records(spark, paths, multi_line)
     first = F.struct(
         "kind", "analysis", "meta", "log_summary", "timestamp", "log_count",
         F.when(F.col("kind") == "pipeline", F.lit(True)).otherwise(F.coalesce("success", F.lit(False))).alias("success"),
     )
-    return (
+    found = (
         records.groupBy("path", "file")
         .agg(
             F.min_by(first, F.coalesce("meta.window_index", F.lit(0))).alias("r"),
@@ -65,6 +85,12 @@ def read_results(spark: SparkSession, paths: str | list[str], multi_line: bool =
         .select("path", "file", "size", "last_modified", F.col("r.kind").alias("type"), "r.analysis", "r.meta", "r.log_summary",
                 "r.timestamp", "r.log_count", "r.success")
     )
+    files = spark.read.format("binaryFile").load(paths).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"),
+        F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("last_modified"))
+    empty = files.join(found.select("path"), "path", "left_anti").select(
+        "*", F.lit("unknown").alias("type"), F.lit(False).alias("success"))
+    return found.unionByName(empty, allowMissingColumns=True)
 
 
 def latest_results(

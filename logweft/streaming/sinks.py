@@ -14,12 +14,18 @@ BatchFunction = Callable[[DataFrame, int], DataFrame]
 def batch_table(path: str, transform: BatchFunction | None = None, fmt: str = "parquet"):
     """A ``foreachBatch`` function that stores each batch (after ``transform``) under ``batch_id=<n>``.
 
-    A batch that Spark runs again replaces what it wrote before.
+    A batch that Spark runs again replaces what it wrote before.  With ``transform`` the batch is kept while it is
+    written, so that a stateful step before it runs once, however often ``transform`` uses the batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        frame = transform(batch, batch_id) if transform else batch
-        frame.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        rows = batch.persist() if transform else batch
+        try:
+            frame = transform(rows, batch_id) if transform else rows
+            frame.write.mode("overwrite").format(fmt).save(f"{path}/batch_id={batch_id}")
+        finally:
+            if transform:
+                rows.unpersist()
 
     return write
 

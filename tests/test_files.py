@@ -133,7 +133,7 @@ def test_written_results(spark, tmp_path, fmt):
     back = spark.read.format(fmt).load(out)
     assert {(r.analysis_type, r.analysis) for r in back.collect()} == {(r.analysis_type, r.analysis) for r in records.collect()}
     if fmt == "json":
-        assert read_result_records(spark, out, multi_line=False).filter("kind = 'pipeline'").count() == 3
+        assert read_result_records(spark, out).filter("kind = 'pipeline'").count() == 3
 
 
 def test_filtered_lines_are_whole(spark, tmp_path, conf):
@@ -148,3 +148,19 @@ def test_filtered_lines_are_whole(spark, tmp_path, conf):
     assert one.count() == 2000
     assert sorted((r.line_no, r.value.split()[2]) for r in one.collect()) == [(i, str(i)) for i in range(2000)]
     assert lines.where(lines.source.endswith("f1.log")).groupBy("source").count().first()["count"] == 2000
+
+
+def test_results_in_the_form_they_have(spark, tmp_path):
+    """Many records a file, arrays, pretty-printed values and files without a record, all by default."""
+    lines = [{"meta": {"service": "s", "window_index": i, "total_windows": 50}, "analysis": f"a{i}"} for i in range(50)]
+    put(tmp_path, "lines.json", "\n".join(json.dumps(r) for r in [*lines[:25], *lines[25:]]) + "\n{broken\n", 1000)
+    put(tmp_path, "array.json", "[\n" + ",\n".join(json.dumps(r) for r in lines[:3]) + "\n]", 2000)
+    put(tmp_path, "pretty.json", json.dumps(lines[0], indent=2), 3000)
+    put(tmp_path, "none.json", "[]", 4000)
+    records = read_result_records(spark, str(tmp_path))
+    counts = {(r.file, r.kind): r["count"] for r in records.groupBy("file", "kind").count().collect()}
+    assert counts == {("lines.json", "pipeline"): 50, ("lines.json", "unknown"): 1, ("array.json", "pipeline"): 3,
+                      ("pretty.json", "pipeline"): 1}
+    found = {r.file: (r.type, r.success, r.analysis) for r in read_results(spark, str(tmp_path)).collect()}
+    assert found["none.json"] == ("unknown", False, None)
+    assert found["array.json"] == found["pretty.json"] == ("pipeline", True, "a0")

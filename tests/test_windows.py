@@ -251,3 +251,20 @@ def test_bad_settings():
     for bad in ({"max_tokens": 0}, {"overlap_ratio": 1.0}, {"min_tokens": -1}, {"tokenizer": "words"}):
         with pytest.raises(ValueError):
             WindowConfig(**bad)
+
+
+@pytest.mark.parametrize("bucket", [1, 2, 65536])
+def test_covered_lines_after_a_filter(spark, bucket):
+    found = spark.createDataFrame(
+        [("a", 0, 0, 5), ("a", 1, 4, 8), ("a", 5, 10, 12), ("a", 6, 11, 12), ("b", 3, 7, 7)],
+        "source string, window_index int, start_line long, end_line long")
+    assert {r.source: r.distinct_lines for r in covered_lines(found, bucket).collect()} == {"a": 12, "b": 1}
+
+
+def test_scorers_get_the_timeout(spark):
+    from logweft.operators.analyze import score_payloads
+
+    requests = spark.createDataFrame([("p", 7), ("q", 9)], "payload string, timeout int")
+    told = score_payloads(requests, lambda payload, timeout: f"{payload}{timeout}").collect()
+    assert sorted(r.analysis for r in told) == ["p7", "q9"]
+    assert sorted(r.analysis for r in score_payloads(requests, lambda payload: payload * 2).collect()) == ["pp", "qq"]
