@@ -3,10 +3,15 @@
 A mask is a row of word positions of which some are ignored.  Every stretch of words as long as a mask is hashed
 under each mask, in the benchmark and in the documents, so that a substituted word leaves those seeds intact that
 ignore its place.  Equal seeds are hits.  Around each hit the words of document and benchmark are compared one by
-one over a window, and the hit counts if enough of them agree.
+one, over every window that holds the seed, and a window counts if enough of it agrees.
+
+The masks are such that each window with enough agreement holds an intact seed (the tests try all patterns of
+substitutions), so hits lose no window.  A benchmark text shorter than a window is one window; masks do not reach
+all its patterns, so its seeds are runs of words that part it, one more than it may have substitutions, of which
+one is always intact.  Documents are looked up under the masks and the lengths of runs that the benchmark uses.
 
 Words are compared in lower case and without signs.  All work is column expressions.  The documents are read and
-not shuffled: seeds of the benchmark, each with the hashes of its window, are broadcast in blocks of at most
+not shuffled: seeds of the benchmark, each with the hashes around it, are broadcast in blocks of at most
 ``block_seeds``, which bounds them; a benchmark of more seeds takes one pass over the documents per block.  Hits
 travel, and are brought to the texts of their documents again: broadcast up to ``broadcast_documents`` documents,
 else by a join on the id.
@@ -30,7 +35,7 @@ from logweft.llm.landing import landed, small
 class SeedConfig:
     """``masks``: of equal length, 1 for a position that counts; ``percent`` of a ``window`` must agree."""
 
-    masks: tuple[str, ...] = ("110110111", "111010111")
+    masks: tuple[str, ...] = ("110100011", "111001001")
     window: int = 16
     percent: int = 80
     block_seeds: int = 200_000
@@ -51,43 +56,61 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(F.split(plain, r"\s+"), lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: Column, config: SeedConfig) -> Column:
-    """Seeds of all stretches under the first mask, then under the second, and so on."""
-    starts = F.sequence(F.lit(0), F.size(hashes) - config.span)
+def seeds(hashes: Column, mask: str) -> Column:
+    """The seed at every word, null where the mask would end after the last; null for a text without words."""
+    def at(i: Column) -> Column:
+        return F.when(i + len(mask) <= F.size(hashes), F.xxhash64(
+            F.lit(mask), *[F.get(hashes, i + k) for k, bit in enumerate(mask) if bit == "1"]))
+
+    return F.when(F.size(hashes) > 0, F.transform(F.sequence(F.lit(0), F.size(hashes) - 1), at))
 
-    def under(number: int, mask: str) -> Column:
-        return F.transform(starts, lambda i: F.xxhash64(
-            F.lit(number), *[F.get(hashes, i + k) for k, bit in enumerate(mask) if bit == "1"]))
 
-    return F.concat(*[under(n, m) for n, m in enumerate(config.masks)])
+def runs(words: int, config: SeedConfig) -> list[tuple[int, int]]:
+    """``(place, length)`` of runs that part a text of so many words, one more than it may have substitutions."""
+    parts = words * (100 - config.percent) // 100 + 1
+    ends = [words * k // parts for k in range(parts + 1)]
+    return [(a, b - a) for a, b in zip(ends, ends[1:])]
 
 
-def _seeded(rows: DataFrame, key: str, config: SeedConfig, carried: tuple[str, ...] = ()) -> DataFrame:
-    """``key, number, place, seed`` and what is ``carried`` of the row; ``number`` of stretches, ``place`` of the first word.
+def _seeded(rows: DataFrame, masks: list[str]) -> DataFrame:
+    """``doc_id, place, seed`` of documents under all ``masks``; ``place`` of the first word.
 
-    A text too short for a mask has one row with a null seed, which joins with nothing: a filter on the hashes, or
-    one that the optimizer derives from ``posexplode``, would be pushed below them and compute them again per word.
-    Documents do not carry their hashes, which would be copied for each of their words.
+    Seeds that a text is too short for are null and join with nothing: a filter on the hashes, or one that the
+    optimizer derives from ``posexplode``, would be pushed below them and compute them again per word.  Documents do
+    not carry their hashes, which would be copied for each of their words.
     """
     return (
-        rows.select(key, word_hashes(F.col("text")).alias("hashes"))
-        .withColumn("number", F.size("hashes") - (config.span - 1))
-        .withColumn("seeds", F.when(F.col("number") > 0, seeds(F.col("hashes"), config)))
-        .select(key, "number", *carried, F.posexplode_outer("seeds").alias("at", "seed"))
-        .select(key, "number", *carried, F.pmod("at", "number").alias("place"), "seed"))
+        rows.select("doc_id", word_hashes(F.col("text")).alias("hashes"))
+        .withColumn("number", F.size("hashes"))
+        .withColumn("seeds", F.concat(*[seeds(F.col("hashes"), m) for m in masks]))
+        .select("doc_id", "number", F.posexplode_outer("seeds").alias("at", "seed"))
+        .select("doc_id", F.pmod("at", "number").alias("place"), "seed"))
 
 
 def benchmark_seeds(benchmark: DataFrame, config: SeedConfig) -> DataFrame:
-    """``seed, text_key, shift, compared``: per seed the hashes of the window around it, and where the window
-    begins relative to the seed.  Equal texts are one."""
+    """``seed, mask, text_key, shift, compared``: per seed the hashes of all windows that hold it, and where they
+    begin relative to the seed.  Equal texts are one."""
     texts = benchmark.select(F.xxhash64(word_hashes(F.col("text"))).alias("text_key"), "text").dropDuplicates(["text_key"])
-    found = _seeded(texts, "text_key", config, ("hashes",)).where(F.col("seed").isNotNull())
-    size = F.size("hashes")
-    middle = F.col("place") - (config.window - config.span) // 2
-    begin = F.greatest(F.lit(0), F.least(middle, size - config.window))
-    return found.select(
-        "seed", "text_key", (begin - F.col("place")).alias("shift"),
-        F.slice("hashes", begin + 1, F.lit(config.window)).alias("compared")).dropDuplicates(["seed", "text_key", "compared"])
+    rows = texts.select("text_key", word_hashes(F.col("text")).alias("hashes")).withColumn("n_words", F.size("hashes"))
+    hashes = F.col("hashes")
+
+    def entry(mask: str, place: Column, seed: Column) -> Column:
+        return F.struct(F.lit(mask).alias("mask"), place.alias("place"), seed.alias("seed"))
+
+    def under(mask: str) -> Column:
+        return F.transform(seeds(hashes, mask), lambda seed, place: entry(mask, place, seed))
+
+    found = F.when(F.col("n_words") >= config.window, F.concat(*[under(m) for m in config.masks]))
+    for n in range(config.span, config.window):
+        found = found.when(F.col("n_words") == n, F.array(*[
+            entry("1" * k, F.lit(at), F.get(seeds(hashes, "1" * k), F.lit(at))) for at, k in runs(n, config)]))
+    exploded = rows.withColumn("found", found).select("text_key", "hashes", "n_words", F.explode("found").alias("found")).select(
+        "text_key", "hashes", "n_words", "found.*").where(F.col("seed").isNotNull())
+    begin = F.greatest(F.lit(0), F.col("place") + F.length("mask") - config.window)
+    end = F.least(F.col("n_words"), F.col("place") + config.window)
+    return exploded.select(
+        "seed", "mask", "text_key", (begin - F.col("place")).alias("shift"),
+        F.slice("hashes", begin + 1, end - begin).alias("compared")).dropDuplicates(["seed", "text_key", "compared"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, config: SeedConfig = SeedConfig()) -> DataFrame:
@@ -96,10 +119,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, config: SeedConfig = See
     items = benchmark.select("item_id", F.xxhash64(word_hashes(F.col("text"))).alias("text_key"))
     table = landed(benchmark_seeds(benchmark, config), "benchmark-seeds")
     blocks = max(1, -(-table.count() // config.block_seeds))
-    hits = None
+    masks = sorted(r.mask for r in table.select("mask").distinct().collect()) or list(config.masks)
+    table, hits = table.drop("mask"), None
     for block in range(blocks):
         part = table if blocks == 1 else table.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == block)
-        found = _seeded(docs.where(F.col("doc_id").isNotNull()), "doc_id", config).join(F.broadcast(part), "seed").select(
+        found = _seeded(docs.where(F.col("doc_id").isNotNull()), masks).join(F.broadcast(part), "seed").select(
             "doc_id", "text_key", (F.col("place") + F.col("shift")).alias("begin"), "compared")
         hits = found if hits is None else hits.unionByName(found)
     of_doc = landed(
@@ -110,12 +134,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, config: SeedConfig = See
         "doc_id", "hits", word_hashes(F.col("text")).alias("hashes"))
 
     def judged(hit: Column) -> Column:
-        same = F.transform(hit["compared"], lambda h, k: h == F.get(F.col("hashes"), hit["begin"] + k))
-        return F.struct(hit["text_key"].alias("text_key"), hit["begin"].alias("begin"), F.size(hit["compared"]).alias("n_compared"),
-                        F.size(F.filter(same, lambda x: x)).alias("n_equal"))
+        words = F.least(F.size(hit["compared"]), F.lit(config.window))
+
+        def windows(same: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), F.size(same) - words), lambda k: F.struct(
+                hit["text_key"].alias("text_key"), (hit["begin"] + k).alias("begin"), words.alias("n_compared"),
+                F.aggregate(F.slice(same, k + 1, words), F.lit(0), lambda n, x: n + x).alias("n_equal")))
+
+        same = F.transform(hit["compared"], lambda h, k: F.coalesce((h == F.get(F.col("hashes"), hit["begin"] + k)).cast("int"), F.lit(0)))
+        # In an array of one, so that it is computed once and not for each window.
+        every = F.flatten(F.transform(F.array(same), windows))
+        return F.filter(every, lambda w: 100 * w["n_equal"] >= config.percent * w["n_compared"])
 
-    verified = around.select("doc_id", F.explode_outer(F.transform("hits", judged)).alias("hit")).select("doc_id", "hit.*").where(
-        100 * F.col("n_equal") >= config.percent * F.col("n_compared"))
+    verified = around.select("doc_id", F.explode_outer(F.flatten(F.transform("hits", judged))).alias("hit")).select(
+        "doc_id", "hit.*").where(F.col("text_key").isNotNull())
     by_text = verified.groupBy("doc_id", "text_key").agg(
         F.max("n_equal").alias("n_equal"), F.max("n_compared").alias("n_compared"), F.min("begin").alias("first_word"),
         F.max(F.col("begin") + F.col("n_compared")).alias("end_word"), F.count_distinct("begin").alias("n_windows"))

@@ -1,6 +1,7 @@
 """Operators for training data on small fixtures, against plain Python and with awkward rows."""
 
 import collections
+import itertools
 import os
 import random
 import re
@@ -167,6 +168,45 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(docs, bench.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("words", range(9, 17))
+def test_seeds_keep_every_accepted_pattern(words):
+    config = decontaminate.SeedConfig()
+    if words < config.window:
+        shapes = [("1" * k, at) for at, k in decontaminate.runs(words, config)]
+    else:
+        shapes = [(m, at) for m in config.masks for at in range(words - len(m) + 1)]
+    used = [{at + k for k, bit in enumerate(m) if bit == "1"} for m, at in shapes]
+    patterns = itertools.combinations(range(words), words * (100 - config.percent) // 100)
+    assert all(any(u.isdisjoint(p) for u in used) for p in patterns)
+
+
+def test_decontamination_against_all_windows(spark):
+    draw = random.Random(9)
+    items = {i: [f"i{i}x{k}" for k in range(n)] for i, n in enumerate((9, 10, 12, 15, 16, 16, 17, 40, 90))}
+    texts = {}
+    for pattern in itertools.combinations(range(16), 3):
+        texts[len(texts)] = [f"s{k}" if k in pattern else w for k, w in enumerate(items[4])]
+    for phase in range(5):
+        texts[len(texts)] = [f"s{k}" if k % 5 == phase else w for k, w in enumerate(items[8])]
+    for _ in range(600):
+        words = list(items[draw.randrange(len(items))])
+        for k in draw.sample(range(len(words)), min(len(words), draw.randint(1, 2 + len(words) // 5))):
+            words[k] = "other"
+        texts[len(texts)] = draw.choices("abc", k=draw.randrange(4)) + words[draw.randrange(3):] + draw.choices("abc", k=draw.randrange(4))
+
+    def overlaps(text, item):
+        n = min(16, len(item))
+        return any(
+            100 * sum(0 <= d + k < len(text) and text[d + k] == item[b + k] for k in range(n)) >= 80 * n
+            for b in range(len(item) - n + 1) for d in range(-n, len(text)))
+
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    want = {(i, k) for i, t in texts.items() for k, item in items.items() if set(t) & set(item) and overlaps(t, item)}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == want
+    assert len(want) > 700
+
+
 def _plain_components(texts, words, percent):
     sets = {}
     for i, text in texts.items():
