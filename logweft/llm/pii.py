@@ -17,9 +17,11 @@ the added one, which is replaced.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -131,8 +133,8 @@ class Rewritten:
 LOOKALIKES = dict(zip(
     "авеёкмнорстухіјѕԁһԛԝАВЕЁКМНОРСТУХІЈЅαβεικνορτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ。٠",
     "abeekmhopctyxijsdhqwABEEKMHOPCTYXIJSaBeikvoptuxABEZHIKMNOPTYX.0", strict=True))
+LOOKALIKES |= dict.fromkeys("\u2010\u2011\u2012\u2013\u2014\u2015\u2212", "-")
 INVISIBLE = "­​‌‍⁠﻿"
-_ODD = re.compile(r"[­²³¹Ͱ-῿​-‍․⁠-\U0010ffff]")
 
 # The digits' names in the languages of the texts.
 DIGIT_WORDS = {
@@ -149,14 +151,31 @@ _SPELLED = re.compile(
     re.IGNORECASE)
 _PART = re.compile(rf"{_NAME}|{_DOT}|[0-9]+", re.IGNORECASE)
 _NAMES = frozenset(DIGIT_WORDS)
+# The names of the sign @, words that stand before a plain "at", and endings of domains.  Endings that
+# source files have too (py, rs, sh, md, cc, so, ps) are left out: "error at main.py".
+_AT = r"(?:at|arroba|arobase|arobas|arrobase|klammeraffe)"
+_PROSE = frozenset(
+    "a an and are available be been found he her here him hosted i is it live look looked looking looks me more not or "
+    "see seen she site that the them there they this us visit was we were you".split())
+ENDINGS = frozenset(
+    "com org net edu gov mil int info biz name pro mobi museum aero coop jobs travel cat asia post tel app dev cloud online "
+    "site store shop tech blog xyz email example invalid test "
+    "ac ad ae af ag ai al am ao aq ar as at au aw ax az ba bb bd be bf bg bh bi bj bm bn bo br bs bt bw by bz ca cd cf cg "
+    "ch ci ck cl cm cn co cr cu cv cw cx cy cz de dj dk dm do dz ec ee eg er es et eu fi fj fk fm fo fr ga gd ge gf gg gh "
+    "gi gl gm gn gp gq gr gs gt gu gw gy hk hm hn hr ht hu id ie il im in io iq ir is it je jm jo jp ke kg kh ki km kn kp "
+    "kr kw ky kz la lb lc li lk lr ls lt lu lv ly ma mc me mg mh mk ml mm mn mo mp mq mr ms mt mu mv mw mx my mz na nc ne "
+    "nf ng ni nl no np nr nu nz om pa pe pf pg ph pk pl pm pn pr pt pw qa re ro ru rw sa sb sc sd se sg si sk sl sm sn "
+    "sr ss st su sv sx sy sz tc td tf tg th tj tk tl tm tn to tr tt tv tw tz ua ug uk us uy uz va vc ve vg vi vn vu wf ws "
+    "ye yt za zm zw".split())
 _BRACKETED = re.compile(
-    rf" ?[\[({{<] ?(?:(?P<at>at|@)|(?P<dot>{_DOT}|\.)) ?[\])}}>] ?", re.IGNORECASE)
-_SAID = re.compile(
-    rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: {_DOT} [A-Za-z0-9_%+-]++){{0,8}}+ (?P<at>at) [A-Za-z0-9-]++(?P<tail>(?: {_DOT} [A-Za-z0-9-]++){{1,8}}+)",
-    re.IGNORECASE)
+    rf" ?[\[({{<] ?(?:(?P<at>{_AT}|@)|(?P<dot>{_DOT}|\.)) ?[\])}}>] ?", re.IGNORECASE)
+_SAID_AT = re.compile(rf" {_AT}(?= )", re.IGNORECASE)
+#: A domain label by label, its dots written, spoken or in brackets.
+_LABELS = re.compile(
+    rf"[A-Za-z0-9-]++(?:(?:\.| {_DOT} | ?[\[({{<] ?(?:{_DOT}|\.) ?[\])}}>] ?)[A-Za-z0-9-]++)*+", re.IGNORECASE)
 _SAID_DOT = re.compile(rf" {_DOT} ", re.IGNORECASE)
+_DOT_BEFORE = re.compile(rf" {_DOT} \Z", re.IGNORECASE)
 _DIGIT_DOT = re.compile(rf"(?<=[0-9]) {_DOT} (?=[0-9])", re.IGNORECASE)
-_HALF = re.compile(rf"(?<=[A-Za-z0-9]) {_DOT} (?=[A-Za-z])", re.IGNORECASE)
 
 
 def _plain(char: str) -> str:
@@ -171,11 +190,18 @@ def _plain(char: str) -> str:
     return form if len(form) == 1 and form.isascii() and form.isprintable() else char
 
 
+@cache
+def _odd() -> re.Pattern[str]:
+    """All characters that ``_plain`` changes, as one class."""
+    changed = [c for c in range(128, sys.maxunicode + 1) if _plain(chr(c)) != chr(c)]
+    return re.compile(f"[{''.join(f'\\U{c:08x}' for c in changed)}]")
+
+
 def look_alikes(text: str) -> Rewritten | None:
     """Characters that look like ASCII ones, and invisible ones."""
     if text.isascii():
         return None
-    edits = [(m.start(), m.end(), new) for m in _ODD.finditer(text) if (new := _plain(m[0])) != m[0]]
+    edits = [(m.start(), m.end(), _plain(m[0])) for m in _odd().finditer(text)]
     return Rewritten(text, edits) if edits else None
 
 
@@ -192,22 +218,55 @@ def spelled_digits(text: str) -> Rewritten | None:
     return Rewritten(text, edits) if edits else None
 
 
+def _said_ats(text: str) -> Iterator[tuple[int, int, int, int]]:
+    """Where the name of an @ stands between a local part and a domain: start of the part, the name with its spaces, end
+    of the domain.  A domain with written dots only needs a known ending, and no word of prose before the name.
+
+    Domains do not overlap, and a local part is looked for after the last domain, so each character is seen once.
+    """
+    free = 0
+    for m in _SAID_AT.finditer(text):
+        domain = _LABELS.match(text, m.end() + 1)
+        if not domain or m.start() < free:
+            continue
+        labels = domain[0].split(".")
+        said = " " in domain[0] or any(b in domain[0] for b in "[({<")
+        if not said and (len(labels) < 2 or labels[-1].lower() not in ENDINGS):
+            continue
+        start = last = m.start()
+        while start > free and text[start - 1] in _LOCAL:
+            start -= 1
+        if start == last or not said and text[start:last].lower() in _PROSE:
+            continue
+        while dot := _DOT_BEFORE.search(text[max(free, start - 8): start]):
+            end = start - len(dot[0])
+            begin = end
+            while begin > free and text[begin - 1] in _LOCAL:
+                begin -= 1
+            if begin == end:
+                break
+            start = begin
+        free = domain.end()
+        yield start, m.start(), m.end() + 1, domain.end()
+
+
 def said_signs(text: str) -> Rewritten | None:
     """At and dot in brackets, as words between parts of an address, and dots as words between digits."""
     found: dict[int, tuple[int, int, str]] = {}
     if any(b in text for b in "[({<"):
         for m in _BRACKETED.finditer(text):
             found[m.start()] = (m.start(), m.end(), "@" if m["at"] else ".")
+    for start, at, at_end, end in _said_ats(text):
+        found[at] = (at, at_end, "@")
+        for d in [*_SAID_DOT.finditer(text, start, at), *_SAID_DOT.finditer(text, at_end, end)]:
+            found[d.start()] = (d.start(), d.end(), ".")
     lower = text.lower()
     if any(f" {w} " in lower for w in ("dot", "punkt", "point", "punto")):
-        for m in _SAID.finditer(text):
-            found[m.start("at") - 1] = (m.start("at") - 1, m.end("at") + 1, "@")
-            for d in _SAID_DOT.finditer(text, m.start(), m.end()):
-                found[d.start()] = (d.start(), d.end(), ".")
         for m in _DIGIT_DOT.finditer(text):
             found[m.start()] = (m.start(), m.end(), ".")
-        for at in [e for e in found.values() if e[2] == "@"] + [(m, m + 1, "@") for m in _places(text, "@")]:
-            for d in _HALF.finditer(text, at[1], at[1] + 80):
+        for after in [e[1] for e in found.values() if e[2] == "@"] + [m + 1 for m in _places(text, "@")]:
+            domain = _LABELS.match(text, after)
+            for d in _SAID_DOT.finditer(text, after, domain.end()) if domain else ():
                 found.setdefault(d.start(), (d.start(), d.end(), "."))
     edits, end = [], 0
     for edit in sorted(found.values()):

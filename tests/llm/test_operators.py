@@ -5,6 +5,7 @@ import itertools
 import os
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -78,6 +79,45 @@ def test_disguises(text, kind, found):
     assert [(pii.KINDS[k], text[s:e], b) for s, k, e, b in pii.find_spans(text)] == [(kind, found, False)]
 
 
+@pytest.mark.parametrize("text, kind, found", [
+    ("card 4111\u00a01111\u00a01111\u00a01111 ok", "card", "4111\u00a01111\u00a01111\u00a01111"),
+    ("card 4111\u20131111\u20111111\u20141111 ok", "card", "4111\u20131111\u20111111\u20141111"),
+    ("tel +33\u202f1\u202f23\u202f45\u202f67\u202f89 ok", "phone", "+33\u202f1\u202f23\u202f45\u202f67\u202f89"),
+    ("j\u00aane@examp\u02e1e.com", "email", "j\u00aane@examp\u02e1e.com"),
+])
+def test_typographic_disguises(text, kind, found):
+    assert [(pii.KINDS[k], text[s:e], b) for s, k, e, b in pii.find_spans(text)] == [(kind, found, False)]
+
+
+def test_every_changed_character_is_looked_at():
+    changed = [chr(c) for c in range(128, 0x110000) if pii._plain(chr(c)) != chr(c)]
+    assert all(pii.look_alikes(c).text == pii._plain(c) for c in changed)
+
+
+LONG = " dot ".join(f"part{k}" for k in range(30))
+
+
+@pytest.mark.parametrize("text, found", [
+    ("write jane.doe at mail.example.com today", "jane.doe at mail.example.com"),
+    ("write jane at mail.example dot com today", "jane at mail.example dot com"),
+    ("escribe juana arroba ejemplo punto es ya", "juana arroba ejemplo punto es"),
+    ("jeanne arobase exemple.fr merci", "jeanne arobase exemple.fr"),
+    (f"to {LONG} at {LONG} dot org", f"{LONG} at {LONG} dot org"),
+    (f"to jane [at] {LONG} dot org", f"jane [at] {LONG} dot org"),
+    ("look at example.com, meet at the. end or error at main.py", None),
+    ("x at noon, y at ten.Then", None),
+])
+def test_spoken_addresses(text, found):
+    assert [text[s:e] for s, _, e, _ in pii.find_spans(text)] == ([found] if found else [])
+
+
+def test_spoken_signs_take_time_in_proportion():
+    for text in ("a dot " * 100_000, "a at b dot " * 60_000, " at" * 200_000, "a dot " * 100_000 + "at b.com", "a@b dot " * 60_000):
+        start = time.monotonic()
+        pii.find_spans(text)
+        assert time.monotonic() - start < 20
+
+
 def test_masking(spark):
     rows = spark.createDataFrame([(1, "a@b.cc and +1 (555) 555-1234!"), (2, "clean"), (3, None)], "doc_id long, text string")
     got = pii.find_pii(rows).select("doc_id", pii.masked(F.col("text"), F.col("pii")).alias("t")).collect()
