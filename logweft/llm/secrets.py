@@ -1,7 +1,8 @@
 """Secret scanning with a random forest that removes false positives.
 
-A pattern finds candidates: long unbroken runs of letters, digits and ``_+/=-`` with a digit or with letters of both
-cases inside.  Each becomes a row of numbers: its length, shares and transitions of character classes, how unusual
+Patterns find candidates: long unbroken runs of letters, digits and ``_+/-``, with ``=`` as padding at the end, that have
+a digit or letters of both cases inside; and, from four characters on and of any kind, what is assigned to a name such
+as ``password``.  Each becomes a row of numbers: its length, shares and transitions of character classes, how unusual
 its pairs of characters are, how much of it dictionary words cover, what its document's path says, and which words
 stand near it.  A random forest fitted on labelled findings gives the probability that it is a secret.
 
@@ -9,10 +10,13 @@ Labelled findings are a table of candidates with a label.  Where there is none,
 candidates whose form settles the matter (a well-known issuer's form or a named assignment of random characters on
 one side; parts of addresses and names, repeated characters, words on the other) and none to the rest.
 
-Findings are rows where their text lies; the forest is fitted on a bounded sample of them (``train_rows``), and the
-dictionary comes from a bounded sample of documents (``dictionary_documents``).  Scoring is one pass with no shuffle.
+Findings are rows where their text lies; the forest is fitted on a bounded sample of them (``train_rows``).  The
+dictionary is counted over all documents, in one aggregation of words; it has the words that at least ``word_share`` of
+the documents hold, so its size is at most the distinct words of a mean document divided by that share, however many
+documents there are.  Scoring is one pass with no shuffle.
 
-Defined cases: a null or empty text has no candidates; candidates that overlap do not occur; a null path is the
+Defined cases: a null or empty text has no candidates; of candidates that overlap the earliest is taken, and of those
+that start together the longest; a null path is the
 empty path; without labelled findings of both kinds the probability is 0.5 and every candidate is kept; repeated
 rows give repeated findings; other columns are ignored; a null id is carried along.
 """
@@ -36,23 +40,26 @@ from logweft.llm.landing import landed
 @dataclass(frozen=True)
 class SecretConfig:
     train_rows: int = 20_000
-    dictionary_documents: int = 3_000
-    dictionary_words: int = 5_000
+    word_share: float = 0.001
     trees: int = 20
     depth: int = 6
     seed: int = 11
     threshold: float = 0.5
 
 
-_CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{16,}+")
+_CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}+(?:={1,2}(?![A-Za-z0-9_+/=\"'-]))?")
 _BOTH_CASES = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")
 _LETTERS = re.compile(r"[a-z]+")
 #: How far to look for words near a candidate.
 NEAR = 48
 
 # Names that stand before secrets, words of examples, and the forms of well-known issuers.
-KEY_NAMES = re.compile(
-    r"(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|passwd|pwd|auth|bearer|credential|private[_-]?key)\W{0,6}$", re.IGNORECASE)
+_NAMES = r"(?:api[_-]?key|access[_-]?key|secret|token|passw(?:or)?d|passwd|pwd|auth|bearer|credential|private[_-]?key)"
+KEY_NAMES = re.compile(_NAMES + r"\W{0,6}$", re.IGNORECASE)
+#: A value after such a name: in quotes, or up to a blank or a sign that ends it.
+_ASSIGNED = re.compile(
+    _NAMES + r"[\"'`]?[ \t]*+(?:[:=]=?|=>)[ \t]*+(?:(?P<quote>[\"'`])(?P<quoted>[^\"'`\s]{4,}+)(?P=quote)|(?P<bare>[^\"'`\s,;&()\[\]{}<>]{4,}+))",
+    re.IGNORECASE)
 EXAMPLES = re.compile(r"example|sample|dummy|placeholder|changeme|your[_-]|xxxx|fake|test", re.IGNORECASE)
 ISSUED = re.compile(
     r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}")
@@ -68,11 +75,22 @@ _FREQUENT = frozenset("th he in er an re on at en nd ti es or te of ed is it al
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """Spans of candidates, in code points, ends exclusive."""
-    out = []
+    found = []
     for m in _CANDIDATE.finditer(text):
         token = m[0]
-        if any(c.isdigit() for c in token) and any(c.isalpha() for c in token) or _BOTH_CASES.search(token):
-            out.append(m.span())
+        if any(c.isdigit() for c in token) and any(c.isalpha() for c in token) or _BOTH_CASES.search(token) or ISSUED.fullmatch(token):
+            found.append(m.span())
+    for m in _ASSIGNED.finditer(text):
+        start, end = m.span("quoted" if m["quote"] else "bare")
+        if not m["quote"]:
+            end = start + len(text[start:end].rstrip(".:!?"))
+        if end - start >= 4:
+            found.append((start, end))
+    out, free = [], 0
+    for start, end in sorted(found, key=lambda s: (s[0], -s[1])):
+        if start >= free:
+            out.append((start, end))
+            free = end
     return out
 
 
@@ -123,21 +141,20 @@ def weak_label(values: list[float]) -> float | None:
     v = dict(zip(FEATURES, values, strict=True))
     if v["example_near"] and not v["key_before"] or v["longest_run"] >= 5 or v["in_address"] or v["covered"] > 0.6:
         return 0.0
-    if v["issued"] or v["key_before"] and v["entropy"] >= 3 and v["digits"] > 0 and v["odd_pairs"] > 0.6:
+    if v["issued"] or v["key_before"] and v["entropy"] >= 3 and v["odd_pairs"] > (0.6 if v["digits"] else 0.8):
         return 1.0
+    if v["key_before"]:
+        return None
     if not v["digits"] or v["distinct"] < 0.2 or v["vowels"] > 0.35 and not v["hex_only"]:
         return 0.0
     return None
 
 
 def dictionary(docs: DataFrame, config: SecretConfig = SecretConfig()) -> frozenset[str]:
-    """Frequent lower-case words of at least three letters, from a bounded sample of documents drawn by a hash of the id."""
-    total = docs.count()
-    share = min(1.0, config.dictionary_documents / max(1, total))
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1 << 30)) <= int(share * (1 << 30)))
-    words = drawn.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
+    """Lower-case words of 3 to 12 letters that at least ``word_share`` of all documents hold."""
+    words = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
     counted = words.where("length(word) between 3 and 12").groupBy("word").count()
-    rows = counted.orderBy(F.desc("count"), "word").limit(config.dictionary_words).collect()
+    rows = counted.where(F.col("count") >= config.word_share * docs.count()).select("word").collect()
     return frozenset(r.word for r in rows)
 
 
