@@ -134,6 +134,7 @@ LOOKALIKES = dict(zip(
     "авеёкмнорстухіјѕԁһԛԝАВЕЁКМНОРСТУХІЈЅαβεικνορτυχΑΒΕΖΗΙΚΜΝΟΡΤΥΧ。٠",
     "abeekmhopctyxijsdhqwABEEKMHOPCTYXIJSaBeikvoptuxABEZHIKMNOPTYX.0", strict=True))
 LOOKALIKES |= dict.fromkeys("\u2010\u2011\u2012\u2013\u2014\u2015\u2212", "-")
+_BEYOND = re.compile(r"[^\x00-\x7f]")
 INVISIBLE = "­​‌‍⁠﻿"
 
 # The digits' names in the languages of the texts.
@@ -191,18 +192,17 @@ def _plain(char: str) -> str:
 
 
 @cache
-def _odd() -> re.Pattern[str]:
-    """All characters that ``_plain`` changes, as one class."""
-    changed = [c for c in range(128, sys.maxunicode + 1) if _plain(chr(c)) != chr(c)]
-    return re.compile(f"[{''.join(f'\\U{c:08x}' for c in changed)}]")
+def _changed() -> dict[str, str]:
+    """All characters that ``_plain`` changes, and to what."""
+    return {c: new for c in map(chr, range(128, sys.maxunicode + 1)) if (new := _plain(c)) != c}
 
 
 def look_alikes(text: str) -> Rewritten | None:
     """Characters that look like ASCII ones, and invisible ones."""
-    if text.isascii():
+    if text.isascii() or _changed().keys().isdisjoint(_BEYOND.findall(text)):
         return None
-    edits = [(m.start(), m.end(), _plain(m[0])) for m in _odd().finditer(text)]
-    return Rewritten(text, edits) if edits else None
+    edits = [(m.start(), m.end(), new) for m in _BEYOND.finditer(text) if (new := _changed().get(m[0])) is not None]
+    return Rewritten(text, edits)
 
 
 def spelled_digits(text: str) -> Rewritten | None:
