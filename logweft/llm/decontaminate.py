@@ -8,7 +8,7 @@ one, over every window that holds the seed, and a window counts if enough of it
 The masks are such that each window with enough agreement holds an intact seed (the tests try all patterns of
 substitutions), so hits lose no window.  A benchmark text shorter than a window is one window; masks do not reach
 all its patterns, so its seeds are runs of words that part it, one more than it may have substitutions, of which
-one is always intact.  Documents are looked up under the masks and the lengths of runs that the benchmark uses.
+one is always intact; a text shorter than a mask is one run and must be there whole.  Documents are looked up under the masks and the lengths of runs that the benchmark uses.
 
 Words are compared in lower case and without signs.  All work is column expressions.  The documents are read and
 not shuffled: seeds of the benchmark, each with the hashes around it, are broadcast in blocks of at most
@@ -16,8 +16,8 @@ not shuffled: seeds of the benchmark, each with the hashes around it, are broadc
 travel, and are brought to the texts of their documents again: broadcast up to ``broadcast_documents`` documents,
 else by a join on the id.
 
-Defined cases: null and empty texts match nothing; a benchmark text of fewer words than a mask has is never
-matched, since so few words agree by chance; repeated benchmark texts are reported under every id; documents with a
+Defined cases: null and empty texts match nothing; a benchmark text of fewer words than a mask has
+matches verbatim only, which for one of a word or two is every document with them; repeated benchmark texts are reported under every id; documents with a
 null id are not reported, and stay; repeated rows are reported once; other columns are ignored.
 """
 
@@ -66,7 +66,10 @@ def seeds(hashes: Column, mask: str) -> Column:
 
 
 def runs(words: int, config: SeedConfig) -> list[tuple[int, int]]:
-    """``(place, length)`` of runs that part a text of so many words, one more than it may have substitutions."""
+    """``(place, length)`` of runs that part a text of so many words, one more than it may have substitutions; one run for
+    a text shorter than a mask."""
+    if words < config.span:
+        return [(0, words)]
     parts = words * (100 - config.percent) // 100 + 1
     ends = [words * k // parts for k in range(parts + 1)]
     return [(a, b - a) for a, b in zip(ends, ends[1:])]
@@ -101,7 +104,7 @@ def benchmark_seeds(benchmark: DataFrame, config: SeedConfig) -> DataFrame:
         return F.transform(seeds(hashes, mask), lambda seed, place: entry(mask, place, seed))
 
     found = F.when(F.col("n_words") >= config.window, F.concat(*[under(m) for m in config.masks]))
-    for n in range(config.span, config.window):
+    for n in range(1, config.window):
         found = found.when(F.col("n_words") == n, F.array(*[
             entry("1" * k, F.lit(at), F.get(seeds(hashes, "1" * k), F.lit(at))) for at, k in runs(n, config)]))
     exploded = rows.withColumn("found", found).select("text_key", "hashes", "n_words", F.explode("found").alias("found")).select(
@@ -144,7 +147,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, config: SeedConfig = See
         same = F.transform(hit["compared"], lambda h, k: F.coalesce((h == F.get(F.col("hashes"), hit["begin"] + k)).cast("int"), F.lit(0)))
         # In an array of one, so that it is computed once and not for each window.
         every = F.flatten(F.transform(F.array(same), windows))
-        return F.filter(every, lambda w: 100 * w["n_equal"] >= config.percent * w["n_compared"])
+        return F.filter(every, lambda w: 100 * w["n_equal"] >= F.when(
+            w["n_compared"] < config.span, 100).otherwise(config.percent) * w["n_compared"])
 
     verified = around.select("doc_id", F.explode_outer(F.flatten(F.transform("hits", judged))).alias("hit")).select(
         "doc_id", "hit.*").where(F.col("text_key").isNotNull())

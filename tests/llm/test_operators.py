@@ -247,6 +247,15 @@ def test_decontamination_against_all_windows(spark):
     assert len(want) > 700
 
 
+def test_decontamination_by_short_texts(spark):
+    docs = spark.createDataFrame(
+        [(1, "so: who wrote The Odyssey? then"), (2, "who wrote the other odyssey"), (3, "one two three four five six seven eight"),
+         (4, "one two three four x six seven eight"), (5, "alone"), (6, "")], "doc_id long, text string")
+    bench = spark.createDataFrame(
+        [(1, "Who wrote the Odyssey?"), (2, "one two three four five six seven eight"), (3, "alone"), (4, " ! ")], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()} == {(1, 1), (3, 2), (5, 3)}
+
+
 def _plain_components(texts, words, percent):
     sets = {}
     for i, text in texts.items():
