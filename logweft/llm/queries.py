@@ -7,13 +7,16 @@ from __future__ import annotations
 
 import os
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweft.llm import decontaminate, jaccard, lm, packing, pii, quality, rules, secrets, sharding, toxicity
+from logweft.llm import (
+    alignment, decontaminate, jaccard, line_dedup, lm, merkle, packing, pii, quality, rules, secrets, sharding, toxicity)
 from logweft.llm.text import crc_rest
 
-VOCABULARY = os.environ.get("LOGWEFT_BPE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+VOCABULARY = os.environ.get("LOGWEFT_BPE_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
+PIECES = os.environ.get("LOGWEFT_PIECE_MODEL") or public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -86,10 +89,105 @@ def op10_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "good_probability")
 
 
+def op11_merkle(spark, sf_dir):
+    """Leaves, subroots, root and proofs of all documents; every second one, by the hash of its id, is tampered with."""
+    docs = _table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    tampered = F.when(crc_rest("doc_id", 2) == 0, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    leaves = docs.select(
+        F.col("source").alias("tree"), F.col("doc_id").alias("key"), merkle.leaf_hash(*fields, F.col("text")).alias("leaf"),
+        merkle.leaf_hash(*fields, tampered).alias("claimed"))
+    return merkle.manifest(leaves).select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12_line_dedup(spark, sf_dir):
+    """What is left of all documents without lines that other documents have."""
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op13_alignment(spark, sf_dir):
+    """Groups and links of two tokenizers over all documents."""
+    return alignment.align(_table(spark, sf_dir, "documents"), alignment.AlignConfig(VOCABULARY, PIECES))
+
+
 QUERIES = {
     f.__name__: f for f in (
         op1_packing, op2_sharding, op3_pii, op4_decontamination, op5_secrets, op6_quality, op7_lm_scores, op8_toxicity,
-        op9_jaccard, op10_quality_rules)}
+        op9_jaccard, op10_quality_rules, op11_merkle, op12_line_dedup, op13_alignment)}
+
+_KEY = r"""translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
+_OP12 = f"""
+WITH numbered AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM numbered),
+keyed AS (SELECT *, {_KEY} AS k FROM lines),
+shared AS (SELECT k, max(doc_id) AS keeper FROM keyed WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (SELECT keyed.*, shared.k IS NOT NULL AND doc_id IS DISTINCT FROM keeper AS gone FROM keyed LEFT JOIN shared USING (k))
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r
+"""
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: crc32 of a decimal id, bit by bit: the tables of DuckDB have no such function.
+_CRC_LOW_BIT = """(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+    string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: [256 + ascii(c), 0, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda s, c: CASE WHEN c >= 256 THEN xor(s, c - 256) WHEN s & 1 = 1 THEN xor(s >> 1, 3988292384) ELSE s >> 1 END) & 1)"""
+
+_OP11 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_leaf('text')} AS leaf,
+         CASE WHEN {_CRC_LOW_BIT} = 1 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS claimed
+  FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+own AS (
+  SELECT 0 AS level, source, pos, leaf AS node, count(*) OVER (PARTITION BY source) AS n FROM placed
+  UNION ALL
+  SELECT level + 1, source, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 2) // 3
+  FROM own WHERE n > 1 GROUP BY level, source, pos // 3),
+subroots AS (
+  SELECT source, level AS height, node AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos FROM own WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos, subroot AS node, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 3, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 2) // 3 FROM tops WHERE n > 1 GROUP BY level, pos // 3),
+above AS (SELECT node AS root, level AS top FROM tops WHERE n = 1),
+steps AS (
+  SELECT p.doc_id, p.leaf, p.pos AS leaf_pos, p.source, o.level, p.pos // (3 ** o.level)::BIGINT AS own_pos, o.pos, o.node
+  FROM placed p JOIN own o ON o.source IS NOT DISTINCT FROM p.source AND o.n > 1
+       AND o.pos // 3 = p.pos // (3 ** (o.level + 1))::BIGINT
+  UNION ALL
+  SELECT p.doc_id, p.leaf, p.pos, p.source, s.height + t.level, s.pos // (3 ** t.level)::BIGINT, t.pos, t.node
+  FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source JOIN tops t ON t.n > 1
+       AND t.pos // 3 = s.pos // (3 ** (t.level + 1))::BIGINT),
+proofs AS (
+  SELECT source, leaf_pos, sha256(coalesce(string_agg(node, '' ORDER BY level, pos) FILTER (pos <> own_pos), '')) AS proof_sha256
+  FROM steps GROUP BY source, leaf_pos),
+runs AS (
+  SELECT source, leaf_pos, level, coalesce(string_agg(node, '' ORDER BY pos) FILTER (pos < own_pos), '') AS before,
+         coalesce(string_agg(node, '' ORDER BY pos) FILTER (pos > own_pos), '') AS after
+  FROM steps GROUP BY source, leaf_pos, level),
+folds AS (
+  SELECT source, pos AS leaf_pos, 0 AS level, claimed AS node FROM placed
+  UNION ALL
+  SELECT f.source, f.leaf_pos, f.level + 1, sha256(r.before || f.node || r.after)
+  FROM folds f JOIN runs r ON r.source IS NOT DISTINCT FROM f.source AND r.leaf_pos = f.leaf_pos AND r.level = f.level)
+SELECT p.doc_id, p.leaf, s.subroot, a.root, coalesce(q.proof_sha256, sha256('')) AS proof_sha256, f.node AS folded_root, f.node = a.root AS verified
+FROM placed p JOIN subroots s ON s.source IS NOT DISTINCT FROM p.source CROSS JOIN above a
+JOIN folds f ON f.source IS NOT DISTINCT FROM p.source AND f.leaf_pos = p.pos AND f.level = s.height + a.top
+LEFT JOIN proofs q ON q.source IS NOT DISTINCT FROM p.source AND q.leaf_pos = p.pos
+"""
 
 #: Tokenizers, trained models and filling by turns are beyond SQL; tests/llm compares with plain Python instead.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_merkle": _OP11, "op12_line_dedup": _OP12}

@@ -72,3 +72,19 @@ def pieces(batches: Iterable, size_of, limit: int) -> Iterator[list]:
             size += more
     if held:
         yield held
+
+
+def byte_letters() -> dict[str, int]:
+    """The letters in which byte-level vocabularies write bytes, and the bytes."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in printable}
+    return letters | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(printable))}
+
+
+def planes(codes: np.ndarray) -> bytes:
+    """Of 32-bit integers all first bytes, then all second ones, and so on, which compresses well."""
+    return np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
