@@ -25,11 +25,15 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, 0.8): that with the smallest id.  Documents without
-    words, or without an id, stay."""
+    """One document of each group of near duplicates (five words, 0.8): that with the smallest id, and of the rows of
+    an id that which is least by all its columns.  Documents without words, and rows without an id, stay."""
     found = jaccard.near_duplicates(docs, jaccard.JaccardConfig(words=5, percent=80))
-    others = found.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    ids = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id"), F.count("*").alias("n"))
+    several = ids.where("n > 1 and component_id = doc_id").select("doc_id")
+    gone = ids.where("component_id < doc_id or n > 1").select("doc_id")
+    one_each = docs.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).unionByName(one_each.select("row.*"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +43,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced by its kind, and their length brought up to date."""
-    found = pii.find_pii(docs, "_pii").withColumn("text", pii.masked(F.col("text"), F.col("_pii")))
+    found = pii.mask_pii(docs)
     if "n_chars" in docs.columns:
         found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return found.select(*docs.columns)

@@ -30,6 +30,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweft.llm.text import byte_letters
+
+
 @dataclass(frozen=True)
 class PackConfig:
     """``context_sizes``: powers of two, largest first; ``vocabulary``: path of the tokenizer's file (JSON)."""
@@ -51,17 +54,17 @@ class PackConfig:
 class Encoder:
     """Ids of texts under a byte-level BPE vocabulary.
 
-    The file's vocabulary is run by tiktoken, which gives the same ids several times faster.
+    The file's vocabulary is run by tiktoken, which gives the same ids several times faster.  A text that it cannot
+    take (its expressions give up on a million blanks in a row) is encoded, as a whole, by tokenizers.
     """
 
     def __init__(self, vocabulary: str):
         import tiktoken
 
+        self.vocabulary, self.slow = vocabulary, None
         with open(vocabulary, encoding="utf-8") as file:
             spec = json.load(file)
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        letters = {chr(b): b for b in printable}
-        letters |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(printable))}
+        letters = byte_letters()
         special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         ranks = {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         self.coder = tiktoken.Encoding(
@@ -70,7 +73,15 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        return self.coder.encode_to_numpy(text, allowed_special="all").astype("<u4", copy=False).tobytes()
+        try:
+            ids = self.coder.encode_to_numpy(text, allowed_special="all")
+        except ValueError:
+            if self.slow is None:
+                from tokenizers import Tokenizer
+
+                self.slow = Tokenizer.from_file(self.vocabulary)
+            ids = np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4")
+        return ids.astype("<u4", copy=False).tobytes()
 
 
 # --- packing -----------------------------------------------------------------------------------------------
