@@ -86,9 +86,10 @@ def text_statistics(rows: DataFrame, config: RuleConfig = RuleConfig()) -> DataF
     text = F.coalesce("text", F.lit(""))
     added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_caps_words", "n_equal_next", "n_lines",
              "n_distinct_words", "base_failed"]
-    kept = [c for c in rows.columns if c not in added]
+    kept = [c for c in rows.columns if c.lower() not in added]
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
-    found = rows.select(*kept, _words(text).alias("_words"), lines.alias("_lines")).withColumn(
+    # The given columns go into one struct, so that none can be called like a helper.
+    found = rows.select(F.struct(*kept).alias("row"), text.alias("text"), _words(text).alias("_words"), lines.alias("_lines")).withColumn(
         "_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
     # Places are sorted only for the few texts in which a window occurs again.
     found = _with_windows(found, config.window).withColumn("_ordered", F.when(
@@ -96,10 +97,10 @@ def text_statistics(rows: DataFrame, config: RuleConfig = RuleConfig()) -> DataF
         F.sort_array(F.transform("_windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
     long = "long"
     found = found.select(
-        *kept,
+        "row",
         F.size("_words").cast(long).alias("n_words"),
         F.length(F.array_join("_words", "")).cast(long).alias("word_chars"),
-        F.regexp_count(text, F.lit(r"[#*$%&|<>]")).cast(long).alias("n_symbols"),
+        F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast(long).alias("n_symbols"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast(long).alias("n_dup_lines"),
         F.when(F.col("_ordered").isNull(), F.lit(0).cast(long))
         .otherwise(_repeat_words(F.col("_ordered"), config.window)).alias("n_repeat_words"),
@@ -109,7 +110,7 @@ def text_statistics(rows: DataFrame, config: RuleConfig = RuleConfig()) -> DataF
         F.size(F.array_distinct("_hashes")).cast(long).alias("n_distinct_words"))
     few = F.col("n_words") < config.min_words
     repeats = 100 * F.col("n_repeat_words") > config.repeat_percent * F.col("n_words")
-    return found.withColumn("base_failed", few | repeats)
+    return found.withColumn("base_failed", few | repeats).select("row.*", *added)
 
 
 def default_rules() -> list[Rule]:
@@ -180,7 +181,8 @@ def judge(rows: DataFrame, rules: list[Rule] | None = None, config: RuleConfig =
     Statistics are computed once and written to the shared folder; the rules' votes are then counted over all rows.
     """
     rules = default_rules() if rules is None else rules
-    found = landed(text_statistics(rows, config).drop("text"), "rule-statistics")
+    found = text_statistics(rows, config)
+    found = landed(found.drop("text", *[c for c in found.columns if c.lower() in ("good_probability", "kept")]), "rule-statistics")
     votes = F.array(*[vote(r) for r in rules])
     counted = found.groupBy(votes.alias("votes")).count().collect()
     model = estimate([(tuple(r.votes), r["count"]) for r in counted], config)

@@ -41,6 +41,7 @@ from logweft.llm.landing import landed
 class SecretConfig:
     train_rows: int = 20_000
     word_share: float = 0.001
+    word_docs: int = 5
     trees: int = 20
     depth: int = 6
     seed: int = 11
@@ -49,7 +50,7 @@ class SecretConfig:
 
 _CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}+(?:={1,2}(?![A-Za-z0-9_+/=\"'-]))?")
 _BOTH_CASES = re.compile(r"[a-z][A-Z]|[A-Z]{2}[a-z]")
-_LETTERS = re.compile(r"[a-z]+")
+_LETTERS = re.compile(r"[^\W\d_]+")
 #: How far to look for words near a candidate.
 NEAR = 48
 
@@ -151,10 +152,15 @@ def weak_label(values: list[float]) -> float | None:
 
 
 def dictionary(docs: DataFrame, config: SecretConfig = SecretConfig()) -> frozenset[str]:
-    """Lower-case words of 3 to 12 letters that at least ``word_share`` of all documents hold."""
-    words = docs.select(F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word"))
-    counted = words.where("length(word) between 3 and 12").groupBy("word").count()
-    rows = counted.where(F.col("count") >= config.word_share * docs.count()).select("word").collect()
+    """Lower-case words of 3 to 12 letters that at least ``word_share`` of all documents hold, and ``word_docs`` of them.
+
+    Letters next to digits or to signs that candidates are made of are no words: no piece of a candidate is counted.
+    """
+    free = r"(?<![\p{L}\p{N}_+/=-])\p{L}{3,12}(?![\p{L}\p{N}_+/=-])"
+    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(free), F.lit(0)))).alias("word"))
+    counted = words.groupBy("word").count()
+    least = max(float(config.word_docs), config.word_share * docs.count())
+    rows = counted.where(F.col("count") >= least).select("word").collect()
     return frozenset(r.word for r in rows)
 
 
