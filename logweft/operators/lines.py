@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from logweft.config import WindowConfig
 from logweft.fixed_values import LEGACY_NOISE_WORDS, LINE_SPLIT_TOKENS, NOISE_WORDS, SIMPLE_CHARS_PER_TOKEN
 from logweft.functions.parse import WHITE_SPACE, strip
-from logweft.functions.tokens import bpe_available, bpe_counter, count_tokens
+from logweft.functions.tokens import bpe_counter, count_tokens
 from logweft.operators.packing import Budget, pack_lists
 from logweft.sources.lines import renumber_lines
 
@@ -62,7 +62,7 @@ def clean_array(
 def _split_function(limit: int, simple: bool, encoding: str):
     @F.arrow_udf("array<string>")
     def split(lines: pa.Array) -> pa.Array:
-        words = [line.split() for line in lines.to_pylist()]
+        words = [(line or "").split() for line in lines.to_pylist()]
         flat = [word for line in words for word in line]
         costs = np.maximum(1, (np.fromiter(map(len, flat), np.int64, len(flat)) + 1) // SIMPLE_CHARS_PER_TOKEN)
         if not simple:
@@ -84,19 +84,17 @@ def split_large_lines(
 ) -> DataFrame:
     """Cut lines over ``max_line_tokens`` into runs of words that fit; a word over it stands alone.
 
-    Words are packed like lines into windows, without overlap.  Only such lines visit Python; white space collapses in them alone, and one of white space only
-    vanishes.  Lines are numbered anew.
+    Words are packed like lines into windows, without overlap.  Only the text of such lines is sent to Python; white
+    space collapses in them alone, and one of white space only vanishes.  Lines are numbered anew.
     """
     config = config or WindowConfig()
-    simple = config.tokenizer == "simple" or not bpe_available(config.encoding)
-    measured = lines.withColumn("_tokens", count_tokens(F.col("value"), config))
-    large = F.col("_tokens") > max_line_tokens
-    short = measured.filter(~large).select("source", "line_no", F.lit(0).alias("_piece"), "value")
-    pieces = measured.filter(large).select(
-        "source", "line_no",
-        F.posexplode(_split_function(max_line_tokens, simple, config.encoding)(F.col("value"))).alias("_piece", "value"),
-    )
-    return renumber_lines(short.unionByName(pieces), then_by=["_piece"])
+    simple = config.tokenizer == "simple"
+    large = count_tokens(F.col("value"), config) > max_line_tokens
+    measured = lines.withColumn("_large", large)
+    split = _split_function(max_line_tokens, simple, config.encoding)(F.when(F.col("_large"), F.col("value")))
+    pieces = measured.select("source", "line_no", F.posexplode(
+        F.when(F.col("_large"), split).otherwise(F.array("value"))).alias("_piece", "value"))
+    return renumber_lines(pieces, then_by=["_piece"])
 
 
 def head_lines(lines: DataFrame, n: int = 10) -> DataFrame:

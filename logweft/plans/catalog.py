@@ -26,7 +26,7 @@ from logweft.operators import aggregates, alerts, analyze, lines, reports, windo
 from logweft.plans import inputs, oracle
 from logweft.plans.oracle import text as lit
 from logweft.session import new_shared_path
-from logweft.sources import files, results, streams
+from logweft.sources import files, follow, results, streams
 from logweft.streaming import monitor, sinks, triggers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -987,6 +987,17 @@ def stream_log_lines(spark, sf_dir):
     return _run(_stream(spark, sf_dir, 8), "stream-lines").select("source", "value")
 
 
+@query("stream_growing_log", f"WITH {oracle.EVENT_LINES} SELECT source, v AS value FROM ev_lines")
+def stream_growing_log(spark, sf_dir):
+    """Lines of a folder whose logs are followed, stopped, and followed again from the checkpoint after they grew."""
+    folder, out = new_shared_path(spark, "growing-logs"), new_shared_path(spark, "followed")
+    for part in (0, 1):
+        inputs.land_event_files(spark, sf_dir, folder, F.col("event_id") % 2 == part)
+        lines = follow.follow_log_lines(spark, folder, "part-*", F.regexp_extract("segment", "source=([^/]+)/", 1))
+        sinks.start(lines, f"{out}/table", f"{out}/checkpoint", available_now=True).awaitTermination()
+    return sinks.read_batches(spark, f"{out}/table").select("source", "value")
+
+
 @query("stream_batch_alerts", LOGS + _alert_sql("source"))
 def stream_batch_alerts(spark, sf_dir):
     """Alerts of a poll that finds all rows."""

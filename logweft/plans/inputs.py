@@ -70,17 +70,18 @@ def numbered_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return number_lines(event_lines(spark, sf_dir), "source", ["event_ts", "event_id"]).select("source", "line_no", "value")
 
 
-def land_event_files(spark: SparkSession, sf_dir: str) -> str:
+def land_event_files(spark: SparkSession, sf_dir: str, path: str | None = None, where: Column | None = None) -> str:
     """Write the event lines as text files, one folder per source, in order; returns the folder.
 
-    Ranges are split over tasks, so a large source becomes several segments.
+    Ranges are split over tasks, so a large source becomes several segments.  With ``path``, files are added to that
+    folder; ``where`` picks events.
     """
-    path = new_shared_path(spark, "event-logs")
+    path = path or new_shared_path(spark, "event-logs")
     (
-        event_lines(spark, sf_dir)
+        event_lines(spark, sf_dir).where(F.lit(True) if where is None else where)
         .repartitionByRange("source", "event_ts", "event_id").sortWithinPartitions("source", "event_ts", "event_id")
         .select("source", "value")
-        .write.partitionBy("source").text(path)
+        .write.mode("append").partitionBy("source").text(path)
     )
     return path
 

@@ -77,11 +77,12 @@ def test_tokens(spark):
     assert [r.t for r in lines.orderBy("line_no").collect()] == [max(1, len(t) // 4) for t in texts]
 
 
-def test_byte_pairs_fall_back_where_the_vocabulary_is_missing(spark):
+def test_byte_pairs_need_their_vocabulary(spark):
     config = WindowConfig(tokenizer="bpe", encoding="no such vocabulary")
-    row = frame(spark, ["a" * 40]).select(count_tokens(F.col("value"), config).alias("t")).first()
-    assert row.t == 10
-    assert split_large_lines(frame(spark, ["abcd efgh"]), 1, config).count() == 2
+    with pytest.raises(ValueError, match="no vocabulary"):
+        count_tokens(F.col("value"), config)
+    with pytest.raises(ValueError, match="no vocabulary"):
+        split_large_lines(frame(spark, ["abcd efgh"]), 1, config)
 
 
 CLEAN = ["GET /HEALTHZ 200", "GET /healthz", "readinessProbe ok", "livenessProbe ok", "", " \t ", "　", "kept\r\n", "kept too "]
