@@ -8,6 +8,11 @@ next token begins where the last one ended.  Where several tokens share one char
 in A, byte-fallback tokens in B - their spans overlap or are empty; there, ends are refined by adding up the bytes that
 the tokens decode to.  A text counts only if all decoded bytes of A, and all of B, are the space and the text.
 
+No token of either crosses a single space between two other characters: A's words begin there, and no piece of B has
+a space after another character.  Both begin a token at that space, so a text is cut there into segments, each aligned
+by itself, and a worker remembers those it has met.  Where the two files do not allow that (it is looked up when they
+are loaded), a text is one segment.
+
 Counts of linked pairs are over the whole corpus:
 
 1. One pass tokenises, aligns and writes blocks: per text its counts, the digest of its groups and its links as codes
@@ -26,8 +31,10 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
+import re
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -46,7 +53,7 @@ class AlignConfig:
 
     byte_vocabulary: str
     piece_model: str
-    block_links: int = 1_500_000
+    block_links: int = 600_000
     broadcast_pairs: int = 1_000_000
 
 
@@ -55,15 +62,22 @@ class AlignConfig:
 
 @dataclass
 class Aligned:
-    """Ids of both, and for every group the number of tokens of each up to its end."""
+    """Ids of both; for every group the number of tokens of each up to its end, and its end in bytes."""
 
     a: np.ndarray
     b: np.ndarray
     a_ends: np.ndarray
     b_ends: np.ndarray
+    cuts: np.ndarray
+
+
+#: A space between two characters that are no white space.
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
+#: Segments that a worker remembers, twice as many at most.
+REMEMBERED = 150_000
 
-_NONE = Aligned(*(np.empty(0, np.int64) for _ in range(4)))
+_NONE = Aligned(*(np.empty(0, np.int64) for _ in range(5)))
 
 
 def refined(begins: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -89,7 +103,8 @@ class Aligner:
         self.byte_bpe = Tokenizer.from_file(config.byte_vocabulary)
         self.byte_bpe.encode_special_tokens = True
         with open(config.byte_vocabulary, encoding="utf-8") as file:
-            added = {t["content"] for t in json.load(file).get("added_tokens", [])}
+            spec = json.load(file)
+        added = {t["content"] for t in spec.get("added_tokens", [])}
         letters = byte_letters()
         self.a_bytes = [b""] * self.byte_bpe.get_vocab_size(with_added_tokens=True)
         for token, i in self.byte_bpe.get_vocab(with_added_tokens=True).items():
@@ -102,7 +117,60 @@ class Aligner:
         # Ids as written in a group: first all that go on, then all that end their side of a group.
         self.writing = [f"{i}{end}" for ids, last in ((self.a_bytes, "|"), (self.b_bytes, ";")) for end in (",", last) for i in range(len(ids))]
 
+        words = spec.get("pre_tokenizer") or {}
+        self.cuts = (
+            words.get("type") == "ByteLevel" and words.get("use_regex", True) and not words.get("add_prefix_space")
+            and not spec.get("normalizer") and not any(b" " in x.lstrip(b" ") for x in self.b_bytes))
+        #: Segments met lately, and those before them, of which those still in use move up.
+        self.known: dict[str, tuple | None] = {}
+        self.earlier: dict[str, tuple | None] = {}
+
+    def _learn(self, segments: list[str]) -> dict[str, tuple | None]:
+        """Per segment its groups as text, links, and the numbers of tokens of both; None where bytes are lost."""
+        x = self.align(" ".join(segments))
+        if not len(x.a):
+            return {s: None if len(segments) == 1 else self._learn([s])[s] for s in segments}
+        links = x.a[x.a_ends - 1] << 32 | x.b[x.b_ends - 1]
+        written = list(map(self.writing.__getitem__, self._codes(x).tolist()))
+        # Segments end where both end; of each, the groups, and the tokens up to there.
+        sizes = np.fromiter((len(s.encode()) + 1 for s in segments), np.int64, len(segments))
+        upto = np.append(0, np.searchsorted(x.cuts, np.cumsum(sizes)) + 1)
+        a_upto, b_upto = np.append(0, x.a_ends)[upto], np.append(0, x.b_ends)[upto]
+        at, n_a, n_b, upto = (v.tolist() for v in (a_upto + b_upto, np.diff(a_upto), np.diff(b_upto), upto))
+        return {s: ("".join(written[at[k]: at[k + 1]])[:-1], links[upto[k]: upto[k + 1]].tobytes(), n_a[k], n_b[k])
+                for k, s in enumerate(segments)}
+
+    def whole(self, texts: list[str | None]) -> list[tuple[str, bytes, int, int]]:
+        """The same of whole texts, segment by segment; without tokens where bytes are lost."""
+        parts = [(_CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
+        wanted = {p for own in parts for p in own}
+        for segment in wanted.intersection(self.earlier):
+            self.known[segment] = self.earlier.pop(segment)
+        new = wanted.difference(self.known)
+        # Segments with white space at an end, those at the ends of texts, cannot be put next to others.
+        alone = [p for p in new if not self.cuts or p[0].isspace() or p[-1].isspace()]
+        new = list(set(new).difference(alone))
+        learned: dict[str, tuple | None] = {}
+        for begin, end in _runs(new, 200_000):
+            learned |= self._learn(new[begin:end])
+        for segment in alone:
+            learned |= self._learn([segment])
+        known = self.known
+        out = []
+        for own in parts:
+            found = [known[p] if p in known else learned[p] for p in own]
+            if not found or None in found:
+                out.append(("", b"", 0, 0))
+                continue
+            groups, links, n_a, n_b = zip(*found, strict=True)
+            out.append((";".join(groups), b"".join(links), sum(n_a), sum(n_b)))
+        if len(known) > REMEMBERED:
+            self.known, self.earlier = {}, known
+        self.known.update((p, x) for p, x in learned.items() if len(p) < 48)
+        return out
+
     def align(self, text: str | None) -> Aligned:
+        """One segment."""
         if not text:
             return _NONE
         whole = " " + text
@@ -129,12 +197,14 @@ class Aligner:
         b_ends = refined(np.append(0, ends[:-1]), ends, self.b_lengths[b])
 
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        return Aligned(a, b, np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1)
+        return Aligned(a, b, np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1, common)
 
     def written(self, x: Aligned) -> str:
         """The groups as text: ids of A, a bar, ids of B; groups divided by semicolons."""
-        if not len(x.a):
-            return ""
+        return "".join(map(self.writing.__getitem__, self._codes(x).tolist()))[:-1] if len(x.a) else ""
+
+    def _codes(self, x: Aligned) -> np.ndarray:
+        """Places in ``writing`` of all tokens, in the order of groups."""
         last_a, last_b = np.zeros(len(x.a), np.int64), np.zeros(len(x.b), np.int64)
         last_a[x.a_ends - 1] = 1
         last_b[x.b_ends - 1] = 1
@@ -145,7 +215,19 @@ class Aligner:
         codes = np.empty(len(x.a) + len(x.b), np.int64)
         codes[at_a] = x.a + last_a * len(self.a_bytes)
         codes[at_b] = x.b + last_b * len(self.b_bytes) + 2 * len(self.a_bytes)
-        return "".join(map(self.writing.__getitem__, codes.tolist()))[:-1]
+        return codes
+
+
+def _runs(segments: list[str], limit: int):
+    """Begins and ends of runs of segments of about ``limit`` characters."""
+    begin = size = 0
+    for k, segment in enumerate(segments):
+        if size and size + len(segment) > limit:
+            yield begin, k
+            begin, size = k, 0
+        size += len(segment) + 1
+    if segments:
+        yield begin, len(segments)
 
 
 # --- blocks ------------------------------------------------------------------------------------------------
@@ -164,17 +246,18 @@ class _Block:
     links: list = field(default_factory=list)
     size: int = 0
 
-    def add(self, doc_id, x: Aligned, groups: str, with_groups: bool) -> None:
+    def add(self, doc_id, groups: str, links: bytes, n_a: int, n_b: int, with_groups: bool) -> None:
+        n_links = len(links) // 8  # a group ends where two tokens end, so it has one link
         self.doc_ids.append(doc_id)
-        self.counts.append((len(x.a), len(x.b), len(x.a_ends), len(x.a_ends)))
+        self.counts.append((n_a, n_b, n_links, n_links))
         self.digests.append(hashlib.sha256(groups.encode()).hexdigest() if groups else "")
         if with_groups:
             self.groups.append(groups)
-        self.links.append(x.a[x.a_ends - 1] << 32 | x.b[x.b_ends - 1])
-        self.size += len(x.a_ends) + 50
+        self.links.append(links)
+        self.size += n_links + 50
 
     def batch(self, number: int, id_type: pa.DataType) -> pa.RecordBatch:
-        pairs, place, often = np.unique(np.concatenate(self.links), return_inverse=True, return_counts=True)
+        pairs, place, often = np.unique(np.frombuffer(b"".join(self.links), np.int64), return_inverse=True, return_counts=True)
         order = np.argsort(-often, kind="stable")
         code = np.empty(len(order), np.int32)
         code[order] = np.arange(len(order), dtype=np.int32)
@@ -190,6 +273,12 @@ class _Block:
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
+@functools.lru_cache(1)
+def _aligner(config: AlignConfig) -> Aligner:
+    """One per worker, over all its tasks."""
+    return Aligner(config)
+
+
 def aligned_blocks(docs: DataFrame, config: AlignConfig, with_groups: bool = False) -> DataFrame:
     """One row per block of a task's texts."""
     rows = docs.select("doc_id", "text")
@@ -198,12 +287,11 @@ def aligned_blocks(docs: DataFrame, config: AlignConfig, with_groups: bool = Fal
         aligner, block, number, kind = None, _Block(), TaskContext.get().partitionId() << 32, None
         for batch in batches:
             if aligner is None:
-                aligner, kind = Aligner(config), batch.schema.field(0).type
+                aligner, kind = _aligner(config), batch.schema.field(0).type
             for start in range(0, batch.num_rows, 100):
                 part = batch.slice(start, 100)
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    found = aligner.align(text)
-                    block.add(doc_id, found, aligner.written(found), with_groups)
+                for doc_id, found in zip(part.column(0).to_pylist(), aligner.whole(part.column(1).to_pylist()), strict=True):
+                    block.add(doc_id, *found, with_groups)
                     if block.size >= config.block_links:
                         yield block.batch(number, kind)
                         block, number = _Block(), number + 1

@@ -81,10 +81,10 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(printable))}
 
 
-def planes(codes: np.ndarray) -> bytes:
-    """Of 32-bit integers all first bytes, then all second ones, and so on, which compresses well."""
-    return np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes()
+def planes(values: np.ndarray) -> bytes:
+    """Of integers all first bytes, then all second ones, and so on, which compresses well."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
 
 
-def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+def from_planes(data: bytes, kind=np.int32) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
