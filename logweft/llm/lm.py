@@ -1,24 +1,26 @@
-"""Language-model scores by a weighted backoff automaton over word pairs.
-
-States are the words seen in training (and the start of a text), below them the root.  An arc leads from a state by
-a word seen after it, with the discounted probability of that pair; where there is no arc, the state's failure arc
-leads to the root, with the weight that the discount left over for unseen words; the root has an arc for every
-known word and one for all unknown words together.  A text is scored in one pass from left to right: the state is
-the last word read, arc and failure weights are added up.  Discounts are absolute, set from the numbers of words and
-pairs seen once and twice (Ney, Essen and Kneser 1994).
+"""Language-model scores by a weighted backoff automaton over n-grams.
+
+States are the contexts seen in training: no word (the root), one word (or the start of a text), and so on up to
+``order - 1`` words.  An arc leads from a state by a word seen after it; where there is none, the failure arc leads to
+the state of the context without its first word, down to the root, which has an arc for every known word and one for
+all unknown words together.  Smoothing is by a Dirichlet prior around the next shorter state (MacKay and Peto 1995): a
+state seen ``c`` times has the failure weight ``k / (c + k)``, and an arc seen ``n`` times the weight ``n / (c + k)``
+plus what comes by the failure arc, so all words together have the probability 1 in every state.  The root discounts
+absolutely.  ``k`` of an order and the discount come from the numbers of n-grams seen, seen once and seen twice.  A text
+is scored in one pass from left to right: the state is the longest context that was seen, the weights of the failure
+chain below it are multiplied up from the root.
 
 The automaton grows with the corpus, so it is nowhere held whole.  Texts are coded in blocks; a block asks for the
-counts of its own distinct words and pairs, and what comes back is the part of the automaton that its texts can
-reach:
+counts of its own distinct n-grams, and what comes back is the part of the automaton that its texts can reach:
 
-1. One pass over the texts writes blocks: word codes, the block's vocabulary, counts in its training texts.
-2. Word counts of all blocks are added up, per bucket of word hashes, and sent back per block.
-3. The same for pairs, in buckets by the pair's first word, where the number of different words after it is counted
-   as well.  A first word with more than ``hot_share`` of all tokens (of which there are ``1 / hot_share`` at most) is
-   spread over buckets by the whole pair; its number of followers is added up from them.
-4. Each block is traversed.
+1. One pass over the texts writes blocks: word codes and the block's vocabulary.
+2. Per order, blocks' counts are added up in buckets of n-grams and sent back per block.  A bucket is chosen by one
+   hash, and n-grams within it, about ``bucket_entries`` however large the corpus is, are told apart by 48 bits of
+   another: two are mixed up in one of some 700 million cases.  A frequent n-gram is one entry per block, not one per occurrence.
+3. Each block is traversed.
 
-Words are told apart by 64-bit hashes; pairs by 64 bits within their bucket.
+The count of a state is that of its own n-gram, since every word but the end is followed by one; states of one start
+are as many as texts.
 
 Defined cases: a null text is empty, and an empty text is its end alone; words that training lacks share one
 probability; without training texts every score is 0; repeated rows count and are scored as often as they occur;
@@ -31,44 +33,35 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logweft.llm.landing import landed
-from logweft.llm.text import GOLDEN, lower_words, mix
+from logweft.llm.landing import Scratch, landed
+from logweft.llm.text import GOLDEN, from_planes, lower_words, mix, planes
 
 #: Hashes of the end of a text and of its start; no word is empty or a line break.
 END = xxhash.xxh3_64_intdigest(b"")
 START = np.uint64(xxhash.xxh3_64_intdigest(b"\n"))
-#: Of a pair's 64 bits, those of the second word: fewer where the first is one of many, more where it is hot.
-TAIL, HOT_TAIL = np.uint64(28), np.uint64(40)
+#: Multiplier of the hashes by which buckets are chosen, odd.
+OTHER = np.uint64(0xD1B54A32D192ED03)
 
 
 @dataclass(frozen=True)
 class LmConfig:
-    """``block_chars``: text of a block; ``bucket_entries``: keys that meet in one group, about."""
+    """``order``: words of the longest n-grams; ``block_chars``: text of a block; ``bucket_entries``: keys that meet in
+    one group, about."""
 
-    block_chars: int = 9_000_000
+    order: int = 3
+    block_chars: int = 1_000_000
     bucket_entries: int = 400_000
-    hot_share: float = 1e-4
 
 
 # --- blocks ------------------------------------------------------------------------------------------------
 
 
-def planes(codes: np.ndarray) -> bytes:
-    """All first bytes, then all second ones, and so on, which compresses well."""
-    return np.ascontiguousarray(codes.view(np.uint8).reshape(-1, 4).T).tobytes()
-
-
-def from_planes(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view(np.int32).ravel()
-
-
 class _Codes(dict):
     def __missing__(self, word):
         code = self[word] = len(self)
@@ -95,14 +88,12 @@ class _Block:
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.codes), np.uint64, len(self.codes))
         words, place = np.unique(hashes, return_inverse=True)
         codes = place.astype(np.int32)[np.concatenate(self.parts)]
-        train = ~np.repeat(np.array(self.held), self.sizes)
-        counts = np.bincount(codes[train], minlength=len(words)).astype(np.uint32)
+        n_train = sum(n for n, held in zip(self.sizes, self.held, strict=True) if not held)
         return pa.RecordBatch.from_arrays([
             pa.array([block], pa.int64()), pa.array([self.doc_ids], fields.field("doc_ids").type),
             pa.array([self.held], pa.list_(pa.bool_())), pa.array([self.sizes], pa.list_(pa.int64())),
             pa.array([planes(codes)], pa.binary()), pa.array([words.tobytes()], pa.binary()),
-            pa.array([counts.tobytes()], pa.binary()), pa.array([int(train.sum())], pa.int64()),
-            pa.array([len(words)], pa.int64()), pa.array([len(codes)], pa.int64())], schema=fields)
+            pa.array([n_train], pa.int64()), pa.array([len(words)], pa.int64()), pa.array([len(codes)], pa.int64())], schema=fields)
 
 
 def coded_blocks(docs: DataFrame, held_out: Column, config: LmConfig) -> DataFrame:
@@ -116,7 +107,7 @@ def coded_blocks(docs: DataFrame, held_out: Column, config: LmConfig) -> DataFra
             if fields is None:
                 fields = pa.schema([
                     ("block", pa.int64()), ("doc_ids", pa.list_(batch.schema.field(0).type)), ("held", pa.list_(pa.bool_())),
-                    ("sizes", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.binary()), ("counts", pa.binary()),
+                    ("sizes", pa.list_(pa.int64())), ("codes", pa.binary()), ("words", pa.binary()),
                     ("n_train", pa.int64()), ("n_words", pa.int64()), ("n_tokens", pa.int64())])
             for start in range(0, batch.num_rows, 200):
                 for row in zip(*(c.to_pylist() for c in batch.slice(start, 200).columns), strict=True):
@@ -130,135 +121,111 @@ def coded_blocks(docs: DataFrame, held_out: Column, config: LmConfig) -> DataFra
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
         run, f"block long, doc_ids array<{kind}>, held array<boolean>, sizes array<long>, codes binary, words binary, "
-             "counts binary, n_train long, n_words long, n_tokens long")
-
-
-# --- counts ------------------------------------------------------------------------------------------------
+             "n_train long, n_words long, n_tokens long")
 
 
-def _bits(entries: int, config: LmConfig) -> int:
-    return min(24, max(0, math.ceil(math.log2(max(1, entries) / config.bucket_entries))))
-
+# --- n-grams -----------------------------------------------------------------------------------------------
 
-def _top(hashes: np.ndarray, bits: int) -> np.ndarray:
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(hashes), np.int64)
 
+class Grams:
+    """The n-grams of a block's texts.
 
-def _slices(buckets: np.ndarray):
-    """Bucket, begin and end of the runs of equal buckets."""
-    cuts = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])) if len(buckets) else np.empty(0, int)
-    return [(int(buckets[a]), int(a), int(b)) for a, b in zip(cuts, [*cuts[1:], len(buckets)], strict=True)]
-
+    ``key[m]`` and ``alt[m]`` hash the ``m`` words that end at a token, the start of its text among them; ``whole[m]``
+    tells where there are as many.
+    """
 
-def _asked(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
-    """Of one bucket: distinct keys, their totals, where each block's keys are among them, and the blocks' ends."""
-    keys = [np.frombuffer(k, np.uint64) for k in rows["keys"]]
-    counts = np.concatenate([np.frombuffer(c, np.uint32) for c in rows["counts"]])
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
-    return distinct, totals, place, np.cumsum([len(k) for k in keys]).tolist()
+    def __init__(self, sizes, codes: bytes, words: bytes, order: int):
+        own = np.frombuffer(words, np.uint64)[from_planes(codes)]
+        with np.errstate(over="ignore"):
+            other = mix(own + OTHER)
+        sizes = np.asarray(sizes, np.int64)
+        self.sizes, self.starts = sizes, np.cumsum(sizes) - sizes
+        place = np.arange(len(own)) - np.repeat(self.starts, sizes)
+        self.key, self.alt, self.whole = [None, own], [None, other], [None, np.ones(len(own), bool)]
+        for m in range(2, order + 1):
+            whole = place >= m - 2
+            for kept, first, factor in ((self.key, START, GOLDEN), (self.alt, mix(np.array([START]))[0], OTHER)):
+                before = np.roll(kept[m - 1], 1)
+                if m == 2:
+                    before[self.starts] = first
+                with np.errstate(over="ignore"):
+                    kept.append(mix(before * factor + kept[1]))
+            self.whole.append(whole)
+
+    def distinct(self, m: int, bits: int):
+        """Distinct keys of order ``m`` in the order in which they are asked for, their buckets, where each token's key
+        is among them, and which tokens have one."""
+        at = np.flatnonzero(self.whole[m])
+        keys, first, place = np.unique(self.key[m][at], return_index=True, return_inverse=True)
+        buckets = (self.alt[m][at[first]] >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+        order = np.argsort(buckets, kind="stable")
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return keys[order], buckets[order], rank[place], at
 
 
-_ANSWER = "block long, bucket int, totals binary, followers binary, n_seen long, n_once long, n_twice long, hot array<struct<key:long,n:long>>"
+# --- counts ------------------------------------------------------------------------------------------------
 
 
-def _answers(rows: pd.DataFrame, totals: np.ndarray, place: np.ndarray, ends: list[int], followers: np.ndarray | None, hot: list) -> pd.DataFrame:
-    """The blocks' answers, and a row of block -1 with what concerns the whole bucket."""
-    found = totals[place]
-    after = followers[place] if followers is not None else None
-    begins = [0, *ends[:-1]]
-    bucket = int(rows["bucket"].iloc[0])
-    out = [
-        (int(b), bucket, found[s:e].tobytes(), after[s:e].tobytes() if after is not None else None, 0, 0, 0, [])
-        for b, s, e in zip(rows["block"], begins, ends, strict=True)]
-    out.append((-1, bucket, None, None, int((totals > 0).sum()), int((totals == 1).sum()), int((totals == 2).sum()), hot))
-    return pd.DataFrame(out, columns=["block", "bucket", "totals", "followers", "n_seen", "n_once", "n_twice", "hot"])
+def _bits(entries: int, config: LmConfig) -> int:
+    return min(30, max(0, math.ceil(math.log2(max(1, entries) / config.bucket_entries))))
 
 
-def word_totals(blocks: DataFrame, bits: int, hot_from: float) -> DataFrame:
-    """Training counts of each block's words, over all blocks; ``hot`` has the words counted ``hot_from`` times or more."""
+def _trained(held, sizes) -> np.ndarray:
+    return ~np.repeat(np.asarray(held, bool), np.asarray(sizes, np.int64))
 
-    def ask(batches):
-        for batch in batches:
-            for block, words, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                keys, counts = np.frombuffer(words, np.uint64), np.frombuffer(counts, np.uint32)
-                parts = _slices(_top(keys, bits))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([b for b, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()),
-                    pa.array([keys[s:e].tobytes() for _, s, e in parts], pa.binary()),
-                    pa.array([counts[s:e].tobytes() for _, s, e in parts], pa.binary())], ["bucket", "block", "keys", "counts"])
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        distinct, totals, place, ends = _asked(rows)
-        often = np.flatnonzero(totals >= hot_from)
-        hot = [{"key": int(k), "n": int(n)} for k, n in zip(distinct[often].view(np.int64), totals[often], strict=True)]
-        return _answers(rows, totals, place, ends, None, hot)
-
-    asked = blocks.select("block", "words", "counts").mapInArrow(ask, "bucket int, block long, keys binary, counts binary")
-    return asked.groupBy("bucket").applyInPandas(add, _ANSWER)
-
-
-class Pairs:
-    """Distinct pairs of a block in the order in which they are asked for and answered."""
-
-    def __init__(self, sizes, held, codes: bytes, words: bytes, hot: np.ndarray, bits: int):
-        hashes = np.append(np.frombuffer(words, np.uint64), START)
-        self.second = from_planes(codes).astype(np.int64)
-        sizes = np.asarray(sizes, np.int64)
-        self.starts = np.cumsum(sizes) - sizes
-        self.first = np.roll(self.second, 1)
-        self.first[self.starts] = len(hashes) - 1
-        distinct, self.place = np.unique(self.first * len(hashes) + self.second, return_inverse=True)
-        first, second = hashes[distinct // len(hashes)], hashes[distinct % len(hashes)]
-        at = np.searchsorted(hot, first)
-        is_hot = hot[np.minimum(at, len(hot) - 1)] == first
-        with np.errstate(over="ignore"):
-            tail = mix(second + GOLDEN)
-            self.keys = np.where(
-                is_hot, at.astype(np.uint64) << HOT_TAIL | tail >> (np.uint64(64) - HOT_TAIL),
-                mix(first) >> TAIL << TAIL | tail >> (np.uint64(64) - TAIL))
-            self.buckets = np.where(is_hot, (1 << bits) + _top(mix(first * GOLDEN + tail), bits), _top(mix(first + GOLDEN), bits))
-        self.order = np.lexsort((self.keys, self.buckets))
-        self.train = ~np.repeat(np.asarray(held, bool), sizes)
 
-    def counts(self) -> np.ndarray:
-        return np.bincount(self.place[self.train], minlength=len(self.keys)).astype(np.uint32)
+def high_bytes(keys: np.ndarray) -> bytes:
+    """The upper 48 bits of keys."""
+    return np.ascontiguousarray(keys.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)[:, 2:]).tobytes()
 
-    def per_token(self, answered: np.ndarray) -> np.ndarray:
-        """Answers, which come in the order asked, at every token."""
-        out = np.empty(len(answered), answered.dtype)
-        out[self.order] = answered
-        return out[self.place]
 
+def from_high_bytes(data) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
 
-def pair_totals(blocks: DataFrame, hot: np.ndarray, bits: int) -> DataFrame:
-    """Training counts of each block's pairs and the number of different words after the pair's first one.
 
-    For hot first words that number is partial, and in ``hot`` by their index.
-    """
+def asked(blocks: DataFrame, m: int, bits: int) -> DataFrame:
+    """Per block and bucket the distinct n-grams of order ``m`` and their counts in the block's training texts."""
 
-    def ask(batches):
+    def run(batches):
         for batch in batches:
             for block, held, sizes, codes, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                pairs = Pairs(sizes, held, codes, words, hot, bits)
-                keys, counts = pairs.keys[pairs.order], pairs.counts()[pairs.order]
-                parts = _slices(pairs.buckets[pairs.order])
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([b for b, _, _ in parts], pa.int32()), pa.array([block] * len(parts), pa.int64()),
-                    pa.array([keys[s:e].tobytes() for _, s, e in parts], pa.binary()),
-                    pa.array([counts[s:e].tobytes() for _, s, e in parts], pa.binary())], ["bucket", "block", "keys", "counts"])
-
-    def add(rows: pd.DataFrame) -> pd.DataFrame:
-        distinct, totals, place, ends = _asked(rows)
-        is_hot = rows["bucket"].iloc[0] >= 1 << bits
-        first, at = np.unique(distinct >> (HOT_TAIL if is_hot else TAIL), return_inverse=True)
-        after = np.bincount(at, weights=totals > 0, minlength=len(first)).astype(np.int64)
-        partial = [{"key": int(k), "n": int(n)} for k, n in zip(first, after, strict=True)] if is_hot else []
-        return _answers(rows, totals.astype(np.uint32), place, ends, after.astype(np.uint32)[at], partial)
-
-    asked = blocks.select("block", "held", "sizes", "codes", "words").mapInArrow(
-        ask, "bucket int, block long, keys binary, counts binary")
-    return asked.groupBy("bucket").applyInPandas(add, _ANSWER)
+                keys, buckets, place, at = Grams(sizes, codes, words, m).distinct(m, bits)
+                counts = np.bincount(place[_trained(held, sizes)[at]], minlength=len(keys)).astype(np.uint32)
+                cuts = [*np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])), len(keys)] if len(keys) else []
+                for begin, end in zip(cuts, cuts[1:]):
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([buckets[begin]], pa.int32()), pa.array([block], pa.int64()),
+                        pa.array([high_bytes(keys[begin:end])], pa.binary()), pa.array([planes(counts[begin:end])], pa.binary()),
+                    ], ["bucket", "block", "keys", "counts"])
+
+    return blocks.select("block", "held", "sizes", "codes", "words").mapInArrow(run, "bucket int, block long, keys binary, counts binary")
+
+
+def _added(rows: pa.Table) -> pa.Table:
+    """The totals that each block of a bucket asked for, and a row of block -1 with what concerns the whole bucket."""
+    pa.default_memory_pool().release_unused()  # of the group before
+    keys = [from_high_bytes(k.as_buffer()) for k in rows.column("keys")]
+    counts = np.concatenate([from_planes(c.as_buffer(), np.uint32) for c in rows.column("counts")])
+    ends = np.cumsum([len(k) for k in keys])
+    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    totals = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.uint64)
+    found = totals[place]
+    parts = [planes(found[b:e]) for b, e in zip(np.append(0, ends[:-1]), ends, strict=True)]
+    n = len(parts)
+    whole = [[0] * n + [int(x)] for x in ((totals > 0).sum(), (totals == 1).sum(), (totals == 2).sum())]
+    return pa.table({
+        "block": pa.array([*rows.column("block").to_pylist(), -1], pa.int64()),
+        "bucket": pa.array([*rows.column("bucket").to_pylist(), -1], pa.int32()), "totals": pa.array([*parts, b""], pa.binary()),
+        "n_seen": pa.array(whole[0], pa.int64()), "n_once": pa.array(whole[1], pa.int64()), "n_twice": pa.array(whole[2], pa.int64())})
+
+
+def totals(blocks: DataFrame, m: int, bits: int) -> DataFrame:
+    """Training counts of all blocks together for the n-grams of each block, in the order of ``Grams.distinct``."""
+    return asked(blocks, m, bits).groupBy("bucket").applyInArrow(
+        _added, "block long, bucket int, totals binary, n_seen long, n_once long, n_twice long")
 
 
 # --- automaton ---------------------------------------------------------------------------------------------
@@ -266,15 +233,17 @@ def pair_totals(blocks: DataFrame, hot: np.ndarray, bits: int) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """What is the same for all blocks.  ``hot``: hashes of hot words in order; ``hot_followers``: theirs."""
+    """What is the same for all blocks; ``prior[m]`` is the ``k`` of order ``m``, ``bits[m]`` those of its buckets."""
 
     tokens: int
     vocabulary: int
     word_discount: float
-    pair_discount: float
-    bits: int
-    hot: np.ndarray
-    hot_followers: np.ndarray
+    prior: tuple[float, ...]
+    bits: tuple[int, ...]
+
+    @property
+    def order(self) -> int:
+        return len(self.bits) - 1
 
 
 def discount(once: int, twice: int) -> float:
@@ -282,71 +251,79 @@ def discount(once: int, twice: int) -> float:
     return once / (once + 2 * twice) if once and twice else 0.5
 
 
-def traverse(model: Model, counts: np.ndarray, first_counts: np.ndarray, pair_counts: np.ndarray, followers: np.ndarray) -> np.ndarray:
-    """Log10 weight of every step: ``counts`` of the word read, ``first_counts`` of the state (the word before it),
-    ``pair_counts`` of the arc, and the state's ``followers``."""
-    if not model.tokens:
-        return np.zeros(len(counts))
+def root_weights(model: Model, counts: np.ndarray) -> np.ndarray:
+    """Probabilities of words by the arcs of the root."""
     left = model.word_discount * model.vocabulary / model.tokens
-    root = np.where(counts > 0, (counts - model.word_discount) / model.tokens, left)
-    known = first_counts > 0
-    state = np.maximum(first_counts, 1)
-    failure = np.where(known, model.pair_discount * followers / state, 1.0)
-    arc = np.where(pair_counts > 0, (pair_counts - model.pair_discount) / state, 0.0)
-    return np.log10(arc + failure * root)
+    return np.where(counts > 0, (counts - model.word_discount) / model.tokens, left)
+
+
+def traverse(model: Model, counts: list, states: list, whole: list) -> np.ndarray:
+    """Log10 weight of every step: ``counts[m]`` of the n-gram of order ``m`` that ends there, ``states[m]`` of the
+    context that it leaves, where ``whole[m]``."""
+    if not model.tokens:
+        return np.zeros(len(counts[1]))
+    weight = root_weights(model, counts[1])
+    for m in range(2, model.order + 1):
+        k = model.prior[m]
+        weight = np.where(whole[m], (counts[m] + k * weight) / (states[m] + k), weight)
+    return np.log10(weight)
 
 
-def score_block(block: pd.DataFrame, answers: pd.DataFrame, model: Model) -> pd.DataFrame:
+def score_block(block: pa.Table, answers: pa.Table, model: Model) -> pa.Table:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of a block's texts."""
-    row = block.iloc[0]
-    by_kind = {k: part.sort_values("bucket") for k, part in answers.groupby("kind")}
-    totals = np.concatenate([np.frombuffer(t, np.int64) for t in by_kind[0]["totals"]])
-    pairs = Pairs(row["sizes"], row["held"], row["codes"], row["words"], model.hot, model.bits)
-    pair_counts = pairs.per_token(np.concatenate([np.frombuffer(t, np.uint32) for t in by_kind[1]["totals"]])).astype(np.int64)
-    followers = pairs.per_token(np.concatenate([np.frombuffer(t, np.uint32) for t in by_kind[1]["followers"]])).astype(np.int64)
-    words = np.append(np.frombuffer(row["words"], np.uint64), START)
-    ends = totals[np.searchsorted(words[:-1], np.uint64(END))]  # as many as starts
-    of_state = np.append(totals, ends)
-    at = np.minimum(np.searchsorted(model.hot, words), len(model.hot) - 1)
-    hot_here = model.hot[at] == words
-    state_followers = np.where(hot_here, model.hot_followers[at], 0)
-    followers = np.where(hot_here[pairs.first], state_followers[pairs.first], followers)
-    counts = totals[pairs.second]
-    steps = traverse(model, counts, of_state[pairs.first], pair_counts, followers)
-    base = np.log10((counts + 1) / (model.tokens + model.vocabulary + 1))
-    sizes = np.asarray(row["sizes"], np.int64)
-    return pd.DataFrame({
-        "doc_id": row["doc_ids"], "held_out": row["held"], "n_tokens": sizes,
-        "n_known": np.add.reduceat((counts > 0).astype(np.int64), pairs.starts), "train_tokens": model.tokens,
-        "base_score": np.add.reduceat(base, pairs.starts), "score": np.add.reduceat(steps, pairs.starts)})
+    pa.default_memory_pool().release_unused()  # of the block before
+    row = {c: block.column(c)[0] for c in block.column_names}
+    sizes = np.asarray(row["sizes"].as_py(), np.int64)
+    grams = Grams(sizes, row["codes"].as_py(), row["words"].as_py(), model.order)
+    answered: dict[int, list] = {}
+    for order, bucket, found in zip(*(answers.column(c).to_pylist() for c in ("order", "bucket", "totals")), strict=True):
+        answered.setdefault(order, []).append((bucket, from_planes(found, np.uint64)))
+    counts, states = [None], [None, None]
+    for m in range(1, model.order + 1):
+        _, _, place, at = grams.distinct(m, model.bits[m])
+        found = np.zeros(len(grams.key[1]), np.int64)
+        found[at] = np.concatenate([t for _, t in sorted(answered[m], key=lambda x: x[0])])[place] if m in answered else 0
+        counts.append(found)
+        if m < model.order:
+            before = np.roll(found, 1)
+            if m == 1:  # a start for every end
+                before[grams.starts] = found[grams.starts + sizes - 1]
+            states.append(before)
+    steps = traverse(model, counts, states, grams.whole)
+    base = np.log10((counts[1] + 1) / (model.tokens + model.vocabulary + 1))
+    return pa.table({
+        "doc_id": row["doc_ids"].values, "held_out": row["held"].values, "n_tokens": pa.array(sizes),
+        "n_known": pa.array(np.add.reduceat((counts[1] > 0).astype(np.int64), grams.starts)),
+        "train_tokens": pa.array([model.tokens] * len(sizes), pa.int64()),
+        "base_score": pa.array(np.add.reduceat(base, grams.starts)), "score": pa.array(np.add.reduceat(steps, grams.starts))})
 
 
 def score_texts(docs: DataFrame, held_out: Column, config: LmConfig = LmConfig()) -> DataFrame:
     """Scores of all texts under the model of those that are not held out."""
-    blocks = landed(coded_blocks(docs, held_out, config), "lm-blocks")
+    scratch = Scratch(docs.sparkSession, "lm")
+    blocks = scratch.land(coded_blocks(docs, held_out, config), "blocks")
     size = blocks.agg(F.sum("n_train"), F.sum("n_words"), F.sum("n_tokens")).first()
-    tokens, words, pairs = (x or 0 for x in size)
-
-    of_words = landed(word_totals(blocks, _bits(words, config), max(2.0, tokens * config.hot_share)), "lm-words")
-    whole = of_words.where("block = -1")
-    vocabulary, once, twice = (x or 0 for x in whole.agg(F.sum("n_seen"), F.sum("n_once"), F.sum("n_twice")).first())
-    # At most 1 / hot_share words.
-    hot = [r.key for r in whole.select(F.explode("hot.key").alias("key")).collect()]
-    hot = np.unique(np.append(np.array(hot, np.int64).view(np.uint64), START))
-
-    bits = _bits(pairs, config)
-    of_pairs = landed(pair_totals(blocks, hot, bits), "lm-pairs")
-    whole = of_pairs.where("block = -1")
-    pair_once, pair_twice = (x or 0 for x in whole.agg(F.sum("n_once"), F.sum("n_twice")).first())
-    hot_followers = np.zeros(len(hot), np.int64)
-    for r in whole.select(F.explode("hot").alias("h")).groupBy("h.key").agg(F.sum("h.n").alias("n")).collect():
-        hot_followers[r.key] = r.n
-    model = Model(tokens, vocabulary, discount(once, twice), discount(pair_once, pair_twice), bits, hot, hot_followers)
+    tokens, words, most = (x or 0 for x in size)
+
+    bits, answers, seen, discounts = [0], [], [0], [0.0]
+    for m in range(1, config.order + 1):
+        bits.append(_bits(words if m == 1 else most, config))
+        found = scratch.land(totals(blocks, m, bits[m]), f"order-{m}")
+        n_seen, once, twice = (x or 0 for x in found.where("block = -1").agg(F.sum("n_seen"), F.sum("n_once"), F.sum("n_twice")).first())
+        seen.append(n_seen)
+        discounts.append(discount(once, twice))
+        answers.append(found.where("block >= 0").select(F.col("block").alias("asking"), F.lit(m).alias("order"), "bucket", "totals"))
+    # What a state loses by discounts on average, as often as it has arcs.
+    prior = tuple(discounts[m] * seen[m] / max(1, seen[m - 1]) if m > 1 else 0.0 for m in range(config.order + 1))
+    model = Model(tokens, seen[1], discounts[1], tuple(max(k, 1e-3) for k in prior), tuple(bits))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    answers = of_words.select("block", F.lit(0).alias("kind"), "bucket", "totals", "followers").unionByName(
-        of_pairs.select("block", F.lit(1).alias("kind"), "bucket", "totals", "followers")).where("block >= 0")
+    together = answers[0]
+    for more in answers[1:]:
+        together = together.unionByName(more)
     texts = blocks.select("block", "doc_ids", "held", "sizes", "codes", "words")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
+    result = landed(texts.groupBy("block").cogroup(together.groupBy("asking")).applyInArrow(
         lambda block, answer: score_block(block, answer, model),
-        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"), "lm-scores")
+    scratch.drop()
+    return result
