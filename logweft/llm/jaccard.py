@@ -12,7 +12,7 @@ a cell.  The number of buckets is fixed per band of set sizes, and a set that ma
 there too.  Buckets may be empty, so there are a few more than needed, and a set with more empty ones than that also
 has keys for them: no pair is lost.
 
-1. Sets and keys of all texts (one pass).  Equal sets are one from here on.
+1. Keys and points of all texts (one pass), once per set and task.  Equal sets are one from here on.
 2. Cells of at least two different sets, by an aggregation that keeps two numbers per key.
 3. Stars: every set against one leader, the smallest set of most of its cells, bound first, then verified; components
    of these links.  In cells that still have several components, members against the cell's smallest and largest sets
@@ -20,17 +20,24 @@ has keys for them: no pair is lost.
 4. Cells of four or more sets that still have several components: an R-tree per cell, cells of more than ``chunk``
    sets in pairs of chunks; candidates of different components are verified.  A large group of near copies is one
    component after step 3, so its pairs are never listed.
-5. Components of all links.
+5. Components of all links, and of the texts of one id.
+
+To verify pairs, each text is sent once to the set it is compared with, together with others that are; a set with many
+partners is sent to several groups of at most ``partners`` of them.  No shingles are shuffled or written.
 
 Shingles and sets are told apart by 64-bit hashes.
 
 Defined cases: a text of fewer words than a shingle is one shingle of all its words; a null or empty text, or one
 without words, has no shingle and links with nothing; a null id is returned as it is, with a null component, and
-links nothing; rows of one id are one document; an empty table gives no rows; other columns are ignored.
+links nothing; rows of one id are one document, so their texts are linked, whatever they are, and all have its
+component; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
+import itertools
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,15 +54,22 @@ from logweft.llm.text import GOLDEN, WordCodes, lower_words, mix
 
 @dataclass(frozen=True)
 class JaccardConfig:
-    """``words`` per shingle, ``percent`` of the union shared; ``growth`` from one band of sizes to the next."""
+    """``words`` per shingle, ``percent`` of the union shared; ``growth`` from one band of sizes to the next.
+
+    A point has ``groups`` coordinates (a power of two), or twice as many as often as it takes to have at most ``load``
+    shingles in a group on average: with more, sets that share nothing would have like counts.
+    """
 
     words: int = 3
     percent: int = 90
     groups: int = 256
+    load: int = 8
     growth: float = 1.5
     leaf: int = 16
-    chunk: int = 2_000
-    broadcast_rows: int = 1_000_000
+    chunk: int = 8_000
+    partners: int = 200
+    slot_texts: int = 400
+    broadcast_rows: int = 100_000
 
 
 # --- sets --------------------------------------------------------------------------------------------------
@@ -139,47 +153,54 @@ def cell_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
     return np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
 
 
-def point(shingles: np.ndarray, groups: int) -> np.ndarray:
+def point(shingles: np.ndarray, config: JaccardConfig) -> np.ndarray:
     """Shingles per group."""
-    return np.bincount((mix(shingles + np.uint64(77)) % np.uint64(groups)).astype(np.int64), minlength=groups)
+    groups = config.groups
+    while groups * config.load < len(shingles):
+        groups *= 2
+    counts = np.bincount((mix(shingles + np.uint64(77)) & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+    return counts.astype(np.int16)  # about ``load``
+
+
+def folded(points: list) -> np.ndarray:
+    """Points of different sizes as rows of the smallest size: groups are told apart by their last bits."""
+    points = [np.asarray(p) for p in points]
+    least = min(len(p) for p in points)
+    return np.stack([p if len(p) == least else p.reshape(-1, least).sum(axis=0, dtype=np.int16) for p in points])
+
+
+@functools.lru_cache
+def _shingles(words: int) -> Shingles:
+    """One per worker, whatever it is called for."""
+    return Shingles(words)
 
 
 def keyed_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
-    """``doc_id, n_shingles, set_id, keys`` of every row; no id and keys for an empty set."""
+    """``doc_id, n_shingles, set_id, keys, point`` of every row; only the first row of a set in a task has its keys and
+    point, and an empty set has neither these nor an id."""
     rows = docs.select("doc_id", "text")
 
     def run(batches):
-        shingles, bands = Shingles(config.words), Bands(config.percent, config.growth)
+        shingles, bands, seen = _shingles(config.words), Bands(config.percent, config.growth), set()
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 part = batch.slice(start, 200)
                 sets = [shingles.of(t) for t in part.column(1).to_pylist()]
+                names = [set_id(s) if len(s) else None for s in sets]
+                new = []
+                for name in names:
+                    new.append(name is not None and name not in seen)
+                    seen.add(name)
+                if len(seen) > 1_000_000:
+                    seen.clear()
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
-                    pa.array([cell_keys(s, bands) if len(s) else None for s in sets], pa.list_(pa.int64())),
-                ], ["doc_id", "n_shingles", "set_id", "keys"])
+                    part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
+                    pa.array([cell_keys(s, bands) if n else None for s, n in zip(sets, new, strict=True)], pa.list_(pa.int64())),
+                    pa.array([point(s, config) if n else None for s, n in zip(sets, new, strict=True)], pa.list_(pa.int16())),
+                ], ["doc_id", "n_shingles", "set_id", "keys", "point"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_id long, keys array<long>")
-
-
-def points_and_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
-    """``set_id, n, point, shingles`` of every row."""
-    rows = docs.select("text")
-
-    def run(batches):
-        shingles = Shingles(config.words)
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                sets = [s for t in batch.column(0).slice(start, 200).to_pylist() if len(s := shingles.of(t))]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([point(s, config.groups) for s in sets], pa.list_(pa.int32())),
-                    pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                ], ["set_id", "n", "point", "shingles"])
-
-    return rows.mapInArrow(run, "set_id long, n long, point array<int>, shingles array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_id long, keys array<long>, point array<short>")
 
 
 # --- R-tree ------------------------------------------------------------------------------------------------
@@ -245,10 +266,12 @@ def cell_pairs(rows: pd.DataFrame, config: JaccardConfig) -> pd.DataFrame:
     right = left if same else right
     found: list[tuple[int, int]] = []
     if len(left) and len(right):
-        tree = CountTree(np.stack(right["point"].to_list()), config.leaf)
+        both = folded([*left["point"], *right["point"]])
+        queries, points = both[: len(left)], both[len(left):]
+        tree = CountTree(points, config.leaf)
         ids, labels = right["set_id"].to_numpy(), right["label"].to_numpy()
-        for a, label, q in zip(left["set_id"], left["label"], left["point"], strict=True):
-            near = tree.reaching(np.asarray(q), config.percent)
+        for a, label, q in zip(left["set_id"], left["label"], queries, strict=True):
+            near = tree.reaching(q, config.percent)
             near = near[labels[near] != label]
             found += [(min(a, b), max(a, b)) for b in ids[near].tolist() if not same or a < b]
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
@@ -258,23 +281,77 @@ def cell_pairs(rows: pd.DataFrame, config: JaccardConfig) -> pd.DataFrame:
 
 
 def overlap_bound(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
+    """The sum of the smaller coordinates; sizes of sets that can link differ by less than two, so those of points are
+    equal or differ by a factor of two."""
+    def bound(x, y):
+        return F.aggregate(F.zip_with(x, y, lambda u, v: F.least(u, v)), F.lit(0), lambda s, u: s + u.cast("int"))
+
+    def half(x):
+        size = (F.size(x) / 2).cast("int")
+        return F.zip_with(F.slice(x, F.lit(1), size), F.slice(x, size + 1, size), lambda u, v: u.cast("int") + v.cast("int"))
+
+    return F.when(F.size(a) == F.size(b), bound(a, b)).when(F.size(a) == 2 * F.size(b), bound(half(a), b)).when(
+        F.size(b) == 2 * F.size(a), bound(a, half(b))).otherwise(0)
+
 
+@dataclass
+class _Verifier:
+    """Verifies pairs of sets on the texts of the documents that stand for them.
 
-def verified(pairs: DataFrame, sets: DataFrame, config: JaccardConfig) -> DataFrame:
-    """Those of the pairs ``a, b`` that link: first by the bound on points, then on the sets."""
-    p = config.percent
-    points = sets.select("set_id", "n", "point")
-    narrow = (
-        pairs.join(points.select(F.col("set_id").alias("a"), F.col("n").alias("n_a"), F.col("point").alias("p_a")), "a")
-        .join(points.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("point").alias("p_b")), "b")
-        .where((100 + p) * overlap_bound(F.col("p_a"), F.col("p_b")) >= p * (F.col("n_a") + F.col("n_b")))
-        .select("a", "b", "n_a", "n_b"))
-    shared = F.size(F.array_intersect("s_a", "s_b"))
-    return (
-        narrow.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("s_a")), "a")
-        .join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("s_b")), "b")
-        .where(100 * shared >= p * (F.col("n_a") + F.col("n_b") - shared)).select("a", "b"))
+    ``points``: ``set_id, n, point``; ``classes``: ``set_id, first_id``.
+    """
+
+    docs: DataFrame
+    points: DataFrame
+    classes: DataFrame
+    config: JaccardConfig
+    scratch: Scratch
+
+    def links(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Those of the pairs ``a, b`` that link: first by the bound on points, then on the texts."""
+        config, p = self.config, self.config.percent
+        side = lambda x: self.points.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("point").alias(f"p_{x}"))
+        narrow = self.scratch.land(
+            pairs.join(side("a"), "a").join(side("b"), "b")
+            .where((100 + p) * overlap_bound(F.col("p_a"), F.col("p_b")) >= p * (F.col("n_a") + F.col("n_b")))
+            .select("a", "b"), f"{name}-bound")
+        fans = narrow.groupBy("a").agg(F.ceil(F.count("*") / config.partners).cast("int").alias("parts"))
+        dealt = narrow.join(fans, "a").select("a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), F.col("b").alias("set_id"))
+        leads = fans.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("set_id"))
+        roles = self.scratch.land(
+            dealt.unionByName(leads).join(self.classes, "set_id").select("first_id", "set_id", "a", "part"), f"{name}-roles")
+        slots = max(1, math.ceil(roles.count() / config.slot_texts))
+        sent = self.docs.select("doc_id", "text").join(
+            small(roles, config.broadcast_rows), F.col("doc_id") == F.col("first_id")).select(
+            F.pmod(F.xxhash64("a", "part"), F.lit(slots)).alias("slot"), "a", "part", "set_id", "text")
+        found = self.scratch.land(
+            sent.groupBy("slot").applyInArrow(lambda table: _linked(table, config), "a long, b long").distinct(), name)
+        self.scratch.drop(f"{name}-roles")
+        self.scratch.drop(f"{name}-bound")
+        return found
+
+
+def _linked(table: pa.Table, config: JaccardConfig) -> pa.Table:
+    """Links of the sets ``a`` of a slot with the sets sent to them."""
+    shingles = _shingles(config.words)
+    lead, part, names = (table.column(c).to_pylist() for c in ("a", "part", "set_id"))
+    texts = table.column("text")
+    found = []
+    for (a, _), run in itertools.groupby(sorted(range(len(lead)), key=lambda i: (lead[i], part[i], names[i] != lead[i])), key=lambda i: (lead[i], part[i])):
+        own = None
+        for i in run:
+            if own is None and names[i] != a:
+                break
+            other = shingles.of(texts[i].as_py())
+            if set_id(other) != names[i]:
+                continue  # another text of the same id
+            if names[i] == a:
+                own = other
+                continue
+            shared = len(np.intersect1d(own, other, assume_unique=True))
+            if 100 * shared >= config.percent * (len(own) + len(other) - shared):
+                found.append((a, names[i]))
+    return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
 
 def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) -> DataFrame:
@@ -282,26 +359,28 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     scratch = Scratch(docs.sparkSession, "jaccard")
     sets = scratch.land(keyed_sets(docs, config), "keys")
     rows = scratch.land(sets.select("doc_id", "n_shingles", "set_id"), "rows")
-    classes = rows.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull()).groupBy("set_id").agg(
-        F.min("doc_id").alias("first_id"))
+    classes = scratch.land(rows.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull()).groupBy("set_id").agg(
+        F.min("doc_id").alias("first_id")), "classes")
 
-    keyed = sets.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull()).select("set_id", F.explode("keys").alias("key"))
+    keyed = sets.where(F.col("keys").isNotNull()).select("set_id", F.explode("keys").alias("key"))
     cells = scratch.land(
         keyed.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"))
         .where("least < most"), "cells")
     members = scratch.land(
         keyed.join(small(cells, config.broadcast_rows), "key").select("key", "least", "most", "set_id").distinct(), "members")
-    scratch.drop("keys")
     scratch.drop("cells")
 
-    # The sets of members, from one text each.
-    wanted = scratch.land(classes.join(members.select("set_id").distinct(), "set_id").select("first_id").distinct(), "wanted")
-    texts = docs.join(small(wanted, config.broadcast_rows), F.col("doc_id") == F.col("first_id"), "left_semi")
-    found = scratch.land(points_and_sets(texts, config).dropDuplicates(["set_id"]), "sets")
+    # One point per set of a cell.
+    inside = members.select("set_id").distinct()
+    points = scratch.land(
+        sets.where(F.col("point").isNotNull()).select("set_id", F.col("n_shingles").alias("n"), "point")
+        .join(small(scratch.land(inside, "inside"), config.broadcast_rows), "set_id").dropDuplicates(["set_id"]), "points")
+    scratch.drop("keys")
+    verifier = _Verifier(docs, points, classes, config, scratch)
 
     led = members.where("set_id <> least").groupBy("set_id", "least").count()
     stars = led.groupBy("set_id").agg(F.max_by("least", F.struct("count", "least")).alias("a")).select("a", F.col("set_id").alias("b"))
-    links = scratch.land(verified(stars, found, config), "first-links")
+    links = verifier.links(stars, "first-links")
     labels = components(links)
 
     still = _open(members, labels, 2)
@@ -310,24 +389,31 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
         F.col("set_id").alias("a"), F.col("most").alias("b"))
     stars = scratch.land(to_least.unionByName(to_most).select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
-    links = scratch.land(links.unionByName(verified(stars, found, config)), "second-links")
+    links = links.unionByName(verifier.links(stars, "second-links"))
     labels = components(links)
 
     rest = scratch.land(_open(members, labels, 4).where("set_id <> least and set_id <> most").select(
         "key", "size", "set_id", "label"), "rest")
     scratch.drop("members")
     pairs = scratch.land(
-        _chunked_pairs(rest.join(found.select("set_id", "point"), "set_id"), config).distinct(), "pairs")
-    more = scratch.land(verified(pairs, found, config), "third-links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+        _chunked_pairs(rest.join(points.select("set_id", "point"), "set_id"), config).distinct(), "pairs")
+    links = links.unionByName(verifier.links(pairs, "third-links"))
+
+    # The texts of one id are one document.
+    of_id = rows.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+        F.min("set_id").alias("a"), F.max("set_id").alias("most"), (F.count("*") > F.count("set_id")).alias("with_empty"))
+    several = small(scratch.land(of_id.where("a < most or a is not null and with_empty"), "several"), config.broadcast_rows)
+    same_id = rows.join(several, "doc_id").where("set_id > a").select("a", F.col("set_id").alias("b"))
+    labels = components(links.unionByName(same_id))
 
     whole = classes.join(labels.select(F.col("node").alias("set_id"), "label"), "set_id", "left").withColumn(
         "label", F.coalesce("label", "set_id"))
-    # A document whose rows have several texts joins their components, too.
     first = whole.groupBy("label").agg(F.min("first_id").alias("component_id"))
     of_set = whole.select("set_id", "label").join(first, "label").select("set_id", "component_id")
-    result = landed(rows.join(of_set, "set_id", "left").select("doc_id", "n_shingles", F.when(
+    # A row without words has the set of its id's other rows, if there are any.
+    named = rows.join(several.select("doc_id", F.col("a").alias("of_others")), "doc_id", "left").select(
+        "doc_id", "n_shingles", F.coalesce("set_id", "of_others").alias("set_id"))
+    result = landed(named.join(of_set, "set_id", "left").select("doc_id", "n_shingles", F.when(
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")), "jaccard-components")
     scratch.drop()
     return result

@@ -120,7 +120,7 @@ def test_spoken_signs_take_time_in_proportion():
 
 def test_masking(spark):
     rows = spark.createDataFrame([(1, "a@b.cc and +1 (555) 555-1234!"), (2, "clean"), (3, None)], "doc_id long, text string")
-    got = pii.find_pii(rows).select("doc_id", pii.masked(F.col("text"), F.col("pii")).alias("t")).collect()
+    got = pii.mask_pii(rows).select("doc_id", F.col("text").alias("t")).collect()
     assert {r.doc_id: r.t for r in got} == {1: "[EMAIL] and [PHONE]!", 2: "clean", 3: None}
 
 
@@ -277,16 +277,34 @@ def _plain_components(texts, words, percent):
 
 @pytest.mark.parametrize("words, percent", [(3, 90), (5, 80)])
 def test_near_duplicates(docs, texts, words, percent):
-    found = jaccard.near_duplicates(docs, jaccard.JaccardConfig(words=words, percent=percent, chunk=3, broadcast_rows=0))
+    found = jaccard.near_duplicates(docs, jaccard.JaccardConfig(words=words, percent=percent, groups=8, chunk=3, broadcast_rows=0))
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found.collect()} == _plain_components(texts, words, percent)
 
 
+def test_many_spans_are_masked_in_proportion():
+    text = "from a@b.org ok\n" * 100_000
+    start = time.monotonic()
+    assert pii.mask(text, pii.find_spans(text)) == "from [EMAIL] ok\n" * 100_000
+    assert time.monotonic() - start < 5
+
+
 def test_near_duplicates_of_awkward_rows(awkward):
     got = jaccard.near_duplicates(awkward).collect()
     assert len(got) == len(AWKWARD)
     assert all(r.component_id == r.doc_id for r in got)
 
 
+def test_points_of_long_sets_have_more_groups_and_fold():
+    import numpy as np
+
+    config = jaccard.JaccardConfig(groups=4, load=8)
+    draw = np.random.default_rng(1)
+    short, long = draw.integers(0, 2**63, 30, np.uint64), draw.integers(0, 2**63, 40, np.uint64)
+    assert (len(jaccard.point(short, config)), len(jaccard.point(long, config))) == (4, 8)
+    both = jaccard.folded([jaccard.point(short, config), jaccard.point(long, config)])
+    assert both.sum(axis=1).tolist() == [30, 40] and (both[1] == jaccard.point(long, jaccard.JaccardConfig(groups=4, load=99))).all()
+
+
 def test_rectangles_bound_their_points():
     import numpy as np
 
@@ -304,33 +322,45 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(31)}, 100: 100, 101: 100, 102: 100}
 
 
-def test_language_model(docs, texts, awkward):
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_language_model(docs, texts, awkward, order):
+    """Against plain counts and the failure chain written out."""
     import math
 
-    config = lm.LmConfig(block_chars=3000, bucket_entries=200, hot_share=0.01)
+    config = lm.LmConfig(order=order, block_chars=3000, bucket_entries=200)
     held = (F.col("doc_id") % 3) == 0
     got = {r.doc_id: r for r in lm.score_texts(docs, held, config).collect()}
     words = {i: [*t.encode().lower().split(), b""] for i, t in texts.items()}
-    one, two = collections.Counter(), collections.Counter()
+    grams = [collections.Counter() for _ in range(order + 1)]
+    states = collections.Counter()
+
+    def ending(padded, at, m):
+        return tuple(padded[at - m + 1: at + 1]) if at - m + 1 >= 0 else None
+
     for i, w in words.items():
         if i % 3:
-            one.update(w)
-            two.update(zip([None, *w], w))
-    n, v = sum(one.values()), len(one)
-    d1 = lm.discount(*(sum(c == k for c in one.values()) for k in (1, 2)))
-    d2 = lm.discount(*(sum(c == k for c in two.values()) for k in (1, 2)))
-    after, state = collections.Counter(a for a, _ in two), collections.Counter()
-    for (a, _), c in two.items():
-        state[a] += c
+            padded = [None, *w]
+            for at in range(1, len(padded)):
+                for m in range(1, order + 1):
+                    if (gram := ending(padded, at, m)) is not None:
+                        grams[m][gram] += 1
+                        states[gram[:-1]] += 1
+    n, v = sum(grams[1].values()), len(grams[1])
+    often = [[sum(c == k for c in g.values()) for k in (1, 2)] for g in grams]
+    k = [max(1e-3, lm.discount(*often[m]) * len(grams[m]) / max(1, len(grams[m - 1]))) for m in range(order + 1)]
+    d1 = lm.discount(*often[1])
     for i, w in words.items():
-        total, before = 0.0, None
-        for x in w:
-            root = (one[x] - d1) / n if one[x] else d1 * v / n
-            total += math.log10((max(two[before, x] - d2, 0) + d2 * after[before] * root) / state[before] if state[before] else root)
-            before = x
-        base = sum(math.log10((one[x] + 1) / (n + v + 1)) for x in w)
+        padded, total = [None, *w], 0.0
+        for at in range(1, len(padded)):
+            weight = (grams[1][padded[at],] - d1) / n if grams[1][padded[at],] else d1 * v / n
+            for m in range(2, order + 1):
+                if (gram := ending(padded, at, m)) is not None and states[gram[:-1]]:
+                    c = states[gram[:-1]]
+                    weight = grams[m][gram] / (c + k[m]) + k[m] / (c + k[m]) * weight
+            total += math.log10(weight)
+        base = sum(math.log10((grams[1][x,] + 1) / (n + v + 1)) for x in w)
         assert got[i].score == pytest.approx(total) and got[i].base_score == pytest.approx(base)
-        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(w), sum(one[x] > 0 for x in w), n)
+        assert (got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (len(w), sum(grams[1][x,] > 0 for x in w), n)
     assert lm.score_texts(awkward, F.lit(True)).where("score <> 0").count() == 0
 
 
@@ -403,4 +433,6 @@ def test_dictionary_counts_all_documents(spark):
     docs = spark.range(8000).selectExpr("id AS doc_id", "concat('every ', if(id % 500 = 7, 'seldom', 'other'), ' w', id) AS text")
     assert secrets.dictionary(docs) == {"every", "seldom", "other"}
     many = spark.range(7000).selectExpr("id AS doc_id", "translate(format_string('w%05d', id), '0123456789', 'abcdefghij') AS text")
-    assert len(secrets.dictionary(many, secrets.SecretConfig(word_share=0.0001))) == 7000
+    assert len(secrets.dictionary(many, secrets.SecretConfig(word_share=0.0001, word_docs=1))) == 7000
+    few = spark.createDataFrame([(k, f'known words beside AKIAabcdfgh1/ghij=x and seldom{k}') for k in range(5)], 'doc_id long, text string')
+    assert secrets.dictionary(few) == {'known', 'words', 'beside', 'and'}
