@@ -9,10 +9,13 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def result_rollup(records: DataFrame) -> DataFrame:
-    """Per result file: windows, total length of the analyses, and whether there is any."""
+def result_rollup(records: DataFrame, by: list[str] = ("file",)) -> DataFrame:
+    """Per result file: windows, total length of the analyses, and whether there is any.
+
+    Tasks of one write give files of the same name to several folders; ``by=["path"]`` keeps these apart.
+    """
     length = F.coalesce(F.sum(F.length("analysis")), F.lit(0)).cast("long")
-    return records.groupBy("file").agg(
+    return records.groupBy(*by).agg(
         _rows().alias("windows"), length.alias("analysis_length"), (length > 0).alias("has_analysis"))
 
 

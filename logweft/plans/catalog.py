@@ -901,16 +901,31 @@ def _land_results(spark, sf_dir) -> str:
     return path
 
 
-@query("read_results", _TYPED_WINDOWS + f"""
+@query("read_result_records", _TYPED_WINDOWS + f"""
 SELECT source, window_index, token_count AS window_tokens, analysis_type, md5({_case('analysis_type', _CANNED)}) AS analysis,
        'pipeline' AS kind FROM typed""")
-def read_results(spark, sf_dir):
+def read_result_records(spark, sf_dir):
     """Records written as JSON, read back and told apart."""
     found = results.read_result_records(spark, _land_results(spark, sf_dir))
     return found.select("source", "meta.window_index", "meta.window_tokens", "analysis_type",
                         F.md5("analysis").alias("analysis"), "kind")
 
 
+def _type_folder() -> Column:
+    return F.regexp_extract("path", "analysis_type=([^/]+)/", 1)
+
+
+@query("read_results", _TYPED_WINDOWS + f"""
+SELECT analysis_type, 'pipeline' AS type, true AS success, true AS sized, min(window_index)::BIGINT AS first_window,
+       md5({_case('analysis_type', _CANNED)}) AS analysis FROM typed GROUP BY analysis_type""")
+def read_results(spark, sf_dir):
+    """Result files, those of an analysis type taken together: how many there are depends on the tasks that wrote them."""
+    found = results.read_results(spark, _land_results(spark, sf_dir))
+    return found.groupBy(_type_folder().alias("analysis_type"), "type").agg(
+        F.bool_and("success").alias("success"), F.bool_and(F.col("size") > 0).alias("sized"),
+        F.min("meta.window_index").cast("long").alias("first_window"), F.md5(F.min("analysis")).alias("analysis"))
+
+
 @query("write_results", _TYPED_WINDOWS + f"""
 SELECT source, window_index, analysis_type, md5({_case('analysis_type', _CANNED)}) AS analysis FROM typed""")
 def write_results(spark, sf_dir):
@@ -924,10 +939,11 @@ def write_results(spark, sf_dir):
 SELECT analysis_type, count(*) AS windows, sum(length({_case('analysis_type', _CANNED)}))::BIGINT AS analysis_length,
        true AS has_analysis FROM typed GROUP BY analysis_type""")
 def result_rollup(spark, sf_dir):
-    """Roll-up of result files, files of a type taken together."""
-    found = results.read_result_records(spark, _land_results(spark, sf_dir))
-    by_type = found.withColumn("file", F.col("analysis_type"))
-    return reports.result_rollup(by_type).withColumnRenamed("file", "analysis_type")
+    """Roll-up of result files, files of a type then added up."""
+    by_file = reports.result_rollup(results.read_result_records(spark, _land_results(spark, sf_dir)), ["path"])
+    return by_file.groupBy(_type_folder().alias("analysis_type")).agg(
+        F.sum("windows").alias("windows"), F.sum("analysis_length").alias("analysis_length"),
+        F.bool_or("has_analysis").alias("has_analysis"))
 
 
 @query("analyze_log_files", f"""{WITH_EVENT_WINDOWS}, typed AS (SELECT *, {DETECT} AS analysis_type FROM win)
@@ -951,9 +967,16 @@ def latest_results(spark, sf_dir):
         display.preview_text(F.col("analysis"), 100)).alias("preview_length"))
 
 
-@query("latest_result")
+@query("latest_result", _TYPED_WINDOWS + """
+SELECT analysis_type, true AS dated FROM typed WHERE analysis_type = 'general' GROUP BY analysis_type""")
 def latest_result(spark, sf_dir):
-    return results.latest_result(results.read_results(spark, _land_results(spark, sf_dir)))
+    """The newest result file, where those of one type are written after all others."""
+    path = new_shared_path(spark, "analysis-results")
+    records = analyze.analyze_windows(_doc_windows(spark, sf_dir), _meta(), RUN_TS).drop("success", "error")
+    results.write_results(records.where("analysis_type <> 'general'"), path)
+    results.write_results(records.where("analysis_type = 'general'"), path, mode="append")
+    found = results.latest_result(results.read_results(spark, path))
+    return found.select(_type_folder().alias("analysis_type"), F.col("last_modified").isNotNull().alias("dated"))
 
 
 # ---- streams ------------------------------------------------------------------------------------------
@@ -1065,7 +1088,7 @@ FROM ({LOGS}{_LAST_100} SELECT * FROM texts)""")
 def write_reports(spark, sf_dir):
     """Analyses of a stream written as JSON reports per micro-batch, and read back as result files."""
     out = new_shared_path(spark, "reports")
-    sinks.start(triggers.auto_trigger(_stream(spark, sf_dir)), f"{out}/table", f"{out}/checkpoint",
-                transform=monitor.analyses(), fmt="json", available_now=True).awaitTermination()
+    selected = triggers.auto_trigger(_stream(spark, sf_dir)).writeStream.option("checkpointLocation", f"{out}/checkpoint")
+    selected.foreachBatch(sinks.write_reports(f"{out}/table", monitor.analyses())).trigger(availableNow=True).start().awaitTermination()
     found = results.read_result_records(spark, f"{out}/table", multi_line=False)
     return found.select("source", "log_count", "analysis_type", "kind", "success")

@@ -106,10 +106,10 @@ def latest_results(
 
 def latest_result(results: DataFrame) -> DataFrame:
     """The newest result file."""
+    newest = F.struct("last_modified", "path")
     return results.agg(
-        F.max_by("file", F.struct("last_modified", "path")).alias("file"),
-        F.max("last_modified").alias("last_modified"),
-    )
+        F.max_by("file", newest).alias("file"), F.max_by("path", newest).alias("path"),
+        F.max("last_modified").alias("last_modified"))
 
 
 def write_results(records: DataFrame, path: str, fmt: str = "json", mode: str = "errorifexists") -> None:
