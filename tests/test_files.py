@@ -122,6 +122,19 @@ def test_result_files(spark, tmp_path):
     assert rollup["auto_analysis_stats_1.json"] == (1, 0, False)
 
 
+def test_rollup_of_files_of_one_name(spark, tmp_path):
+    """Tasks of one write give files of the same name to several folders."""
+    for folder, texts in (("a", ["one", "two"]), ("b", ["three"])):
+        (tmp_path / folder).mkdir()
+        put(tmp_path / folder, "part-0.json", [{"analysis": t} for t in texts], 1000 if folder == "a" else 2000)
+    records = read_result_records(spark, [str(tmp_path / "a"), str(tmp_path / "b")])
+    rollup = {r.path.split("/")[-2]: tuple(r)[1:] for r in result_rollup(records, ["path"]).collect()}
+    assert rollup == {"a": (2, 6, True), "b": (1, 5, True)}
+    assert result_rollup(records).first().windows == 3
+    newest = latest_result(read_results(spark, [str(tmp_path / "a"), str(tmp_path / "b")])).first()
+    assert newest.path.endswith("/b/part-0.json")
+
+
 @pytest.mark.parametrize("fmt", ["json", "parquet"])
 def test_written_results(spark, tmp_path, fmt):
     windows = spark.createDataFrame(
