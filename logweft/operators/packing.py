@@ -14,12 +14,16 @@ start and of a bounded stretch of rows after it.  That makes the chain of starts
 
 So a source holding any share of the data is spread over as many tasks as it has chunks.  Only narrow
 columns take part until the last step, which shuffles the content once.
+
+Rows without tokens cost nothing, so a run may hold any number of them.  A start lies at a row with tokens
+or right behind one, never inside a stretch of rows without: such a stretch acts like a single row.
+``join_empty_rows`` makes it one, after which two rows next to each other have a token and all bounds hold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +36,7 @@ MIN_CHUNK_ROWS = 65536
 # Of a chunk this share, at most, is seen by the chunk before it as well.
 CHUNK_REACHES = 16
 WHOLE_SOURCE_TOKENS = 2_000_000
+EMPTY_BUCKET = 65536
 BUFFER_ROWS = 65536
 BUFFER_BYTES = 32 << 20
 
@@ -39,6 +44,8 @@ PACKED_SCHEMA = (
     "source string, window_index int, total_windows int, start_line long, end_line long, "
     "token_count long, content string"
 )
+_GAPS = "positions must count 0, 1, 2, ... within a source; see renumber_lines"
+_TOO_FAR = "rows without tokens among rows said to have some; pass zero_tokens=True"
 _MAP_SCHEMA = "source string, slot long, first long, exits array<long>, counts array<long>"
 _ROOT_SCHEMA = "source string, slot long, entry long, base long, total long"
 _ENTRY_SCHEMA = "source string, chunk long, entry long, base long, total long"
@@ -51,11 +58,12 @@ class Budget:
     max_tokens: int
     keep_tokens: int = 0
     carries: bool = False
+    rows_per_token: int = 1
 
     @property
     def reach(self) -> int:
-        """Rows a run can span, plus the row that closes it, when every row has a token."""
-        return self.max_tokens + 2
+        """Rows a run can span, plus the row that closes it, when so many rows in turn have a token."""
+        return self.rows_per_token * (self.max_tokens + 2)
 
 
 def run_ends(tokens: np.ndarray, stops: np.ndarray, budget: Budget):
@@ -108,7 +116,7 @@ def _chunk_map_function(budget: Budget, chunk_rows: int):
         order = np.argsort(pos, kind="stable")
         pos, tokens = pos[order], table["tokens"].to_numpy()[order]
         if pos[0] != chunk * chunk_rows or (np.diff(pos) != 1).any():
-            raise ValueError("positions must count 0, 1, 2, ... within a source; see renumber_lines")
+            raise ValueError(_GAPS)
         n, first, bound = len(pos), chunk * chunk_rows, (chunk + 1) * chunk_rows
         stops = np.full(n, n)
         last, _, following = run_ends(tokens, stops, budget)
@@ -126,7 +134,7 @@ def _chunk_map_function(budget: Budget, chunk_rows: int):
             if not inside.any():
                 break
             if cut_off and (last[at[inside]] == n - 1).any():
-                raise ValueError("a run spans more rows than a chunk looks ahead; raise chunk_rows")
+                raise ValueError(_TOO_FAR)
             counts += inside[label]
             at, back = np.unique(np.where(inside, following[np.minimum(at, n - 1)], at), return_inverse=True)
             label = back.reshape(-1)[label]
@@ -158,7 +166,7 @@ def _step(at: np.ndarray, runs: np.ndarray, first: int, exits: np.ndarray, count
     alive = at >= 0
     index = np.where(alive, at - first, 0)
     if (index >= len(exits)).any() or (index < 0).any():
-        raise ValueError("a run spans more rows than a chunk looks ahead; raise chunk_rows")
+        raise ValueError(_TOO_FAR)
     return np.where(alive, exits[index], -1), runs + np.where(alive, counts[index], 0)
 
 
@@ -259,7 +267,7 @@ class _Groups:
         inside = ~new[1:] & (self.pos[:-1] >= 0)
         whole = ~self.marked & (self.chunk == 0)
         if (np.diff(self.pos)[inside] != 1).any() or self.pos[self.start[whole]].any():
-            raise ValueError("positions must count 0, 1, 2, ... within a source; see renumber_lines")
+            raise ValueError(_GAPS)
         body = self.start + self.marked
         self.filled = body < self.end
         body_pos = self.pos[np.minimum(body, rows - 1)]
@@ -280,7 +288,7 @@ class _Groups:
         while len(at):
             group = self.of_row[at]
             if (self.cut_off[group] & (self.last[at] + 1 >= self.end[group])).any():
-                raise ValueError("a run spans more rows than a chunk looks ahead; raise chunk_rows")
+                raise ValueError(_TOO_FAR)
             found.append(at)
             at = self.following[at]
             at = at[at < self.stop[group]]
@@ -369,19 +377,69 @@ def _stream_function(budget: Budget, chunk_rows: int, buffer_rows: int):
     return stream
 
 
+# ---------------------------------------------------------------------------------------------------
+
+
+def join_empty_rows(rows: DataFrame, bucket_rows: int = EMPTY_BUCKET) -> DataFrame:
+    """``rows`` with every stretch of rows without tokens as one row, numbered anew.
+
+    Stretches are found within buckets of positions.  What a bucket needs from those before it is in a table of
+    one row per bucket: how many rows they leave, and whether a stretch goes on across the border.  The text of a
+    stretch is part of one run, so it is gathered no further than the result gathers it.
+    """
+    place = Window.partitionBy("source", "_bucket").orderBy("pos")
+    empty = F.col("tokens") <= 0
+    marked = (
+        rows.withColumn("_bucket", F.call_function("div", F.col("pos"), F.lit(bucket_rows)))
+        .withColumn("_place", F.row_number().over(place))
+        .withColumn("_opens", (~empty | F.coalesce(F.lag("tokens").over(place) > 0, F.lit(True))).cast("long"))
+        .withColumn("_opened", F.sum("_opens").over(place))
+    )
+    earlier = Window.partitionBy("source").orderBy("_bucket")
+    sums = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    buckets = (
+        marked.groupBy("source", "_bucket").agg(
+            F.count(F.lit(1)).alias("_rows"), F.sum("_opens").alias("_left"),
+            F.min_by("tokens", "pos").alias("_first"), F.max_by("tokens", "pos").alias("_last"))
+        .withColumn("_goes_on", F.coalesce(
+            (F.col("_first") <= 0) & (F.lag("_last").over(earlier) <= 0), F.lit(False)).cast("long"))
+        .select(
+            "source", "_bucket", "_goes_on",
+            F.coalesce(F.sum(F.col("_left") - F.col("_goes_on")).over(sums), F.lit(0)).alias("_base"),
+            F.coalesce(F.sum("_rows").over(sums), F.lit(0)).alias("_before"))
+    )
+    start = F.col("_bucket") * F.lit(bucket_rows)
+    gapless = (F.col("_before") == start) & (F.col("pos") == start + F.col("_place") - 1)
+    number = F.col("_base") + F.col("_opened") - F.col("_goes_on") - 1
+    numbered = marked.join(buckets, ["source", "_bucket"]).withColumn(
+        "_number", F.when(gapless, number).otherwise(F.raise_error(F.lit(_GAPS)).cast("long")))
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda row: row["value"])
+    stretches = numbered.filter(empty).groupBy("source", "_number").agg(
+        F.lit(0).cast("long").alias("tokens"), F.array_join(texts, "\n").alias("value"),
+        F.min_by("first", "pos").alias("first"), F.max_by("last", "pos").alias("last"))
+    columns = ["source", F.col("_number").alias("pos"), "tokens", "value", "first", "last"]
+    return numbered.filter(~empty).select(columns).unionByName(stretches.select(columns))
+
+
 def pack_rows(
     rows: DataFrame,
     budget: Budget,
     chunk_rows: int | None = None,
+    zero_tokens: bool = True,
     whole_source_tokens: int = WHOLE_SOURCE_TOKENS,
     buffer_rows: int = BUFFER_ROWS,
     chunks_per_block: int = CHUNKS_PER_BLOCK,
+    bucket_rows: int = EMPTY_BUCKET,
 ) -> DataFrame:
     """Pack ``rows(source, pos, tokens, value, first, last)`` into runs.
 
     ``pos`` counts 0, 1, 2, ... within a source.  A run reports ``first`` of its first row and ``last``
-    of its last row.
+    of its last row.  ``zero_tokens=False`` says that every row has a token, which saves a shuffle.
     """
+    # Joins match no nulls, but rows without a source are a source too: inside, names carry a mark.
+    rows = rows.withColumn("source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    if zero_tokens:
+        rows, budget = join_empty_rows(rows, bucket_rows), replace(budget, rows_per_token=2)
     chunk_rows = chunk_rows or max(MIN_CHUNK_ROWS, CHUNK_REACHES * budget.reach)
     if chunk_rows < budget.reach:
         raise ValueError(f"chunk_rows must be at least {budget.reach}")
@@ -390,14 +448,12 @@ def pack_rows(
     placed = rows.withColumn("chunk", F.explode(
         F.when(seen_early, F.array(home, home - 1)).otherwise(F.array(home))))
 
-    chunk_group = Window.partitionBy("source", "chunk")
-    spread = (
-        placed.select("source", "chunk", "pos", "tokens")
-        .withColumn("_end", F.max("pos").over(chunk_group))
-        .withColumn("_sum", F.sum("tokens").over(chunk_group))
+    # Only sources of several chunks, or of many tokens, need maps; one row per chunk tells which.
+    large = (
+        placed.groupBy("source", "chunk").agg(F.max("pos").alias("_end"), F.sum("tokens").alias("_sum"))
         .filter((F.col("chunk") > 0) | (F.col("_end") >= chunk_rows) | (F.col("_sum") > whole_source_tokens))
-        .select("source", "chunk", "pos", "tokens")
     )
+    spread = placed.select("source", "chunk", "pos", "tokens").join(large, ["source", "chunk"], "left_semi")
     maps = spread.groupBy("source", "chunk").applyInArrow(_chunk_map_function(budget, chunk_rows), _MAP_SCHEMA)
     block = F.call_function("div", F.col("slot"), F.lit(chunks_per_block))
     blocked = maps.withColumn("block", block)
@@ -419,4 +475,5 @@ def pack_rows(
         .repartition("source", "chunk")
         .sortWithinPartitions("source", "chunk", "pos")
         .mapInArrow(_stream_function(budget, chunk_rows, buffer_rows), PACKED_SCHEMA)
+        .withColumn("source", F.when(F.col("source") != "", F.substr("source", F.lit(2))))
     )

@@ -28,15 +28,20 @@ def token_windows(
     mode: str = "full",
     chunk_lines: int | None = None,
     content: bool = True,
+    zero_tokens: bool | None = None,
     **tuning,
 ) -> DataFrame:
     """Windows over ``lines(source, line_no, value[, tokens])``, ``line_no`` counting from 0 without gaps.
 
     ``mode='legacy'`` returns only the ordered contents.  ``content=False`` leaves the contents out, and
-    the lines out of the shuffle.
+    the lines out of the shuffle.  Lines may have no tokens, and any number of such lines may follow each other;
+    ``zero_tokens=False`` says that none does, as is known of simple counts.
     """
     config = config or WindowConfig()
-    tokens = F.col("tokens") if "tokens" in lines.columns else count_tokens(F.col("value"), config)
+    given = "tokens" in lines.columns
+    tokens = F.coalesce("tokens", F.lit(0)) if given else F.coalesce(count_tokens(F.col("value"), config), F.lit(0))
+    if zero_tokens is None:
+        zero_tokens = given or config.tokenizer != "simple"
     rows = lines.select(
         F.col("source").cast("string").alias("source"),
         F.col("line_no").cast("long").alias("pos"),
@@ -45,7 +50,7 @@ def token_windows(
         F.col("line_no").cast("long").alias("first"),
         F.col("line_no").cast("long").alias("last"),
     )
-    windows = pack_rows(rows, _budget(config), chunk_lines, **tuning)
+    windows = pack_rows(rows, _budget(config), chunk_lines, zero_tokens, **tuning)
     if not content:
         windows = windows.drop("content")
     return windows.select("source", "window_index", "content") if mode == "legacy" else windows
@@ -202,12 +207,14 @@ def merge_windows(
     max_merge_tokens: int | None = None,
     config: WindowConfig | None = None,
     chunk_windows: int | None = None,
+    zero_tokens: bool = True,
     **tuning,
 ) -> DataFrame:
     """Join consecutive windows while their tokens fit; ``window_index`` counts from 0 without gaps
     (``renumber_lines(found, column="window_index")`` closes those of a filter).
 
     Lines that windows share stay in the content twice.  None or zero means the configured budget.
+    ``zero_tokens=False`` says that every window has a token, as windows of simple counts have.
     """
     budget = max_merge_tokens or (config or WindowConfig()).max_tokens
     rows = windows.select(
@@ -218,4 +225,4 @@ def merge_windows(
         F.col("start_line").alias("first"),
         F.col("end_line").alias("last"),
     )
-    return pack_rows(rows, Budget(budget), chunk_windows, **tuning)
+    return pack_rows(rows, Budget(budget), chunk_windows, zero_tokens, **tuning)

@@ -21,7 +21,7 @@ from logweft.fixed_values import (
     TYPE_SETTINGS,
 )
 from logweft.functions import classify, display, parse, prompts
-from logweft.functions.tokens import count_tokens
+from logweft.functions.tokens import count_tokens, simple_tokens
 from logweft.operators import aggregates, alerts, analyze, lines, reports, windows
 from logweft.plans import inputs, oracle
 from logweft.plans.oracle import text as lit
@@ -256,6 +256,20 @@ def token_windows_long_sources(spark, sf_dir):
     return _hashed(_event_windows(spark, sf_dir), "content")
 
 
+_CRITICAL_TOKENS = f"CASE WHEN contains(v, ' CRITICAL ') THEN {oracle.TOKENS} ELSE 0 END"
+
+
+@query("token_windows_open_runs", "WITH RECURSIVE " + oracle.NUMBERED_EVENT_LINES + ","
+       + oracle.windows("ev_numbered", 60, 0.5, tokens=_CRITICAL_TOKENS) + f" SELECT {_WINDOW_COLUMNS} FROM win")
+def token_windows_open_runs(spark, sf_dir):
+    """Windows in which critical lines alone count, so that stretches without tokens reach over chunks."""
+    counted = inputs.numbered_event_lines(spark, sf_dir).withColumn("tokens", F.when(
+        F.col("value").contains(" CRITICAL "), simple_tokens(F.col("value"))).otherwise(0))
+    found = windows.token_windows(
+        counted, WindowConfig(max_tokens=60, overlap_ratio=0.5), chunk_lines=128, bucket_rows=64)
+    return _hashed(found, "content")
+
+
 WITH_TURN_WINDOWS = ("WITH RECURSIVE " + oracle.CONVERSATION_LINES + "," + oracle.windows("conv_lines", 200, 0.15))
 
 
@@ -351,12 +365,12 @@ FROM mg_runs r JOIN win x ON x.source = r.source AND x.window_index BETWEEN r.s
 
 @query("merge_windows", _merged_sql(WITH_DOC_WINDOWS, 900))
 def merge_windows(spark, sf_dir):
-    return _hashed(windows.merge_windows(_doc_windows(spark, sf_dir), 900), "content")
+    return _hashed(windows.merge_windows(_doc_windows(spark, sf_dir), 900, zero_tokens=False), "content")
 
 
 @query("merge_windows_long_sources", _merged_sql(WITH_EVENT_WINDOWS, 700))
 def merge_windows_long_sources(spark, sf_dir):
-    return _hashed(windows.merge_windows(_event_windows(spark, sf_dir), 700, chunk_windows=702), "content")
+    return _hashed(windows.merge_windows(_event_windows(spark, sf_dir), 700, chunk_windows=702, zero_tokens=False), "content")
 
 
 @query("merge_filtered_windows", WITH_DOC_WINDOWS + f""",
@@ -370,7 +384,8 @@ FROM mg_runs r JOIN kept x ON x.source = r.source AND x.window_index BETWEEN r.s
 def merge_filtered_windows(spark, sf_dir):
     """Windows of some size only, joined again."""
     kept = windows.filter_windows(_doc_windows(spark, sf_dir), config=DOC_CONFIG)
-    return _hashed(windows.merge_windows(lines.renumber_lines(kept, column="window_index"), 900), "content")
+    numbered = lines.renumber_lines(kept, column="window_index")
+    return _hashed(windows.merge_windows(numbered, 900, zero_tokens=False), "content")
 
 
 # ---- types, prompts, analysis -------------------------------------------------------------------------

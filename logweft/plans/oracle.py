@@ -106,11 +106,11 @@ def packing(prefix: str, rows: str, max_tokens: int, keep: int, carries: bool) -
 {prefix}_runs AS (SELECT source, w, s, e, tok::BIGINT AS tok FROM {prefix}_chain)"""
 
 
-def windows(lines: str, max_tokens: int, ratio: float, prefix: str = "win") -> str:
+def windows(lines: str, max_tokens: int, ratio: float, prefix: str = "win", tokens: str = TOKENS) -> str:
     """CTEs from ``lines(source, i, v)`` to ``{prefix}`` with the window columns."""
     keep = int(max_tokens * ratio) if ratio > 0 else 0
     return f"""
-{prefix}_t AS (SELECT source, i, {TOKENS} AS t FROM {lines}),{packing(prefix, f"{prefix}_t", max_tokens, keep, ratio > 0)},
+{prefix}_t AS (SELECT source, i, {tokens} AS t FROM {lines}),{packing(prefix, f"{prefix}_t", max_tokens, keep, ratio > 0)},
 {prefix} AS (
   SELECT r.source, r.w::INTEGER AS window_index,
          (count(*) OVER (PARTITION BY r.source))::INTEGER AS total_windows,

@@ -79,7 +79,7 @@ def test_long_and_short_sources(spark, conf, max_tokens, ratio, chunk, batch_row
     conf("spark.sql.execution.arrow.maxRecordsPerBatch", batch_rows)
     sources = make_sources(chunk or 0, max_tokens)
     tuning = {"whole_source_tokens": 100, "buffer_rows": batch_rows} if chunk else {}
-    found = token_windows(lines_frame(spark, sources), WindowConfig(max_tokens, ratio), chunk_lines=chunk, **tuning)
+    found = token_windows(lines_frame(spark, sources), WindowConfig(max_tokens, ratio), chunk_lines=chunk, zero_tokens=False, **tuning)
     check(found.collect(), sources, max_tokens, ratio)
 
 
@@ -89,25 +89,69 @@ def test_lines_without_tokens(spark):
     check(found.collect(), sources, 20, 0.3)
 
 
-def test_a_run_beyond_the_lookahead_fails_loudly(spark):
+# Stretches of lines without tokens that are longer than the budget and reach over several chunks and buckets.
+OPEN_SOURCES = {
+    "front": [0] * 200 + [1] * 50,
+    "back": [2, 9, 1] + [0] * 300,
+    "only": [0] * 250,
+    "single": [0],
+    "between": [3] * 40 + [0] * 150 + [9] + [0] * 77 + [2] * 30 + [0] * 64 + [1],
+    "sparse": ([0] * 45 + [1]) * 12,
+    "pairs": [0, 1] * 130,
+    "large": [40, 0, 0, 41, 0, 3] * 40,
+    "mixed": [random.Random(17).choice([0, 0, 0, 0, 1, 3, 11]) for _ in range(700)],
+}
+
+
+@pytest.mark.parametrize("max_tokens, ratio, chunk, bucket", [
+    (5, 0.0, 14, 1), (5, 0.3, 30, 16), (10, 0.5, 41, 7), (12, 0.9, 28, 65536), (12, 0.3, None, 16)])
+def test_open_runs_of_lines_without_tokens(spark, max_tokens, ratio, chunk, bucket):
+    tuning = {"whole_source_tokens": 20, "buffer_rows": 13, "chunks_per_block": 3} if chunk else {}
+    found = token_windows(lines_frame(spark, OPEN_SOURCES), WindowConfig(max_tokens, ratio), chunk_lines=chunk,
+                          bucket_rows=bucket, **tuning)
+    check(found.collect(), OPEN_SOURCES, max_tokens, ratio)
+
+
+def test_a_run_that_breaks_the_promise_fails_loudly(spark):
     frame = lines_frame(spark, {"s": [0] * 200 + [1] * 50})
-    with pytest.raises(Exception, match="raise chunk_rows"):
-        token_windows(frame, WindowConfig(5, 0.0), chunk_lines=10).collect()
+    with pytest.raises(Exception, match="zero_tokens=True"):
+        token_windows(frame, WindowConfig(5, 0.0), chunk_lines=10, zero_tokens=False).collect()
+
+
+def test_lines_of_no_source_are_a_source(spark):
+    frame = spark.createDataFrame(
+        [(s, i, "a", t) for s in (None, "", "=") for i, t in enumerate([1, 0, 0, 2] * 20)],
+        "source string, line_no long, value string, tokens long")
+    for chunk in (None, 20):
+        rows = token_windows(frame, WindowConfig(5, 0.3), chunk_lines=chunk).collect()
+        by_source = {s: sorted(r[1:] for r in rows if r.source == s) for s in (None, "", "=")}
+        assert by_source[None] == by_source[""] == by_source["="] and by_source[None]
+
+
+def test_merging_windows_without_tokens(spark):
+    rng = random.Random(6)
+    sources = {f"s{i}": [rng.choice([0, 0, 0, 5, 30, 61]) for _ in range(n)] for i, n in enumerate([1, 9, 400])}
+    sources["s3"] = [0] * 500
+    rows = [(s, i, t, i, i, f"{s}.{i}") for s, ts in sources.items() for i, t in enumerate(ts)]
+    frame = spark.createDataFrame(
+        rows, "source string, window_index int, token_count long, start_line long, end_line long, content string")
+    check(merge_windows(frame, 60, chunk_windows=130, bucket_rows=50).collect(), sources, 60, 0.0)
 
 
 @pytest.mark.parametrize("tokens", [[4] * 3000, None])
 def test_many_blocks_of_chunks(spark, tokens):
     rng = random.Random(12)
     sources = {"long": tokens or [rng.choice([1, 2, 7, 33, 45]) for _ in range(3000)], "mid": [9] * 130, "short": [5, 5]}
-    found = token_windows(lines_frame(spark, sources), WindowConfig(30, 0.2), chunk_lines=40, chunks_per_block=4)
+    found = token_windows(lines_frame(spark, sources), WindowConfig(30, 0.2), chunk_lines=40, chunks_per_block=4, zero_tokens=False)
     check(found.collect(), sources, 30, 0.2)
 
 
-@pytest.mark.parametrize("numbers, chunk", [([0, 1, 3], None), ([1, 2, 3], None), ([0, 1, 1, 2], None), ([*range(40), 50], 12)])
-def test_gaps_in_numbers_fail_loudly(spark, numbers, chunk):
+@pytest.mark.parametrize("numbers, chunk", [([0, 1, 3], None), ([1, 2, 3], None), ([0, 1, 1, 2], None), ([*range(40), 50], 14)])
+@pytest.mark.parametrize("zero_tokens", [True, False])
+def test_gaps_in_numbers_fail_loudly(spark, numbers, chunk, zero_tokens):
     frame = spark.createDataFrame([("s", n, "abcd", 1) for n in numbers], "source string, line_no long, value string, tokens long")
     with pytest.raises(Exception, match="see renumber_lines"):
-        token_windows(frame, WindowConfig(5, 0.0), chunk_lines=chunk).collect()
+        token_windows(frame, WindowConfig(5, 0.0), chunk_lines=chunk, zero_tokens=zero_tokens).collect()
 
 
 def test_null_lines_are_blank(spark):
@@ -126,7 +170,7 @@ def test_result_does_not_depend_on_partitions_or_chunks(spark):
     sources = make_sources(5, 40)
     results = [
         sorted(map(tuple, token_windows(
-            lines_frame(spark, sources, parts, seed=parts), WindowConfig(40, 0.15), chunk_lines=chunk).collect()))
+            lines_frame(spark, sources, parts, seed=parts), WindowConfig(40, 0.15), chunk_lines=chunk, zero_tokens=False).collect()))
         for parts, chunk in [(1, None), (7, 42), (3, 100)]]
     assert results[0] == results[1] == results[2]
 
@@ -180,7 +224,7 @@ def test_default_mode_counts_simple_tokens(spark):
 
 def test_window_properties(spark):
     sources = make_sources(11, 30)
-    rows = token_windows(lines_frame(spark, sources), WindowConfig(30, 0.3), chunk_lines=40).collect()
+    rows = token_windows(lines_frame(spark, sources), WindowConfig(30, 0.3), chunk_lines=40, zero_tokens=False).collect()
     for source, tokens in sources.items():
         mine = sorted((r for r in rows if r.source == source), key=lambda r: r.window_index)
         covered = {i for r in mine for i in range(r.start_line, r.end_line + 1)}
@@ -233,7 +277,7 @@ def test_merge(spark, chunk):
     rows = [(s, i, len(ts), i * 2, i * 2 + 2, t, f"{s}.{i}") for s, ts in sources.items() for i, t in enumerate(ts)]
     frame = spark.createDataFrame(
         rows, "source string, window_index int, total_windows int, start_line long, end_line long, token_count long, content string")
-    found = merge_windows(frame, 60, chunk_windows=chunk).collect()
+    found = merge_windows(frame, 60, chunk_windows=chunk, zero_tokens=False).collect()
     for source, tokens in sources.items():
         mine = sorted((r for r in found if r.source == source), key=lambda r: r.window_index)
         expected = folds.windows(tokens, 60, 0.0)
