@@ -189,5 +189,31 @@ JOIN folds f ON f.source IS NOT DISTINCT FROM p.source AND f.leaf_pos = p.pos AN
 LEFT JOIN proofs q ON q.source IS NOT DISTINCT FROM p.source AND q.leaf_pos = p.pos
 """
 
+#: All pairs that share a shingle, counted; then everything that links reach.
+_OP9 = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+           lambda word: word <> '') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(
+    CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+         ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS shingle
+  FROM texts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * k >= 90 * (x.n + y.n - k)),
+reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b)
+SELECT r.a AS doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM reached r LEFT JOIN sizes ON sizes.doc_id = r.a GROUP BY r.a
+"""
+
 #: Tokenizers, trained models and filling by turns are beyond SQL; tests/llm compares with plain Python instead.
-ORACLES: dict[str, str] = {"op11_merkle": _OP11, "op12_line_dedup": _OP12}
+ORACLES: dict[str, str] = {"op9_jaccard": _OP9, "op11_merkle": _OP11, "op12_line_dedup": _OP12}
