@@ -9,6 +9,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+STATE_VARIABLES_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app_name: str = "logweft", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings used by the tests and the bench."""
     builder = SparkSession.builder.appName(app_name)
@@ -19,6 +23,7 @@ def build_session(app_name: str = "logweft", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        STATE_STORE: STATE_VARIABLES_STORE,
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
@@ -27,6 +32,15 @@ def build_session(app_name: str = "logweft", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+def use_state_variables(spark: SparkSession) -> None:
+    """Let streams that start from now on keep state variables, which the default state store can't.
+
+    Streams that have a checkpoint go on with the store they began with.
+    """
+    if spark.conf.get(STATE_STORE).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_STORE, STATE_VARIABLES_STORE)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder of the cluster: ``spark.checkpoint.dir`` if it is set.
 
