@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from logweft import jobs
@@ -931,14 +931,22 @@ def _type_folder() -> Column:
 
 
 @query("read_results", _TYPED_WINDOWS + f"""
-SELECT analysis_type, 'pipeline' AS type, true AS success, true AS sized, min(window_index)::BIGINT AS first_window,
-       md5({_case('analysis_type', _CANNED)}) AS analysis FROM typed GROUP BY analysis_type""")
+SELECT source, window_index, token_count AS window_tokens, analysis_type, md5({_case('analysis_type', _CANNED)}) AS analysis,
+       'pipeline' AS kind, 'pipeline' AS type, true AS success, true AS sized,
+       min(window_index) OVER (PARTITION BY analysis_type)::BIGINT AS first_window,
+       md5({_case('analysis_type', _CANNED)}) AS file_analysis FROM typed""")
 def read_results(spark, sf_dir):
-    """Result files, those of an analysis type taken together: how many there are depends on the tasks that wrote them."""
-    found = results.read_results(spark, _land_results(spark, sf_dir))
-    return found.groupBy(_type_folder().alias("analysis_type"), "type").agg(
-        F.bool_and("success").alias("success"), F.bool_and(F.col("size") > 0).alias("sized"),
-        F.min("meta.window_index").cast("long").alias("first_window"), F.md5(F.min("analysis")).alias("analysis"))
+    """Every record beside what is said of its result file; files of an analysis type are taken together where their
+    number, which depends on the tasks that wrote them, would tell."""
+    path = _land_results(spark, sf_dir)
+    of_type = Window.partitionBy(_type_folder(), "type")
+    found = results.read_results(spark, path).select(
+        "path", "type", "success", (F.col("size") > 0).alias("sized"),
+        F.min("meta.window_index").over(of_type).cast("long").alias("first_window"),
+        F.md5("analysis").alias("file_analysis"))
+    return results.read_result_records(spark, path).select(
+        "path", "source", "meta.window_index", "meta.window_tokens", "analysis_type", F.md5("analysis").alias("analysis"),
+        "kind").join(found, "path").drop("path")
 
 
 @query("write_results", _TYPED_WINDOWS + f"""

@@ -177,3 +177,15 @@ def test_results_in_the_form_they_have(spark, tmp_path):
     found = {r.file: (r.type, r.success, r.analysis) for r in read_results(spark, str(tmp_path)).collect()}
     assert found["none.json"] == ("unknown", False, None)
     assert found["array.json"] == found["pretty.json"] == ("pipeline", True, "a0")
+
+
+def test_read_results_query_returns_every_record(spark, tmp_path):
+    import __spark_entry__ as driver
+
+    rows = [(i, "\n".join(f"{topic} of line {j} " + "y" * 90 for j in range(60))) for i, topic in enumerate(["memory", "harmless", "memory"])]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    found = driver.queries()["read_results"](spark, str(tmp_path)).collect()
+    windows = [(r.source, r.window_index) for r in driver.queries()["write_results"](spark, str(tmp_path)).collect()]
+    assert len(windows) > 12 and sorted((r.source, r.window_index) for r in found) == sorted(windows)
+    assert all((r.kind, r.type, r.success, r.sized, r.first_window) == ("pipeline", "pipeline", True, True, 0) for r in found)
+    assert {r.analysis_type for r in found} == {"memory", "general"} and all(r.analysis == r.file_analysis for r in found)
