@@ -37,8 +37,9 @@ MIN_CHUNK_ROWS = 65536
 CHUNK_REACHES = 16
 WHOLE_SOURCE_TOKENS = 2_000_000
 EMPTY_BUCKET = 65536
-BUFFER_ROWS = 65536
-BUFFER_BYTES = 32 << 20
+# What a task holds of its rows at a time; contents leave in batches of at most twice so many bytes.
+BUFFER_ROWS = 16384
+BUFFER_BYTES = 4 << 20
 
 PACKED_SCHEMA = (
     "source string, window_index int, total_windows int, start_line long, end_line long, "
@@ -352,22 +353,31 @@ def _emit(table: pa.Table, chunk_rows: int, budget: Budget, final: bool):
     return groups.runs(np.concatenate([groups.chains(live), open_starts])), rest
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches cut to at most ``rows`` rows and about ``BUFFER_BYTES``, however many rows Spark has put into one."""
+    for batch in batches:
+        step = max(1, min(rows, batch.num_rows * BUFFER_BYTES // max(1, batch.nbytes)))
+        for start in range(0, batch.num_rows, step):
+            yield batch.slice(start, step)
+
+
 def _stream_function(budget: Budget, chunk_rows: int, buffer_rows: int):
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest, waiting, rows, size = None, [], 0, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        enough_rows, enough_bytes = buffer_rows, BUFFER_BYTES
+        for batch in _slices(batches, buffer_rows):
             waiting.append(batch)
             rows += batch.num_rows
             size += batch.nbytes
-            if rows < buffer_rows and size < BUFFER_BYTES:
+            if rows < enough_rows and size < enough_bytes:
                 continue
             table = pa.Table.from_batches(waiting)
             table = pa.concat_tables([rest, table]) if rest is not None else table
             out, rest = _emit(table.combine_chunks(), chunk_rows, budget, final=False)
             yield from out
             waiting, rows, size = [], 0, 0
+            # Rows of an open group are seen again, so no sooner than as many new ones are there.
+            enough_rows, enough_bytes = max(buffer_rows, rest.num_rows), max(BUFFER_BYTES, rest.nbytes)
         table = pa.Table.from_batches(waiting) if waiting else None
         if rest is not None:
             table = pa.concat_tables([rest, table]) if table is not None else rest

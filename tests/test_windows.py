@@ -1,12 +1,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from logweft.config import WindowConfig
-from logweft.operators.packing import Budget, run_ends
+from logweft.operators.packing import BUFFER_ROWS, Budget, _stream_function, run_ends
 from logweft.operators.windows import (
     covered_lines,
     filter_windows,
@@ -312,3 +313,32 @@ def test_scorers_get_the_timeout(spark):
     told = score_payloads(requests, lambda payload, timeout: f"{payload}{timeout}").collect()
     assert sorted(r.analysis for r in told) == ["p7", "q9"]
     assert sorted(r.analysis for r in score_payloads(requests, lambda payload: payload * 2).collect()) == ["pp", "qq"]
+
+
+@pytest.mark.parametrize("sources, lines", [(1, 40_000), (400, 100)])
+def test_a_task_holds_little_of_its_rows(sources, lines):
+    """Batches of 10,000 rows of a kilobyte each, as Spark hands them over, from one long source and from many short ones."""
+    expected = len(folds.windows([10] * lines, 200, 0.2))
+
+    def batches():
+        if sources == 1:  # a long source opens with its marker: entry, runs before, runs in all
+            yield batch(["=s0"], [-1], [0], [None], [0], [expected])
+        for start in range(0, sources * lines, 10_000):
+            row = np.arange(start, start + 10_000)
+            pos = row % lines
+            yield batch([f"=s{i}" for i in row // lines], pos, row * 0 + 10, [f"{i:01000d}" for i in pos], pos, pos)
+
+    def batch(source, pos, tokens, value, first, last):
+        columns = [pa.array(source), pa.array([0] * len(pos)), pa.array(pos), pa.array(tokens), pa.array(value, pa.string()),
+                   pa.array(first), pa.array(last)]
+        return pa.RecordBatch.from_arrays(columns, ["source", "chunk", "pos", "tokens", "value", "first", "last"])
+
+    before, runs, largest, held = pa.total_allocated_bytes(), 0, 0, 0
+    for out in _stream_function(Budget(200, 40, True), 65536, BUFFER_ROWS)(batches()):
+        lines_in = [len(c.split("\n")) for c in out["content"].to_pylist()]
+        assert [10 * n for n in lines_in] == out["token_count"].to_pylist()
+        assert set(out["total_windows"].to_pylist()) == {expected}
+        runs += out.num_rows
+        largest, held = max(largest, out.nbytes), max(held, pa.total_allocated_bytes() - before)
+    assert runs == sources * expected
+    assert largest < 16 << 20 and held < 64 << 20
