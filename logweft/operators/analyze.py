@@ -6,7 +6,7 @@ import inspect
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweft.config import WindowConfig
@@ -15,10 +15,15 @@ from logweft.functions.classify import DEFAULT_TYPES, AnalysisTypes, analysis_co
 from logweft.functions.prompts import META_FIELDS, canned_analysis, processed_at, request_payload, selection_payload, user_prompt
 from logweft.operators.lines import recent_logs
 from logweft.operators.windows import text_windows
+from logweft.session import new_shared_path, remove_shared
 
 #: Request body to answer; one that has a parameter ``timeout`` is also given the type's seconds.
 Scorer = Callable[..., str]
 
+# Requests in one file, and bytes of such files (compressed) for one task of a round.
+REQUESTS_PER_FILE = 5000
+TASK_BYTES = 64 << 20
+
 
 def window_meta(meta: dict[str, Column], run_ts: str | Column) -> Column:
     """Caller's meta plus the window's index, count, tokens and lines.
@@ -83,18 +88,46 @@ def _score_function(scorer: Scorer):
     return score
 
 
-def score_payloads(requests: DataFrame, scorer: Scorer, max_parallel: int | None = None) -> DataFrame:
+def _rounds(spark: SparkSession, path: str, most: int) -> list[list[str]]:
+    """The files below ``path`` in runs of at most ``most`` bytes, or of one file."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length").orderBy("path").collect()
+    rounds, size = [], most
+    for file, length in files:
+        if size + length > most:
+            rounds.append([])
+            size = 0
+        rounds[-1].append(file)
+        size += length
+    return rounds
+
+
+def score_payloads(
+    requests: DataFrame, scorer: Scorer, max_parallel: int | None = None, task_bytes: int = TASK_BYTES
+) -> DataFrame:
     """Run ``scorer`` (request body -> answer text) on ``payload`` of every row; failures become rows.
 
     Seconds in a column ``timeout`` reach a scorer that takes them; it stops its call itself.
 
-    ``max_parallel`` bounds the number of concurrent calls.  A task may be run again after a loss, so the
-    scorer should not mind a repeated request.
+    ``max_parallel`` bounds the number of concurrent calls.  So few tasks should not hold all requests: these are
+    written to the shared folder and scored in rounds, one after the other, in which a task gets about ``task_bytes``
+    of them.  A task may be run again after a loss, so the scorer should not mind a repeated request.
     """
-    spread = requests.repartition(max_parallel) if max_parallel else requests
-    kept = [f for f in spread.schema.fields if f.name != "payload"]
+    kept = [f for f in requests.schema.fields if f.name != "payload"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
-    return spread.mapInPandas(_score_function(scorer), f"{schema}, analysis string, success boolean, error string")
+    schema += ", analysis string, success boolean, error string"
+    score = _score_function(scorer)
+    if not max_parallel:
+        return requests.mapInPandas(score, schema)
+    if requests.isStreaming:  # a batch is a round
+        return requests.repartition(max_parallel).mapInPandas(score, schema)
+    spark = requests.sparkSession
+    asked, scored = new_shared_path(spark, "requests"), new_shared_path(spark, "scored")
+    requests.write.option("maxRecordsPerFile", REQUESTS_PER_FILE).parquet(asked)
+    for files in _rounds(spark, asked, max_parallel * task_bytes):
+        part = spark.read.schema(requests.schema).parquet(*files).repartition(max_parallel)
+        part.mapInPandas(score, schema).write.mode("append").parquet(scored)
+    remove_shared(spark, asked)
+    return spark.read.schema(schema).parquet(scored)
 
 
 def analyze_windows(

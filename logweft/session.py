@@ -63,6 +63,12 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def remove_shared(spark: SparkSession, path: str) -> None:
+    """Remove a path below the shared folder that nothing reads any more."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found.getFileSystem(spark._jsc.hadoopConfiguration()).delete(found, True)
+
+
 def cut_lineage(df):
     """Write ``df`` to the reliable checkpoint folder and go on from there."""
     shared_dir(df.sparkSession)

@@ -104,6 +104,24 @@ def test_scorer_failures_become_rows(spark):
     assert rows[1].error == "RuntimeError: no answer"
 
 
+def test_many_requests_are_scored_in_rounds(spark):
+    from pyspark import TaskContext
+
+    from logweft.operators.analyze import score_payloads
+
+    def scorer(payload):
+        context = TaskContext.get()
+        return f"{context.stageId()} {context.partitionId()} {payload}"
+
+    requests = spark.range(12_000, numPartitions=1).selectExpr("id", "cast(id as string) as payload")
+    rows = [(r.id, *map(int, r.analysis.split())) for r in score_payloads(requests, scorer, 2, task_bytes=1).collect()]
+    assert sorted(r[0] for r in rows) == list(range(12_000)) and all(r[0] == r[3] for r in rows)
+    assert len({r[1] for r in rows}) == 3  # a round per file here, each in a job and stage of its own
+    assert {r[2] for r in rows} == {0, 1}
+    assert max(sum((r[1], r[2]) == task for r in rows) for task in {(r[1], r[2]) for r in rows}) < 3000
+    assert score_payloads(requests.limit(0), scorer, 2).count() == 0
+
+
 def test_canned_answers(spark):
     rows = analyze_windows(windows(spark, "sql", "heap", "nothing", "attack"), run_ts="t").collect()
     answers = {r.analysis_type: r.analysis for r in rows}
