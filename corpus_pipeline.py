@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logweft.llm import decontaminate, jaccard, packing, pii, quality
-from logweft.llm.landing import landed
+from logweft.llm.landing import landed, small
 from logweft.llm.queries import VOCABULARY
 
 #: Documents below this score go.
@@ -27,11 +27,14 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, 0.8): that with the smallest id, and of the rows of
     an id that which is least by all its columns.  Documents without words, and rows without an id, stay."""
-    found = jaccard.near_duplicates(docs, jaccard.JaccardConfig(words=5, percent=80))
+    config = jaccard.JaccardConfig(words=5, percent=80)
+    found = jaccard.near_duplicates(docs, config)
     ids = found.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         F.min("component_id").alias("component_id"), F.count("*").alias("n"))
-    several = ids.where("n > 1 and component_id = doc_id").select("doc_id")
-    gone = ids.where("component_id < doc_id or n > 1").select("doc_id")
+    # Texts are shuffled for many ids only.
+    named = landed(ids.where("component_id < doc_id or n > 1"), "duplicates")
+    several = small(named.where("component_id = doc_id").select("doc_id"), config.broadcast_rows)
+    gone = small(named.select("doc_id"), config.broadcast_rows)
     one_each = docs.join(several, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns).unionByName(one_each.select("row.*"))
 

@@ -12,14 +12,19 @@ a cell.  The number of buckets is fixed per band of set sizes, and a set that ma
 there too.  Buckets may be empty, so there are a few more than needed, and a set with more empty ones than that also
 has keys for them: no pair is lost.
 
+A set with fewer empty buckets than that has more keys in common with any set it links with than one, say ``s`` more.
+So it leaves its ``s`` largest cells: of the common keys of two sets, the one with the smallest cell has at least
+``s`` others after it, in either set, and stays in both.  Passages that many texts share make the largest cells.
+
 1. Keys and points of all texts (one pass), once per set and task.  Equal sets are one from here on.
-2. Cells of at least two different sets, by an aggregation that keeps two numbers per key.
+2. Cells of at least two different sets, and of these the ones a set stays in, by windows over keys and over sets.
 3. Stars: every set against one leader, the smallest set of most of its cells, bound first, then verified; components
    of these links.  In cells that still have several components, members against the cell's smallest and largest sets
    where components differ.
-4. Cells of four or more sets that still have several components: an R-tree per cell, cells of more than ``chunk``
-   sets in pairs of chunks; candidates of different components are verified.  A large group of near copies is one
-   component after step 3, so its pairs are never listed.
+4. Cells of four or more sets that still have several components: an R-tree for all those with the same smallest set,
+   or per cell where that is less work or they have more than ``chunk`` sets between them, cells of more than that in pairs of chunks;
+   candidates of different components are verified.  A large group of near copies is one component after step 3, so
+   its pairs are never listed.
 5. Components of all links, and of the texts of one id.
 
 To verify pairs, each text is sent once to the set it is compared with, together with others that are; a set with many
@@ -44,7 +49,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logweft.llm.components import components
@@ -131,9 +136,10 @@ class Bands:
         return range(self.band(size), self.band(size * 100 // self.percent) + 1)
 
 
-def cell_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys of the cells a set belongs to."""
-    keys = []
+def cell_keys(shingles: np.ndarray, bands: Bands) -> list[tuple[np.ndarray, int]]:
+    """Per band the keys of the cells a set belongs to, and how many of them, the same for all by some order of all keys,
+    it can do without: that many more than one it has in common with any set it links with."""
+    found = []
     spread = mix(shingles ^ GOLDEN)
     for band in bands.of(len(shingles)):
         buckets, spare = bands.buckets(band)
@@ -146,11 +152,13 @@ def cell_keys(shingles: np.ndarray, bands: Bands) -> np.ndarray:
         with np.errstate(over="ignore"):
             contents = np.add.reduceat(spread[order] * GOLDEN, starts)
             names = mix(sorted_buckets[starts] + np.uint64(band << 40))
-            keys.append(mix(contents + names))
-            if buckets - len(starts) > spare:
+            keys = mix(contents + names)
+            more = spare - (buckets - len(starts))
+            if more < 0:
                 empty = np.setdiff1d(np.arange(buckets, dtype=np.uint64), sorted_buckets[starts])
-                keys.append(mix(mix(empty + np.uint64(band << 40)) + np.uint64(1)))
-    return np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
+                keys = np.append(keys, mix(mix(empty + np.uint64(band << 40)) + np.uint64(1)))
+        found.append((keys.view(np.int64), max(more, 0)))
+    return found
 
 
 def point(shingles: np.ndarray, config: JaccardConfig) -> np.ndarray:
@@ -159,7 +167,15 @@ def point(shingles: np.ndarray, config: JaccardConfig) -> np.ndarray:
     while groups * config.load < len(shingles):
         groups *= 2
     counts = np.bincount((mix(shingles + np.uint64(77)) & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
-    return counts.astype(np.int16)  # about ``load``
+    kind = np.dtype(_coordinate(config)[1])
+    if counts.max(initial=0) > np.iinfo(kind).max:
+        raise OverflowError(f"{counts.max()} shingles in one group; load {config.load} takes {np.iinfo(kind).max}")
+    return counts.astype(kind)
+
+
+def _coordinate(config: JaccardConfig) -> tuple[str, str]:
+    """Types of a point's coordinates in Spark and numpy: they are about ``load``."""
+    return ("byte", "int8") if config.load <= 16 else ("short", "int16")
 
 
 def folded(points: list) -> np.ndarray:
@@ -176,9 +192,10 @@ def _shingles(words: int) -> Shingles:
 
 
 def keyed_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
-    """``doc_id, n_shingles, set_id, keys, point`` of every row; only the first row of a set in a task has its keys and
-    point, and an empty set has neither these nor an id."""
+    """``doc_id, n_shingles, set_id, keys, spares, point`` of every row; only the first row of a set in a task has its
+    keys and point, and an empty set has neither these nor an id.  Keys and spares are by band."""
     rows = docs.select("doc_id", "text")
+    coordinate = _coordinate(config)
 
     def run(batches):
         shingles, bands, seen = _shingles(config.words), Bands(config.percent, config.growth), set()
@@ -193,14 +210,36 @@ def keyed_sets(docs: DataFrame, config: JaccardConfig) -> DataFrame:
                     seen.add(name)
                 if len(seen) > 1_000_000:
                     seen.clear()
+                keys = [cell_keys(s, bands) if n else None for s, n in zip(sets, new, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(names, pa.int64()),
-                    pa.array([cell_keys(s, bands) if n else None for s, n in zip(sets, new, strict=True)], pa.list_(pa.int64())),
-                    pa.array([point(s, config) if n else None for s, n in zip(sets, new, strict=True)], pa.list_(pa.int16())),
-                ], ["doc_id", "n_shingles", "set_id", "keys", "point"])
+                    pa.array([k and [x for x, _ in k] for k in keys], pa.list_(pa.list_(pa.int64()))),
+                    pa.array([k and [x for _, x in k] for k in keys], pa.list_(pa.int64())),
+                    pa.array([point(s, config) if n else None for s, n in zip(sets, new, strict=True)], pa.list_(pa.from_numpy_dtype(coordinate[1]))),
+                ], ["doc_id", "n_shingles", "set_id", "keys", "spares", "point"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_id long, keys array<long>, point array<short>")
+    return rows.mapInArrow(
+        run, f"doc_id {kind}, n_shingles long, set_id long, keys array<array<long>>, spares array<long>, point array<{coordinate[0]}>")
+
+
+def cell_members(sets: DataFrame) -> DataFrame:
+    """``key, set_id, least, most, size`` of cells of two different sets or more, after every set has left the largest
+    of its cells that it can do without; cells of equal size are told apart by their keys."""
+    of_key = Window.partitionBy("key")
+
+    def shared(members: DataFrame) -> DataFrame:
+        return members.withColumns({"least": F.min("set_id").over(of_key), "most": F.max("set_id").over(of_key)}).where("least < most")
+
+    # Bands are told apart by the upper half of ``spare``.
+    keyed = sets.where(F.col("keys").isNotNull()).select("set_id", "spares", F.posexplode("keys").alias("band", "keys")).select(
+        "set_id", F.shiftleft(F.col("band").cast("long"), 32).bitwiseOR(F.col("spares")[F.col("band")]).alias("spare"),
+        F.explode("keys").alias("key"))
+    # A set comes from several tasks.
+    sized = shared(keyed).select("key", "set_id", "spare").distinct().withColumn("size", F.count("*").over(of_key))
+    place = F.row_number().over(Window.partitionBy("set_id", "spare").orderBy(F.desc("size"), "key"))
+    stay = sized.withColumn("place", place).where(F.col("place") > F.col("spare").bitwiseAND(F.lit(0xFFFFFFFF))).select("key", "set_id")
+    return shared(stay).withColumn("size", F.count("*").over(of_key))
 
 
 # --- R-tree ------------------------------------------------------------------------------------------------
@@ -362,13 +401,7 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     classes = scratch.land(rows.where(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull()).groupBy("set_id").agg(
         F.min("doc_id").alias("first_id")), "classes")
 
-    keyed = sets.where(F.col("keys").isNotNull()).select("set_id", F.explode("keys").alias("key"))
-    cells = scratch.land(
-        keyed.groupBy("key").agg(F.min("set_id").alias("least"), F.max("set_id").alias("most"))
-        .where("least < most"), "cells")
-    members = scratch.land(
-        keyed.join(small(cells, config.broadcast_rows), "key").select("key", "least", "most", "set_id").distinct(), "members")
-    scratch.drop("cells")
+    members = scratch.land(cell_members(sets), "members")
 
     # One point per set of a cell.
     inside = members.select("set_id").distinct()
@@ -378,25 +411,29 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     scratch.drop("keys")
     verifier = _Verifier(docs, points, classes, config, scratch)
 
-    led = members.where("set_id <> least").groupBy("set_id", "least").count()
+    led = scratch.land(members.where("set_id <> least").groupBy("set_id", "least").count(), "led")
     stars = led.groupBy("set_id").agg(F.max_by("least", F.struct("count", "least")).alias("a")).select("a", F.col("set_id").alias("b"))
     links = verifier.links(stars, "first-links")
-    labels = components(links)
-
-    still = _open(members, labels, 2)
-    to_least = still.where("set_id <> least and label <> least_label").select(F.col("least").alias("a"), F.col("set_id").alias("b"))
-    to_most = still.where("set_id <> most and set_id <> least and label <> most_label").select(
-        F.col("set_id").alias("a"), F.col("most").alias("b"))
-    stars = scratch.land(to_least.unionByName(to_most).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "stars")
-    links = links.unionByName(verifier.links(stars, "second-links"))
-    labels = components(links)
+    labels = small(scratch.land(components(links), "first-labels"), config.broadcast_rows)
 
-    rest = scratch.land(_open(members, labels, 4).where("set_id <> least and set_id <> most").select(
-        "key", "size", "set_id", "label"), "rest")
+    to_least = led.select(F.col("least").alias("a"), F.col("set_id").alias("b"))
+    to_most = members.where("set_id <> most and set_id <> least").select(F.col("set_id").alias("a"), F.col("most").alias("b"))
+    both = _labelled(_labelled(to_least.unionByName(to_most.distinct()), labels, "a"), labels, "b")
+    stars = scratch.land(both.where("a_label <> b_label").select("a", "b").distinct(), "stars")
+    scratch.drop("led")
+    links = links.unionByName(verifier.links(stars, "second-links"))
+    labels = small(scratch.land(components(links), "second-labels"), config.broadcast_rows)
+
+    # Cells of four sets or more that still have several labels, without the sets that all others were compared with.
+    of_key = Window.partitionBy("key")
+    rest = scratch.land(
+        _labelled(members.where("size >= 4"), labels, "set_id").withColumnRenamed("set_id_label", "label")
+        .withColumns({"lowest": F.min("label").over(of_key), "highest": F.max("label").over(of_key)})
+        .where("lowest < highest and set_id <> least and set_id <> most").select("key", "least", "size", "set_id", "label"), "rest")
     scratch.drop("members")
+    dealt = scratch.land(_by_leader(rest, config), "dealt")
     pairs = scratch.land(
-        _chunked_pairs(rest.join(points.select("set_id", "point"), "set_id"), config).distinct(), "pairs")
+        _chunked_pairs(dealt.join(points.select("set_id", "point"), "set_id"), config).distinct(), "pairs")
     links = links.unionByName(verifier.links(pairs, "third-links"))
 
     # The texts of one id are one document.
@@ -419,24 +456,33 @@ def near_duplicates(docs: DataFrame, config: JaccardConfig = JaccardConfig()) ->
     return result
 
 
-def _open(members: DataFrame, labels: DataFrame, least_size: int) -> DataFrame:
-    """Members, with their labels, of cells that have ``least_size`` sets or more and more than one label."""
-    labelled = members.join(labels.select(F.col("node").alias("set_id"), "label"), "set_id", "left").withColumn(
-        "label", F.coalesce("label", "set_id"))
-    cells = labelled.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("label").alias("l"), F.max("label").alias("m"),
-        F.max(F.when(F.col("set_id") == F.col("least"), F.col("label"))).alias("least_label"),
-        F.max(F.when(F.col("set_id") == F.col("most"), F.col("label"))).alias("most_label"),
-    ).where((F.col("size") >= least_size) & (F.col("l") < F.col("m")))
-    return labelled.join(cells.select("key", "size", "least_label", "most_label"), "key")
+def _labelled(frame: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """``frame`` with the label of the set in ``column``; a set without links is its own label."""
+    of = labels.select(F.col("node").alias(column), F.col("label").alias(f"{column}_label"))
+    return frame.join(of, column, "left").withColumn(f"{column}_label", F.coalesce(f"{column}_label", column))
+
+
+#: What it takes to ask a tree at all, in sets of the tree.
+ASKING = 1_000
+
+
+def _by_leader(rest: DataFrame, config: JaccardConfig) -> DataFrame:
+    """``led, key, size, set_id, label``: cells with the same smallest set as one, since mostly the same sets meet there,
+    if that is no more work and they have no more than ``chunk`` sets between them; the others as they are."""
+    together = rest.groupBy("least", "set_id", "label").agg(F.sum(F.col("size") + ASKING).alias("apart"))
+    leaders = together.groupBy("least").agg(F.count("*").alias("sets"), F.sum("apart").alias("apart")).withColumn(
+        "led", (F.col("sets") <= config.chunk) & (F.col("sets") * (F.col("sets") + ASKING) <= F.col("apart")))
+    one = together.drop("apart").join(leaders.where("led"), "least").select("led", F.col("least").alias("key"), F.col("sets").alias("size"), "set_id", "label")
+    apart = rest.join(leaders.where("not led").select("least", "led"), "least").select("led", "key", "size", "set_id", "label")
+    return one.unionByName(apart)
 
 
 def _chunked_pairs(rest: DataFrame, config: JaccardConfig) -> DataFrame:
-    """Candidate pairs of the open cells, each pair of chunks of a cell in a group of its own."""
+    """Candidate pairs of the open cells (``led, key``), each pair of chunks of a cell in a group of its own."""
     chunks = F.ceil(F.col("size") / config.chunk).cast("int")
     own = F.pmod(F.xxhash64("set_id", F.lit(5)), chunks).cast("int")
     dealt = rest.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     grouped = dealt.select(
-        "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        "led", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         (F.col("own") > F.col("other")).cast("int").alias("side"), "set_id", "label", "point")
-    return grouped.groupBy("key", "i", "j").applyInPandas(lambda rows: cell_pairs(rows, config), "a long, b long")
+    return grouped.groupBy("led", "key", "i", "j").applyInPandas(lambda rows: cell_pairs(rows, config), "a long, b long")

@@ -436,3 +436,49 @@ def test_dictionary_counts_all_documents(spark):
     assert len(secrets.dictionary(many, secrets.SecretConfig(word_share=0.0001, word_docs=1))) == 7000
     few = spark.createDataFrame([(k, f'known words beside AKIAabcdfgh1/ghij=x and seldom{k}') for k in range(5)], 'doc_id long, text string')
     assert secrets.dictionary(few) == {'known', 'words', 'beside', 'and'}
+
+
+def test_sets_leave_their_largest_cells_and_lose_no_link():
+    import numpy as np
+
+    bands, draw = jaccard.Bands(80, 1.5), np.random.default_rng(3)
+    for n in (12, 60, 300, 900):
+        own = draw.integers(0, 2**63, n, np.uint64)
+        differ = n * 20 // 180  # as many new ones as gone: 80 * union = 100 * intersection at most
+        other = np.append(own[differ:], draw.integers(0, 2**63, differ, np.uint64))
+        sides = [jaccard.cell_keys(np.unique(x), bands) for x in (own, other)]
+        common = set(np.concatenate([k for k, _ in sides[0]]).tolist()) & set(np.concatenate([k for k, _ in sides[1]]).tolist())
+        for _ in range(50):
+            # Cells of common keys as the largest ones, in any order.
+            size = {k: draw.random() + (k in common) for side in sides for keys, _ in side for k in keys.tolist()}
+            stay = [{k for keys, more in side for k in sorted(keys.tolist(), key=lambda k: -size[k])[more:]} for side in sides]
+            assert stay[0] & stay[1]
+    assert any(more for _, more in sides[0])
+
+
+def _with_passage(n_texts):
+    """Texts of their own words but for a passage of 15 of their 200, and two near copies."""
+    texts = {i: " ".join([f"p{k}" for k in range(15)] + [f"w{i}-{k}" for k in range(185)]) for i in range(n_texts)}
+    return texts | {n_texts: texts[0] + " end", n_texts + 1: texts[1] + " end"}
+
+
+def test_texts_with_a_common_passage_do_not_meet_for_it(spark):
+    config = jaccard.JaccardConfig(words=5, percent=80)
+    texts = _with_passage(60)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert jaccard.keyed_sets(docs, config).schema["point"].dataType.simpleString() == "array<tinyint>"
+    sets = jaccard.keyed_sets(docs.where("doc_id between 2 and 59"), config)
+    shared = [k for r in sets.collect() for keys in r["keys"] for k in keys]
+    shared = [k for k in shared if shared.count(k) > 1]
+    met = [r["key"] for r in jaccard.cell_members(sets).collect()]
+    assert set(met) <= set(shared) and 4 * len(met) < 3 * len(shared)
+    found = jaccard.near_duplicates(docs, config).collect()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id != r.component_id} == {60: 0, 61: 1}
+
+
+@pytest.mark.parametrize("chunk", [3, 8_000])
+def test_cells_of_one_leader_are_searched_once(spark, chunk):
+    config = jaccard.JaccardConfig(chunk=chunk)
+    rows = [(key, 1, 6, s, s) for key in range(20) for s in range(2, 6)]
+    dealt = jaccard._by_leader(spark.createDataFrame(rows, "key long, least long, size long, set_id long, label long"), config)
+    assert dealt.count() == (4 if chunk > 3 else 80)
