@@ -31,9 +31,13 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import gc
 import hashlib
+import itertools
 import json
+import operator
 import re
 from dataclasses import dataclass, field
 
@@ -74,6 +78,8 @@ class Aligned:
 #: A space between two characters that are no white space.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
+_ID, _END = operator.attrgetter("id"), operator.attrgetter("end")
+
 #: Segments that a worker remembers, twice as many at most.
 REMEMBERED = 150_000
 
@@ -93,6 +99,18 @@ def refined(begins: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> np.nda
     return total + since
 
 
+@contextlib.contextmanager
+def _uncollected():
+    """Without looking for cycles: what is made meanwhile are strings, numbers and very many tuples of these."""
+    before = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if before:
+            gc.enable()
+
+
 class Aligner:
     """Both tokenizers; one per worker."""
 
@@ -133,17 +151,18 @@ class Aligner:
         links = x.a[x.a_ends - 1] << 32 | x.b[x.b_ends - 1]
         written = list(map(self.writing.__getitem__, self._codes(x).tolist()))
         # Segments end where both end; of each, the groups, and the tokens up to there.
-        sizes = np.fromiter((len(s.encode()) + 1 for s in segments), np.int64, len(segments))
+        sizes = np.fromiter(map(len, map(str.encode, segments)), np.int64, len(segments)) + 1
         upto = np.append(0, np.searchsorted(x.cuts, np.cumsum(sizes)) + 1)
         a_upto, b_upto = np.append(0, x.a_ends)[upto], np.append(0, x.b_ends)[upto]
         at, n_a, n_b, upto = (v.tolist() for v in (a_upto + b_upto, np.diff(a_upto), np.diff(b_upto), upto))
         return {s: ("".join(written[at[k]: at[k + 1]])[:-1], links[upto[k]: upto[k + 1]].tobytes(), n_a[k], n_b[k])
                 for k, s in enumerate(segments)}
 
+    @_uncollected()
     def whole(self, texts: list[str | None]) -> list[tuple[str, bytes, int, int]]:
         """The same of whole texts, segment by segment; without tokens where bytes are lost."""
         parts = [(_CUT.split(t) if self.cuts else [t]) if t else [] for t in texts]
-        wanted = {p for own in parts for p in own}
+        wanted = set().union(*parts)
         for segment in wanted.intersection(self.earlier):
             self.known[segment] = self.earlier.pop(segment)
         new = wanted.difference(self.known)
@@ -156,17 +175,20 @@ class Aligner:
         for segment in alone:
             learned |= self._learn([segment])
         known = self.known
+        known.update(learned)
         out = []
         for own in parts:
-            found = [known[p] if p in known else learned[p] for p in own]
+            found = list(map(known.__getitem__, own))
             if not found or None in found:
                 out.append(("", b"", 0, 0))
                 continue
             groups, links, n_a, n_b = zip(*found, strict=True)
             out.append((";".join(groups), b"".join(links), sum(n_a), sum(n_b)))
+        for segment in learned:
+            if len(segment) >= 48:
+                del known[segment]
         if len(known) > REMEMBERED:
             self.known, self.earlier = {}, known
-        self.known.update((p, x) for p, x in learned.items() if len(p) < 48)
         return out
 
     def align(self, text: str | None) -> Aligned:
@@ -180,7 +202,7 @@ class Aligner:
         if b"".join(map(self.a_bytes.__getitem__, ids)) != data:
             return _NONE
         a = np.array(ids, np.int64)
-        spans = np.array(coded.offsets, np.int64).reshape(-1, 2)
+        spans = np.fromiter(itertools.chain.from_iterable(coded.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
         if len(data) != len(whole):
             points = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
             widths = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
@@ -188,12 +210,12 @@ class Aligner:
         a_ends = refined(spans[:, 0], spans[:, 1], self.a_lengths[a])
 
         found = self.pieces.encode(text, return_type="proto").pieces
-        ids = [p.id for p in found]
+        ids = list(map(_ID, found))
         if b"".join(map(self.b_bytes.__getitem__, ids)) != data:
             return _NONE
         b = np.array(ids, np.int64)
         # A span begins where the last one ended; those of the proto do not count the space before the text.
-        ends = np.array([p.end for p in found], np.int64) + 1
+        ends = np.fromiter(map(_END, found), np.int64, len(ids)) + 1
         b_ends = refined(np.append(0, ends[:-1]), ends, self.b_lengths[b])
 
         common = np.intersect1d(a_ends, b_ends, assume_unique=True)

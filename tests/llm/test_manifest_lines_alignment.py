@@ -260,3 +260,20 @@ def test_long_runs_are_aligned():
     aligner = alignment.Aligner(ALIGN)
     for text in (" " * 300_000, "\n" * 300_000, "-" * 300_000):
         assert len(aligner.align(text).a)
+
+
+def test_segments_are_looked_up_without_collecting_garbage():
+    import gc
+
+    aligner, seen = alignment.Aligner(ALIGN), []
+    texts = [" ".join(f"w{k} x{k % 7}" for k in range(i, i + 2_000)) for i in range(0, 20_000, 2_000)] + ["a" * 60, None]
+    gc.collect()
+    gc.callbacks.append(note := lambda phase, info: seen.append(phase))
+    try:
+        found = aligner.whole(texts)
+        during = len(seen)
+    finally:
+        gc.callbacks.remove(note)
+    assert during <= 2 and gc.isenabled()  # the one that was due, begun and ended
+    assert found[-2][2] and found[-1] == ("", b"", 0, 0)
+    assert all(len(s) < 48 for s in aligner.known) and aligner.whole(["w5 x5"]) == alignment.Aligner(ALIGN).whole(["w5 x5"])
