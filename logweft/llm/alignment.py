@@ -17,7 +17,8 @@ Counts of linked pairs are over the whole corpus:
 
 1. One pass tokenises, aligns and writes blocks: per text its counts, the digest of its groups and its links as codes
    of the block's own pairs, most frequent first (codes are kept in byte planes, which compress); and per block its
-   pairs and their counts.
+   pairs and their counts.  A block is several rows, strips of some texts each, of which the first has the pairs: rows
+   of megabytes would be copied whole at every step, and fill the executors' heaps.
 2. Blocks' pairs are added up, with partial sums per task, and marked where they are their B id's most frequent: a
    B id has at most as many pairs as A has tokens.
 3. What a block asked for comes back to it: texts of a block are cogrouped with its pairs' counts.
@@ -47,17 +48,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweft.llm.landing import Scratch, landed, small
+from logweft.llm.landing import LONG_ROWS, Scratch, landed, small
 from logweft.llm.text import byte_letters, from_planes, planes
 
 
 @dataclass(frozen=True)
 class AlignConfig:
-    """``byte_vocabulary``: tokenizers' file (JSON); ``piece_model``: sentencepiece's file.  ``block_links``: about."""
+    """``byte_vocabulary``: tokenizers' file (JSON); ``piece_model``: sentencepiece's file.  ``block_links``: about;
+    ``strip_links``: at most, or one text."""
 
     byte_vocabulary: str
     piece_model: str
     block_links: int = 600_000
+    strip_links: int = 32_000
     broadcast_pairs: int = 1_000_000
 
 
@@ -83,6 +86,9 @@ _ID, _END = operator.attrgetter("id"), operator.attrgetter("end")
 #: Segments that a worker remembers, twice as many at most.
 REMEMBERED = 150_000
 
+#: Bytes of texts that a worker gets at once, or one text.
+BATCH_BYTES = 4 << 20
+
 _NONE = Aligned(*(np.empty(0, np.int64) for _ in range(5)))
 
 
@@ -278,23 +284,39 @@ class _Block:
         self.links.append(links)
         self.size += n_links + 50
 
-    def batch(self, number: int, id_type: pa.DataType) -> pa.RecordBatch:
+    def batch(self, number: int, id_type: pa.DataType, strip_links: int) -> pa.RecordBatch:
+        """The block's strips."""
         pairs, place, often = np.unique(np.frombuffer(b"".join(self.links), np.int64), return_inverse=True, return_counts=True)
         order = np.argsort(-often, kind="stable")
         code = np.empty(len(order), np.int32)
         code[order] = np.arange(len(order), dtype=np.int32)
-        pairs = pairs[order]
+        pairs, codes = pairs[order], code[place]
+        upto = np.append(0, np.cumsum([len(x) // 8 for x in self.links]))
+        strips = list(_strips(upto.tolist(), strip_links))
+        first = lambda v: [v] + [v[:0]] * (len(strips) - 1)
         columns = {
-            "block": pa.array([number], pa.int64()), "doc_ids": pa.array([self.doc_ids], pa.list_(id_type)),
-            **{name: pa.array([list(c)], pa.list_(pa.int64())) for name, c in zip(_COUNTS, zip(*self.counts, strict=True), strict=True)},
-            "digests": pa.array([self.digests], pa.list_(pa.string())), "written": pa.array([self.groups], pa.list_(pa.string())),
-            "codes": pa.array([planes(code[place])], pa.binary()),
-            "a": pa.array([(pairs >> 32).astype(np.int32)], pa.list_(pa.int32())),
-            "b": pa.array([(pairs & 0xFFFFFFFF).astype(np.int32)], pa.list_(pa.int32())),
-            "n": pa.array([often[order]], pa.list_(pa.int64()))}
+            "block": pa.array([number] * len(strips), pa.int64()),
+            "doc_ids": pa.array([self.doc_ids[i:j] for i, j in strips], pa.list_(id_type)),
+            **{name: pa.array([list(c[i:j]) for i, j in strips], pa.list_(pa.int64()))
+               for name, c in zip(_COUNTS, zip(*self.counts, strict=True), strict=True)},
+            "digests": pa.array([self.digests[i:j] for i, j in strips], pa.list_(pa.string())),
+            "written": pa.array([self.groups[i:j] for i, j in strips], pa.list_(pa.string())),
+            "codes": pa.array([planes(codes[upto[i]: upto[j]]) for i, j in strips], pa.binary()),
+            "a": pa.array(first((pairs >> 32).astype(np.int32)), pa.list_(pa.int32())),
+            "b": pa.array(first((pairs & 0xFFFFFFFF).astype(np.int32)), pa.list_(pa.int32())),
+            "n": pa.array(first(often[order]), pa.list_(pa.int64()))}
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
+def _strips(upto: list[int], limit: int):
+    """Begins and ends of runs of texts of ``limit`` links at most, or one; ``upto`` links end before each, and with all."""
+    begin = 0
+    for k in range(1, len(upto)):
+        if k + 1 == len(upto) or upto[k + 1] - upto[begin] > limit or k - begin >= 1_000:
+            yield begin, k
+            begin = k
+
+
 @functools.lru_cache(1)
 def _aligner(config: AlignConfig) -> Aligner:
     """One per worker, over all its tasks."""
@@ -302,7 +324,7 @@ def _aligner(config: AlignConfig) -> Aligner:
 
 
 def aligned_blocks(docs: DataFrame, config: AlignConfig, with_groups: bool = False) -> DataFrame:
-    """One row per block of a task's texts."""
+    """One row per strip of a block of a task's texts."""
     rows = docs.select("doc_id", "text")
 
     def run(batches):
@@ -315,10 +337,10 @@ def aligned_blocks(docs: DataFrame, config: AlignConfig, with_groups: bool = Fal
                 for doc_id, found in zip(part.column(0).to_pylist(), aligner.whole(part.column(1).to_pylist()), strict=True):
                     block.add(doc_id, *found, with_groups)
                     if block.size >= config.block_links:
-                        yield block.batch(number, kind)
+                        yield block.batch(number, kind, config.strip_links)
                         block, number = _Block(), number + 1
         if block.doc_ids:
-            yield block.batch(number, kind)
+            yield block.batch(number, kind, config.strip_links)
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(
@@ -334,8 +356,12 @@ def pair_counts(asked: DataFrame) -> DataFrame:
 
 def _finish(texts: pa.Table, answers: pa.Table) -> pa.Table:
     """The texts of a block with their links' counts."""
-    row = {c: texts.column(c).chunk(0) for c in texts.column_names}
-    codes = from_planes(row["codes"][0].as_py())
+    if _aligner.cache_info().currsize:  # this worker has aligned, and is done with that
+        _aligner.cache_clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    row = {c: texts.column(c).combine_chunks() for c in texts.column_names}
+    codes = np.concatenate([from_planes(strip.as_py()) for strip in row["codes"]])
     at = answers.column("code").to_numpy()
     count, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
     count[at], best[at] = answers.column("count").to_numpy(), answers.column("best").to_numpy(zero_copy_only=False)
@@ -355,7 +381,7 @@ def align(docs: DataFrame, config: AlignConfig, with_groups: bool = False) -> Da
     pair is the most frequent of its B id), ``count_sum`` (their counts added up) and ``groups_sha256``; with
     ``with_groups`` the groups themselves as text."""
     scratch = Scratch(docs.sparkSession, "alignment")
-    blocks = scratch.land(aligned_blocks(docs, config, with_groups), "blocks")
+    blocks = scratch.land(aligned_blocks(docs, config, with_groups), "blocks", BATCH_BYTES, **LONG_ROWS)
     asked = blocks.select("block", F.posexplode(F.arrays_zip("a", "b", "n")).alias("code", "pair")).select(
         F.col("block").alias("asking"), "code", "pair.a", "pair.b", "pair.n")
     counts = scratch.land(pair_counts(asked), "pairs")

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from logweft.session import new_shared_path
 
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+#: For rows of 100 KB and more.  Parquet looks at sizes after 100 rows only, and Spark's reader holds 4,096 rows of a
+#: row group at once: here pages and row groups end by their size, whatever the number of rows.
+LONG_ROWS = {"parquet.block.size": 4 << 20, "parquet.block.size.row.check.min": 1, "parquet.page.size.row.check.min": 1}
 
 
 def landed(frame: DataFrame, name: str) -> DataFrame:
@@ -21,8 +26,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.folder = spark, new_shared_path(spark, name)
 
-    def land(self, frame: DataFrame, name: str) -> DataFrame:
-        return _written(frame, f"{self.folder}/{name}")
+    def land(self, frame: DataFrame, name: str, arrow_bytes: int | None = None, **options) -> DataFrame:
+        """``options`` are of the writer; batches that go to Python meanwhile are of ``arrow_bytes`` at most, or one row."""
+        return _written(frame, f"{self.folder}/{name}", arrow_bytes, options)
 
     def drop(self, name: str = "") -> None:
         """Remove one table, or all of them."""
@@ -30,18 +36,22 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def _written(frame: DataFrame, path: str) -> DataFrame:
+def _written(frame: DataFrame, path: str, arrow_bytes: int | None = None, options: dict | None = None) -> DataFrame:
     """``frame`` as written to ``path``.
 
-    What was shuffled to write it is not needed again and is removed at once; the setting for that is put back.
+    What was shuffled to write it is not needed again and is removed at once; the settings for that and for the size of
+    batches are put back.
     """
     spark = frame.sparkSession
-    before = spark.conf.get(_CLEAN, None)
-    spark.conf.set(_CLEAN, "true")
+    settings = {_CLEAN: "true"} | ({_ARROW_BYTES: str(arrow_bytes)} if arrow_bytes else {})
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
-        frame.write.parquet(path)
+        frame.write.options(**(options or {})).parquet(path)
     finally:
-        spark.conf.unset(_CLEAN) if before is None else spark.conf.set(_CLEAN, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from logweft.llm import alignment, line_dedup, merkle
+from logweft.llm import alignment, landing, line_dedup, merkle
 from logweft.llm.queries import PIECES, QUERIES, VOCABULARY
 
 ALIGN = alignment.AlignConfig(VOCABULARY, PIECES, block_links=150)
@@ -277,3 +277,45 @@ def test_segments_are_looked_up_without_collecting_garbage():
     assert during <= 2 and gc.isenabled()  # the one that was due, begun and ended
     assert found[-2][2] and found[-1] == ("", b"", 0, 0)
     assert all(len(s) < 48 for s in aligner.known) and aligner.whole(["w5 x5"]) == alignment.Aligner(ALIGN).whole(["w5 x5"])
+
+
+def test_blocks_are_written_in_rows_and_row_groups_of_bounded_size(spark, conf):
+    import pyarrow.parquet as pq
+
+    conf("spark.sql.execution.arrow.maxBytesPerBatch", "32m")
+    draw = random.Random(6)
+    words = ["".join(draw.choices("etaoinsh", k=draw.randint(1, 9))) for _ in range(5_000)]
+    texts = [" ".join(draw.choices(words, k=8_000)) for _ in range(300)] + ["", None, "word " * 60_000, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).cache()
+    config = alignment.AlignConfig(VOCABULARY, PIECES)
+    blocks = landing.Scratch(spark, "blocks").land(alignment.aligned_blocks(frame, config), "b", alignment.BATCH_BYTES, **landing.LONG_ROWS)
+    rows = blocks.select("block", F.size("doc_ids").alias("texts"), F.length("codes").alias("bytes"), F.size("a").alias("pairs")).collect()
+    assert sum(r.texts for r in rows) == len(texts) and sum(r.bytes for r in rows) > 20 << 20
+    assert all(r.bytes <= 4 * config.strip_links or r.texts == 1 for r in rows)
+    assert [sum(r.pairs > 0 for r in rows if r.block == b) for b in {r.block for r in rows}] == [1] * len({r.block for r in rows}), "pairs once a block"
+    (path,) = blocks.inputFiles()
+    file = pq.ParquetFile(path.removeprefix("file://"))
+    groups = [file.metadata.row_group(k) for k in range(file.num_row_groups)]
+    assert len(groups) > 1 and max(g.total_byte_size for g in groups) < 12 << 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "32m", "put back"
+
+
+def test_strips_hold_all_texts_once():
+    draw = random.Random(7)
+    for limit in (0, 1, 10, 10**9):
+        sizes = [draw.choice([0, 0, 1, 3, 9, 40]) for _ in range(2_500)]
+        upto = [0]
+        for n in sizes:
+            upto.append(upto[-1] + n)
+        strips = list(alignment._strips(upto, limit))
+        assert [k for i, j in strips for k in range(i, j)] == list(range(len(sizes)))
+        assert all(j > i and (j == i + 1 or upto[j] - upto[i] <= limit) and j - i <= 1_000 for i, j in strips)
+
+
+@pytest.mark.parametrize("strip_links", [0, 7, 60])
+def test_alignment_in_strips_equals_plain_merging(spark, strip_links):
+    frame = spark.createDataFrame(list(enumerate(TEXTS * 3)), "doc_id long, text string").repartition(2)
+    config = alignment.AlignConfig(VOCABULARY, PIECES, block_links=400, strip_links=strip_links)
+    assert alignment.aligned_blocks(frame, config).groupBy("block").count().where("count > 1").count()
+    found = alignment.align(frame, config, with_groups=True)
+    assert sorted(tuple(r) for r in found.collect()) == plain_alignment(TEXTS * 3)
